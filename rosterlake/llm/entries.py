@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio_features, bpe, chat_format, language_id, packing, quality
+from . import audio_features, bpe, chat_format, host_reputation, language_id, packing, quality
 from .common import table
 from .language_id import crc_bucket
 
@@ -24,6 +24,11 @@ def op3_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio_features.media_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return host_reputation.judge(pages, host_reputation.markup_outcomes(pages))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -48,8 +53,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op3_audio_features, op5_bpe, op8_best_fit_packing, op9_quality, op10_chat_format)}
+    return {f.__name__: f for f in (op1_language_id, op3_audio_features, op4_host_reputation, op5_bpe, op8_best_fit_packing, op9_quality, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_host_reputation": host_reputation.ORACLE_SQL}
