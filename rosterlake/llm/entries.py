@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio_features, bpe, chat_format, host_reputation, language_id, packing, quality
+from . import audio_features, ball_tree, bpe, chat_format, host_reputation, language_id, packing, quality
 from .common import table
 from .language_id import crc_bucket
 
@@ -33,6 +33,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", ball_tree.quantize(F.col("embedding")).alias("vector"))
+    return ball_tree.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -53,8 +58,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op3_audio_features, op4_host_reputation, op5_bpe, op8_best_fit_packing, op9_quality, op10_chat_format)}
+    return {f.__name__: f for f in (op1_language_id, op3_audio_features, op4_host_reputation, op5_bpe, op6_ball_tree, op8_best_fit_packing, op9_quality, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_host_reputation": host_reputation.ORACLE_SQL}
+    return {"op4_host_reputation": host_reputation.ORACLE_SQL, "op6_ball_tree": ball_tree.ORACLE_SQL}
