@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 ALIGN, FILL = 576, 255
 RATE_IN, UP, DOWN = 24_000, 2, 3
 RATE = RATE_IN * UP // DOWN
@@ -186,7 +188,7 @@ def _apply(docs: DataFrame, row, schema: pa.Schema, ddl: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, ddl)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, ddl)
 
 
 def media_columns(docs: DataFrame) -> DataFrame:

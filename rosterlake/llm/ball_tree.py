@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import map_arrow, materialize
 
 SHARD = 16_384
 LEAF = 128
@@ -139,7 +139,7 @@ def _trees(vectors: DataFrame, shard: int) -> DataFrame:
         for dim in list(held):
             yield flush(dim)
 
-    return vectors.mapInArrow(build, "dim int, blob binary")
+    return map_arrow(vectors, build, "dim int, blob binary")
 
 
 def _search(trees: DataFrame, block: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> DataFrame:
@@ -156,7 +156,7 @@ def _search(trees: DataFrame, block: dict[int, tuple[np.ndarray, np.ndarray, np.
                 found = ids >= 0
                 yield pa.RecordBatch.from_pydict({"query_id": np.repeat(query_ids, found.sum(axis=1)), "vec_id": ids[found], "score": scores[found]})
 
-    return trees.mapInArrow(run, "query_id long, vec_id long, score long")
+    return map_arrow(trees, run, "query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, shard: int = SHARD, query_block: int = QUERY_BLOCK) -> DataFrame:

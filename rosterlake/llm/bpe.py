@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import map_arrow, text_slices
 
 #: Pieces in the young table of a worker; at that many it becomes the old one, and the old one goes.
 MAX_KEPT = 150_000
@@ -245,7 +245,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 ids = [np.frombuffer(x, "<u4").astype(np.int32) for x, _ in shared.value.encode(texts[a:b])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, ids array<int>")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -263,4 +263,4 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(_OUT)[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *columns], schema=_OUT)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

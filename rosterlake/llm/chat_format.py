@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 
 @dataclass(frozen=True)
 class Template:
@@ -110,7 +112,7 @@ def format_segments(conversations: DataFrame, template: Template = Template()) -
         if rows:
             yield _batch(rows, _SEGMENTS)
 
-    return _ordered(conversations).mapInArrow(run, "conv_id long, turn long, position long, segment string, loss boolean, breach string")
+    return map_arrow(_ordered(conversations), run, "conv_id long, turn long, position long, segment string, loss boolean, breach string")
 
 
 _SEGMENTS = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("position", pa.int64()), ("segment", pa.string()), ("loss", pa.bool_()), ("breach", pa.string())])
@@ -155,6 +157,5 @@ def format_digests(conversations: DataFrame, template: Template = Template()) ->
         if rows:
             yield _batch(rows, _DIGEST)
 
-    return _ordered(conversations).mapInArrow(
-        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
+    return map_arrow(_ordered(conversations), run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
     )

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shipping import ship
+
 #: A batch is worked off in slices of about so many characters, which bounds the numpy temporaries of a task.
 SLICE_CHARS = 1_000_000
 
@@ -37,6 +39,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
+    """df.mapInArrow, after this package has been sent to the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, ddl)
+
+
 def text_slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Index ranges [a, b) of consecutive texts holding about `limit` characters; one long text makes a range of its own."""
     start, size = 0, 0

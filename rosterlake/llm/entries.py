@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio_features, ball_tree, bpe, chat_format, host_reputation, language_id, packing, quality
+from . import audio_features, ball_tree, bpe, chat_format, host_reputation, language_id, near_dedup, packing, quality
 from .common import table
 from .language_id import crc_bucket
 
@@ -38,6 +38,10 @@ def op6_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -58,7 +62,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op3_audio_features, op4_host_reputation, op5_bpe, op6_ball_tree, op8_best_fit_packing, op9_quality, op10_chat_format)}
+    return {f.__name__: f for f in (op1_language_id, op3_audio_features, op4_host_reputation, op5_bpe, op6_ball_tree, op7_hyperminhash, op8_best_fit_packing, op9_quality, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_CHARS, text_slices
+from .common import SLICE_CHARS, map_arrow, text_slices
 
 BITS = 14
 ORDERS = 3
@@ -146,7 +146,7 @@ def fit(labelled: DataFrame, max_per_lang: int = MAX_TRAIN_PER_LANG) -> Model:
         k, bucket = np.nonzero(sums)
         yield pa.RecordBatch.from_pydict({"k": k.astype(np.int32), "bucket": bucket.astype(np.int32), "n": sums[k, bucket]})
 
-    counted = chosen.mapInArrow(count, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    counted = map_arrow(chosen, count, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros((1 << BITS, len(langs)))
     n[counted["bucket"].to_numpy(), counted["k"].to_numpy()] = counted["n"].to_numpy()
     prior = np.log([rows[k] for k in langs]) - np.log(sum(rows.values()))
@@ -168,4 +168,4 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                 columns = [*part.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], "lang_pred", "score"])
 
-    return chosen.mapInArrow(run, f"{ddl}, lang_pred string, score double")
+    return map_arrow(chosen, run, f"{ddl}, lang_pred string, score double")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import FlatBpe
-from .common import materialize, text_slices
+from .common import map_arrow, materialize, text_slices
 
 CAPACITY = 1024
 END_ID = 2
@@ -82,7 +82,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
                         at, k = at + size, k + 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECES, strict=True)], schema=_PIECES)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

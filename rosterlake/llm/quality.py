@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_CHARS
+from .common import SLICE_CHARS, map_arrow
 from .language_id import code_points
 
 BITS = 11
@@ -128,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
                 raw = raw_vectors(part.column(2).to_pylist()).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in raw], pa.binary())], names=["doc_id", "quality", "raw"])
 
-    rows = chosen.select(F.col("doc_id").cast("long"), "quality", "text").mapInArrow(vectors, "doc_id long, quality int, raw binary").toArrow().sort_by("doc_id")
+    rows = map_arrow(chosen.select(F.col("doc_id").cast("long"), "quality", "text"), vectors, "doc_id long, quality int, raw binary").toArrow().sort_by("doc_id")
     labels = np.array([int(x == 1) for x in rows["quality"].to_pylist()], np.int64)
     raw = np.array([np.frombuffer(x, np.float16) for x in rows["raw"].to_pylist()], np.float32).reshape(-1, WIDTH)
     some = raw.any(axis=1)
@@ -153,4 +153,4 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                 score = shared.value.score(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(score, pa.float64())], names=[*part.schema.names[:-1], "score"])
 
-    return chosen.mapInArrow(run, f"{ddl}, score double")
+    return map_arrow(chosen, run, f"{ddl}, score double")
