@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio_features, ball_tree, bpe, chat_format, host_reputation, language_id, near_dedup, packing, quality
+from . import audio_features, ball_tree, bpe, chat_format, host_reputation, language_id, near_dedup, packing, passage_dedup, quality
 from .common import table
 from .language_id import crc_bucket
 
@@ -20,6 +20,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio_features.media_digests(table(spark, sf_dir, "documents"))
 
@@ -62,7 +66,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op3_audio_features, op4_host_reputation, op5_bpe, op6_ball_tree, op7_hyperminhash, op8_best_fit_packing, op9_quality, op10_chat_format)}
+    return {f.__name__: f for f in (op1_language_id, op2_passage_dedup, op3_audio_features, op4_host_reputation, op5_bpe, op6_ball_tree, op7_hyperminhash, op8_best_fit_packing, op9_quality, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
