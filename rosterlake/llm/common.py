@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..shipping import ship
 
@@ -39,6 +40,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ddl_of(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def with_rows_of(docs: DataFrame, rows: DataFrame, how: str, most: int) -> DataFrame:
+    """docs joined by doc_id with rows, which are broadcast only if they are at most so many."""
+    rows = materialize(rows, "rows-by-doc")
+    return docs.join(F.broadcast(rows) if rows.count() <= most else rows, "doc_id", how)
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
     """df.mapInArrow, after this package has been sent to the executors."""
     ship(df.sparkSession)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_CHARS, map_arrow, text_slices
+from .common import SLICE_CHARS, ddl_of, map_arrow, text_slices
 
 BITS = 14
 ORDERS = 3
@@ -169,3 +169,17 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], "lang_pred", "score"])
 
     return map_arrow(chosen, run, f"{ddl}, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
+    """The rows of docs, as they are, whose language is known with a score of at least min_score."""
+    shared, text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2_048):
+                part = batch.slice(a, 2_048)
+                pred, score = shared.value.score(part.column(text).to_pylist())
+                yield part.filter(pa.array((np.array(pred, object) != "und") & (score >= min_score), pa.bool_()))
+
+    return map_arrow(docs, run, ddl_of(docs))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialize
+from .common import map_arrow, materialize, with_rows_of
 from .graph import components
 from .shingles import mix, shingle_hashes, text_words, word_hashes
 
@@ -196,3 +196,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     out = signed.select("doc_id", "n_shingles", "one", "two").join(by_class, ["one", "two", "n_shingles"], "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """docs without those that a near duplicate of smaller doc_id stands for; rows that share a doc_id stay or go together."""
+    gone = near_duplicates(docs, size, percent).where(~F.col("kept")).select("doc_id").distinct()
+    return with_rows_of(docs, gone, "left_anti", BROADCAST_IDS).select(*docs.columns)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialize, text_slices
+from .common import ddl_of, map_arrow, materialize, text_slices, with_rows_of
 from .graph import components
 from .shingles import _LETTER, _STEP, mix
 
@@ -37,6 +37,8 @@ RUN_WORDS = 12
 SMALL = 32
 #: Ids (8 bytes each) up to which the documents to be read again are found by a broadcast.
 BROADCAST_IDS = 2_000_000
+#: Documents with passages to be removed (lists of some spans of 8 bytes) up to which these are broadcast.
+BROADCAST_SPANS = 200_000
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -204,10 +206,9 @@ def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
 def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """docs without the passages that are not kept: each is cut out with the white space after it; other columns stay."""
     gone = passages.where(~F.col("kept")).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__gone"))
-    joined = docs.join(gone, "doc_id", "left")
+    joined = with_rows_of(docs, gone, "left", BROADCAST_SPANS)
     names = joined.columns
     text, spans = names.index("text"), names.index("__gone")
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names[:-1]).schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,7 +217,7 @@ def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
             columns[text] = pa.array([_without(t, c) if c else t for t, c in zip(texts, cuts, strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names[:-1])
 
-    return map_arrow(joined, run, ddl).select(*docs.columns)
+    return map_arrow(joined, run, ddl_of(joined.drop("__gone"))).select(*docs.columns)
 
 
 def _without(text: str, cuts: list[dict]) -> str:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_CHARS, map_arrow
+from .common import SLICE_CHARS, ddl_of, map_arrow
 from .language_id import code_points
 
 BITS = 11
@@ -154,3 +154,16 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(score, pa.float64())], names=[*part.schema.names[:-1], "score"])
 
     return map_arrow(chosen, run, f"{ddl}, score double")
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, as they are, whose score reaches the threshold."""
+    shared, text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2_048):
+                part = batch.slice(a, 2_048)
+                yield part.filter(pa.array(shared.value.score(part.column(text).to_pylist()) >= threshold, pa.bool_()))
+
+    return map_arrow(docs, run, ddl_of(docs))
