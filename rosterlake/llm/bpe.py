@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -26,7 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, text_slices
 
-#: Pieces in the young table of a worker; at that many it becomes the old one, and the old one goes.
+#: Pieces in the young table of a worker (twice as many without decoded texts); at that many it becomes the old one, and the
+#: old one goes.
 MAX_KEPT = 150_000
 # White space as Unicode has it; str.split() also cuts at U+001C to U+001F.
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -89,8 +89,8 @@ class FlatBpe:
         at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
         return np.where(self.keys[at] == pair, self.ranks[at], len(self.made))
 
-    def merge(self, words: list[str]) -> list[list[int]]:
-        """The token ids of each word."""
+    def merge(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The token ids of all words in one array, and where each word begins (and the last one ends)."""
         data = [w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.array([len(d) for d in data], np.int64)
         flat = np.frombuffer(b"".join(data), np.uint8)
@@ -132,9 +132,8 @@ class FlatBpe:
             changed = changed[owner[changed] == owner[changed + 1]]
             rank[changed] = self._rank(symbols[changed], symbols[changed + 1])
         symbols, owner = np.concatenate(done_symbols), np.concatenate(done_owner)
-        flat_ids = symbols[np.argsort(owner, kind="stable")].tolist()
         bounds = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
-        return [flat_ids[a:b] for a, b in zip([0, *bounds], bounds, strict=False)]
+        return symbols[np.argsort(owner, kind="stable")].astype("<u4"), [0, *bounds]
 
     def _cut(self, text: str) -> list[str]:
         """Pieces which encode alone as they do in the text."""
@@ -145,35 +144,41 @@ class FlatBpe:
             return text.split() if not _ODD.search(text) else [p for p in _BLANKS.split(text) if p]
         if _TOUCHING.search(text):
             return _BYTES.findall(text)
-        parts = text.split(" ")
-        out = [" " + p for p in parts]
-        out[0] = parts[0]
-        return out if parts[0] else out[1:]
+        # lines that touch no blank: a break between them is a token, and their words carry the blank before them
+        out: list[str] = []
+        for nth, line in enumerate(text.split("\n")):
+            if nth:
+                out.append("\n")
+            first, *more = line.split(" ")
+            if first:
+                out.append(first)
+            out += map(" ".__add__, more)
+        return out
 
     def _learn(self, pieces: list[str]) -> None:
-        cut = list(map((_WORDS if self.end else _BYTES).findall, pieces))
-        words = list(dict.fromkeys([w for ws in cut for w in ws]))
-        found = dict(zip(words, self.merge(words), strict=True))
-        for p, ws in zip(pieces, cut, strict=True):
-            ids = found[ws[0]] if len(ws) == 1 else [i for w in ws for i in found[w]]
-            self.ids[p] = np.array(ids, "<u4").tobytes() if len(ids) > 8 else _PACK[len(ids)](*ids)
-            if self.end:
-                self.shown[p] = " ".join([self.tokens[i] for i in ids]).encode()
+        find = (_WORDS if self.end else _BYTES).findall
+        # letters alone, with or without a blank before them, are one word
+        cut = [(p,) if (p[1:] if p[0] == " " and len(p) > 1 else p).isalpha() else find(p) for p in pieces]
+        words = list({w for ws in cut for w in ws})
+        flat, at = self.merge(words)
+        raw = flat.tobytes()
+        ids = dict(zip(words, [raw[4 * a : 4 * b] for a, b in zip(at, at[1:], strict=False)], strict=True))
+        self.ids.update(zip(pieces, [ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws]) for ws in cut], strict=True))
+        if self.end:
+            names = list(map(self.tokens.__getitem__, flat.tolist()))
+            shown = dict(zip(words, [" ".join(names[a:b]) for a, b in zip(at, at[1:], strict=False)], strict=True))
+            self.shown.update(zip(pieces, [" ".join([shown[w] for w in ws]).encode() for ws in cut], strict=True))
 
     def _prepare(self, pieces: set[str]) -> None:
         """Sees to it that all pieces are in the young table; what is asked for again outlives a change of generation."""
-        if len(self.ids) > MAX_KEPT:
+        if len(self.ids) > (MAX_KEPT if self.end else 2 * MAX_KEPT):
             self.old_ids, self.old_shown, self.ids, self.shown = self.ids, self.shown, {}, {}
-        new = []
-        for p in pieces:
-            if p not in self.ids:
-                if p in self.old_ids:
-                    self.ids[p] = self.old_ids[p]
-                    if self.end:
-                        self.shown[p] = self.old_shown[p]
-                else:
-                    new.append(p)
-        self._learn(new)
+        new = pieces.difference(self.ids)
+        old = [p for p in new if p in self.old_ids]
+        self.ids.update(zip(old, map(self.old_ids.__getitem__, old), strict=True))
+        if self.end:
+            self.shown.update(zip(old, map(self.old_shown.__getitem__, old), strict=True))
+        self._learn(list(new.difference(old)))
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """Of each text the ids as little-endian unsigned 32-bit integers, and for word-end files the decoded text in UTF-8."""
@@ -228,8 +233,7 @@ def _special_pattern(names: tuple[str, ...]) -> regex.Pattern:
 
 _WORDS, _BYTES = regex.compile(_WORD_SPLIT), regex.compile(_BYTE_SPLIT)
 _ODD, _BLANKS = regex.compile("[\x1c-\x1f]"), regex.compile(f"[{_SPACE}]+")
-_TOUCHING = regex.compile(f" [{_SPACE}]|[\t-\r\x85\xa0  -     　] ")
-_PACK = [struct.Struct(f"<{n}I").pack for n in range(9)]
+_TOUCHING = regex.compile(f"[{_SPACE}]{{2}}")
 _BACK = {c: b for b, c in enumerate(byte_letters())}
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
