@@ -8,8 +8,10 @@ threshold 0.85 share at least one with a probability of 1 - 3e-7, at 0.8 of 1 -
 1. Documents with equal sets form classes (counts are pre-aggregated); one document stands for each.
 2. Representatives that share a key form a group. Its most central member (whose keys many others share) leads it, and every
    member is compared with its leaders: pairs grow with the members, not with their square. Their components are found.
-3. What is left are pairs in one group whose components differ, at least one of them outside the leader's component. They are all
-   compared, each in the first group it shares, if they share two keys at least (at 0.85 missed with probability 5e-6).
+3. What is left are pairs with one leader whose components differ, at least one of them outside the leader's component. Below leaders
+   with up to SMALL members they are all compared if they share two keys at least (at 0.85 missed with probability 5e-6). Below
+   others the members' differences from the leader are joined by prefix filtering, which finds every pair at the threshold
+   and whose cost follows the edits that members have in common, not the square of the group.
 
 A pair is compared by the collision-corrected Jaccard estimate of its registers first; unless that lies well below the threshold,
 the full sets decide. No group is capped: members of one component need no more comparisons, the others get them all.
@@ -36,6 +38,8 @@ BANDS = BUCKETS // ROWS
 MANTISSA = 10
 #: Standard errors below the threshold at which an estimate is believed without a look at the sets.
 MARGIN = 6.0
+#: Members below a leader that are paired directly; the pairs of more are found by joining their differences from the leader.
+SMALL = 64
 #: Ids (8 bytes each) up to which the documents to be read again are found by a broadcast.
 BROADCAST_IDS = 2_000_000
 
@@ -155,6 +159,45 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(joined, run, "a long, b long")
 
 
+def _linked_below(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) below leaders with many members: x (its set differs from the leader's in dx hashes) and y link only if their
+    differences share at least (dx + dy - most) / 2 of them, where most is what two linked sets may differ in. That is at least one
+    if x is outside the leader's component, so the differences are joined by the prefixes that must meet, what was added to the
+    leader's set (which is rare) first. The differences give the exact similarity, too."""
+    left = sets.select(F.col("doc_id").alias("x"), F.col("hashes").alias("hx"))
+    right = sets.select(F.col("doc_id").alias("lead"), F.col("hashes").alias("hl"))
+    joined = placed.select("x", "n", "lead", "lead_n", "at", "outside").join(left, "x").join(right, "lead").select("lead", "x", "n", "lead_n", "at", "outside", "hx", "hl")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                diffs = []
+                for hx, hl in zip(part.column(6), part.column(7), strict=True):
+                    own, lead = np.frombuffer(hx.as_buffer(), np.uint64), np.frombuffer(hl.as_buffer(), np.uint64)
+                    diffs.append(np.concatenate([np.setdiff1d(own, lead, assume_unique=True), np.setdiff1d(lead, own, assume_unique=True)]).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*part.columns[:6], pa.array(diffs, pa.list_(pa.int64()))], names=["lead", "x", "n", "lead_n", "at", "outside", "diff"])
+
+    rows = materialize(map_arrow(joined, run, "lead long, x long, n long, lead_n long, at long, outside boolean, diff array<long>"), "differences")
+    share = (100 - percent) / (100 + percent)
+    d, n = F.size("diff"), F.col("n")
+    half = F.greatest(F.lit(1), F.ceil((d - share * F.greatest(F.lit(0), n - F.col("lead_n"))) / 2 - 1e-9))
+    whole = F.greatest(F.lit(1), F.ceil(d - share * n * (1 + 100 / percent) - 1e-9))
+    prefix = lambda least: F.explode(F.slice("diff", F.lit(1), (d - least + 1).cast("int")))
+
+    def side(rows: DataFrame, least: F.Column, k: str) -> DataFrame:
+        return rows.select("lead", F.col("x").alias(f"x_{k}"), F.col("at").alias(f"at_{k}"), prefix(least).alias("hash"))
+
+    out, inside = rows.where("outside"), rows.where("not outside")
+    two = side(out, half, "a").join(side(out, half, "b"), ["lead", "hash"]).where("x_a < x_b and at_a <> at_b").select("lead", "x_a", "x_b")
+    one = side(out, whole, "a").join(side(inside, half, "b"), ["lead", "hash"]).where("at_a <> at_b").select("lead", "x_a", "x_b")
+    pairs = two.unionByName(one).distinct()
+    a, b = (rows.select("lead", *(F.col(c).alias(f"{c}_{k}") for c in ("x", "n", "diff"))) for k in "ab")
+    apart = F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b"))
+    total = F.col("n_a") + F.col("n_b")
+    return pairs.join(a, ["lead", "x_a"]).join(b, ["lead", "x_b"]).where((total - apart) * 100 >= (total + apart) * percent).select(F.greatest("x_a", "x_b").alias("a"), F.least("x_a", "x_b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     signed = materialize(_signed(docs, size), "signatures")
@@ -176,20 +219,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     edges = materialize(_linked(pairs, sets, percent), "links")
     found = components(edges)
 
-    # second look: groups with members outside their leader's component
-    at = found.select(F.col("node").alias("rep"), F.col("component").alias("at"))
-    placed = led.join(at, "rep", "left").withColumn("at", F.coalesce("at", "rep"))
+    # second look: pairs below one leader whose components differ, at least one of them outside the leader's component
+    at = found.select(F.col("node").alias("x"), F.col("component").alias("at"))
+    below = led.where("rep <> lead").select(F.col("rep").alias("x"), "n", "shared", "lead", "lead_n").dropDuplicates(["x", "lead"])
+    placed = below.join(at, "x", "left").withColumn("at", F.coalesce("at", "x"))
     lead_at = found.select(F.col("node").alias("lead"), F.col("component").alias("lead_at"))
-    placed = placed.join(lead_at, "lead", "left").withColumn("lead_at", F.coalesce("lead_at", "lead"))
-    outside = materialize(placed.where("at <> lead_at").select("key", "band", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("at").alias("at_x"), F.col("shared").alias("sx"), F.col("lead").alias("lead_x"), "lead_at"), "outside")
-    open_keys = outside.select("key").distinct()
-    rest = placed.join(open_keys, "key", "left_semi").select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("at").alias("at_y"), F.col("shared").alias("sy"))
-    both = F.filter(F.map_keys("sx"), lambda k: F.col("sx")[k] == F.col("sy")[k])
-    twice = (F.size(both) >= 2) & (both[0] == F.col("band"))
-    one_way = (F.col("at_y") == F.col("lead_at")) | (F.col("x") < F.col("y"))
-    left = outside.join(rest, "key").where((F.col("at_x") != F.col("at_y")) & (F.col("y") != F.col("lead_x")) & one_way & alike(F.col("nx"), F.col("ny")) & twice)
-    more = _linked(left.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), sets, percent)
-    edges = materialize(more.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "links")
+    placed = placed.join(lead_at, "lead", "left").withColumn("outside", F.col("at") != F.coalesce("lead_at", "lead")).drop("lead_at")
+    sizes = placed.groupBy("lead").agg(F.count("*").alias("below"), F.max("outside").alias("open")).where("open").drop("open")
+    placed = materialize(placed.join(sizes, "lead"), "placed")
+    few = placed.where(F.col("below") <= SMALL)
+    x, y = (few.select("lead", *(F.col(c).alias(f"{c}_{k}") for c in ("x", "n", "shared", "at", "outside"))) for k in "ab")
+    twice = F.size(F.filter(F.map_keys("shared_a"), lambda k: F.col("shared_a")[k] == F.col("shared_b")[k])) >= 2
+    left = x.join(y, "lead").where((F.col("x_a") > F.col("x_b")) & (F.col("at_a") != F.col("at_b")) & (F.col("outside_a") | F.col("outside_b")) & alike(F.col("n_a"), F.col("n_b")) & twice)
+    more = _linked(left.select(F.col("x_a").alias("a"), F.col("x_b").alias("b")).distinct(), sets, percent)
+    many = _linked_below(placed.where(F.col("below") > SMALL), sets, percent)
+    edges = materialize(more.unionByName(many).unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "links")
     found = components(edges)
 
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("one", "two", "n_shingles", F.coalesce("component", "rep").alias("component"))
