@@ -9,14 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 
+SPARK_ENCODINGS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
+
+
 def _placed(df: DataFrame) -> DataFrame:
     return df.withColumn("_row_ord", F.monotonically_increasing_id())
 
 
 def read_csv(spark: SparkSession, path: str, options: dict[str, Any]) -> DataFrame:
-    """All texts; an empty cell is the empty text, not null."""
-    reader = spark.read.options(header=True, inferSchema=False, sep=options.get("sep", ","), encoding=options.get("encoding", "utf-8"), multiLine=True, quote='"', escape='"', mode="PERMISSIVE", enforceSchema=False)
-    df = reader.csv(path)
+    """All texts; an empty cell is the empty text, not null. Encodings that Spark's reader doesn't know (old code pages) are decoded
+    file by file on the executors first."""
+    encoding = options.get("encoding", "utf-8").lower()
+    known = encoding in SPARK_ENCODINGS
+    csv = {"header": True, "inferSchema": False, "sep": options.get("sep", ","), "multiLine": True, "quote": '"', "escape": '"', "enforceSchema": False}
+    if known:
+        df = spark.read.options(**csv, encoding=encoding).csv(path)
+    else:
+        whole = spark.read.format("binaryFile").load(path).select(F.col("content"))
+        lines = whole.rdd.flatMap(lambda r: bytes(r[0]).decode(encoding).splitlines())
+        df = spark.read.options(**csv).csv(lines)
     return _placed(df.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns)))
 
 
