@@ -70,7 +70,7 @@ def gram_buckets(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarr
         out, h = [], np.zeros(len(points), np.uint32)
         for k in range(ORDERS):
             h = h * _PRIMES[0]
-            h[: len(points) - k] += (points[k:] + np.uint32(1)) * _PRIMES[1]
+            h[: max(0, len(points) - k)] += (points[k:] + np.uint32(1)) * _PRIMES[1]
             mixed = (h ^ (h >> np.uint32(15))) * _PRIMES[2]
             out.append((mixed >> np.uint32(32 - BITS)).astype(np.int32))
         return owner[start], letter[start], np.stack(out)[:, start]

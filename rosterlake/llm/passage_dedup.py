@@ -89,7 +89,8 @@ def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     whole = mix(np.add.reduceat(mix(word) * np.cumprod(np.full(MAX_WORDS, _STEP, np.uint64))[since], starts) + count.astype(np.uint64))
     shingle = np.full(n, np.uint64(SHINGLE))
     for k in range(SHINGLE):
-        shingle[: n - k] = mix(shingle[: n - k] * _STEP + word[k:])
+        m = max(0, n - k)
+        shingle[:m] = mix(shingle[:m] * _STEP + word[k:])
     inside = since + SHINGLE <= np.repeat(count, count)
     short = starts[count < SHINGLE]
     shingle[short], inside[short] = whole[count < SHINGLE], True

@@ -45,14 +45,14 @@ def _counts(text: str) -> np.ndarray:
         h = np.zeros(len(x), np.uint32)
         for k in range(5):
             h = h * np.uint32(7)
-            h[: len(x) - k] += shape[k:]
+            h[: max(0, len(x) - k)] += shape[k:]
         buckets = ((h[:n] + np.uint32(1)) * _A) >> np.uint32(32 - BITS + 1)
         out += np.bincount(buckets.astype(np.int64), minlength=WIDTH)
         # three characters as they are: the frequent ones of clean prose, and repeats
         y = x * _B
         z = y.copy()
-        z[:-1] += y[1:] * np.uint32(31)
-        z[:-2] += y[2:] * np.uint32(961)
+        z[: max(0, len(x) - 1)] += y[1:] * np.uint32(31)
+        z[: max(0, len(x) - 2)] += y[2:] * np.uint32(961)
         buckets = ((z[:n] * _A) >> np.uint32(32 - BITS + 1)) + np.uint32(WIDTH // 2)
         out += np.bincount(buckets.astype(np.int64), minlength=WIDTH)
     return out
