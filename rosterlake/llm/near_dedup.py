@@ -183,14 +183,17 @@ def _linked_below(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     d, n = F.size("diff"), F.col("n")
     half = F.greatest(F.lit(1), F.ceil((d - share * F.greatest(F.lit(0), n - F.col("lead_n"))) / 2 - 1e-9))
     whole = F.greatest(F.lit(1), F.ceil(d - share * n * (1 + 100 / percent) - 1e-9))
-    prefix = lambda least: F.explode(F.slice("diff", F.lit(1), (d - least + 1).cast("int")))
 
     def side(rows: DataFrame, least: F.Column, k: str) -> DataFrame:
-        return rows.select("lead", F.col("x").alias(f"x_{k}"), F.col("at").alias(f"at_{k}"), prefix(least).alias("hash"))
+        prefix = F.slice("diff", F.lit(1), (d - least + 1).cast("int"))
+        return rows.select("lead", F.col("x").alias(f"x_{k}"), F.col("at").alias(f"at_{k}"), n.alias(f"n_{k}"), d.alias(f"d_{k}"), F.posexplode(prefix).alias(f"pos_{k}", "hash"))
 
+    # where the first hash in common stands bounds how many can follow: as many as the pair needs?
+    rest = F.least(F.col("d_a") - F.col("pos_a"), F.col("d_b") - F.col("pos_b"))
+    enough = rest * 2 >= F.col("d_a") + F.col("d_b") - share * (F.col("n_a") + F.col("n_b")) - 1e-9
     out, inside = rows.where("outside"), rows.where("not outside")
-    two = side(out, half, "a").join(side(out, half, "b"), ["lead", "hash"]).where("x_a < x_b and at_a <> at_b").select("lead", "x_a", "x_b")
-    one = side(out, whole, "a").join(side(inside, half, "b"), ["lead", "hash"]).where("at_a <> at_b").select("lead", "x_a", "x_b")
+    two = side(out, half, "a").join(side(out, half, "b"), ["lead", "hash"]).where(F.expr("x_a < x_b and at_a <> at_b") & enough).select("lead", "x_a", "x_b")
+    one = side(out, whole, "a").join(side(inside, half, "b"), ["lead", "hash"]).where(F.expr("at_a <> at_b") & enough).select("lead", "x_a", "x_b")
     pairs = two.unionByName(one).distinct()
     a, b = (rows.select("lead", *(F.col(c).alias(f"{c}_{k}") for c in ("x", "n", "diff"))) for k in "ab")
     apart = F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b"))
