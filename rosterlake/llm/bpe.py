@@ -29,7 +29,7 @@ from .common import map_arrow, text_slices
 #: old one goes.
 MAX_KEPT = 150_000
 # White space as Unicode has it; str.split() also cuts at U+001C to U+001F.
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+"
 _BYTE_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 
@@ -45,6 +45,22 @@ def byte_letters() -> list[str]:
     return out
 
 
+class _Kept:
+    """What pieces encode to: a young table and an old one. A full young table becomes the old one, and the old one goes; what is
+    asked for again moves to the young table."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, pieces: set[str]) -> list[str]:
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        new = pieces.difference(self.young)
+        again = [p for p in new if p in self.old]
+        self.young.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        return list(new.difference(again))
+
+
 class FlatBpe:
     """Tables of one tokenizer file; it can be pickled, and workers fill the piece tables for themselves."""
 
@@ -55,25 +71,24 @@ class FlatBpe:
         self.tokens = {i: t for t, i in vocab.items()} | {t["id"]: t["content"] for t in file["added_tokens"]}
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.size = max(self.tokens) + 1
+        # keys fit 32 bits for vocabularies of up to 65,536 tokens
+        self.kind = np.uint32 if self.size < 1 << 16 else np.int64
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         left, right = (np.array([vocab[p[k]] for p in pairs], np.int64) for k in (0, 1))
         keys = left * self.size + right
         order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order], order.astype(np.int64)
-        self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        self.keys, self.ranks = keys[order].astype(self.kind), order.astype(np.int32)
+        self.made = np.array([vocab[a + b] for a, b in pairs], self.kind)
         letters = byte_letters()
-        self.first = np.array([vocab.get(c, -1) for c in letters], np.int64)
-        self.last = np.array([vocab.get(c + self.end, -1) for c in letters], np.int64)
+        self.first = np.array([vocab[c] for c in letters], self.kind)
+        self.last = np.array([vocab[c + self.end] for c in letters], self.kind)
         self._clear()
 
     def _clear(self) -> None:
-        self.ids: dict[str, bytes] = {}
-        self.shown: dict[str, bytes] = {}
-        self.old_ids: dict[str, bytes] = {}
-        self.old_shown: dict[str, bytes] = {}
+        self.plain, self.spaced, self.shown = _Kept(MAX_KEPT), _Kept(2 * MAX_KEPT), _Kept(MAX_KEPT)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("ids", "shown", "old_ids", "old_shown")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("plain", "spaced", "shown")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -85,26 +100,26 @@ class FlatBpe:
             return cls(json.load(f))
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        pair = left * self.size + right
+        pair = left * self.kind(self.size) + right
         at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-        return np.where(self.keys[at] == pair, self.ranks[at], len(self.made))
+        return np.where(self.keys[at] == pair, self.ranks[at], np.int32(len(self.made)))
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
         """The token ids of all words in one array, and where each word begins (and the last one ends)."""
         data = [w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.array([len(d) for d in data], np.int64)
         flat = np.frombuffer(b"".join(data), np.uint8)
-        owner = np.repeat(np.arange(len(words)), sizes)
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         symbols = self.first[flat]
         if self.end:
             ends = np.cumsum(sizes)[sizes > 0] - 1
             symbols[ends] = self.last[flat[ends]]
         never = len(self.made)
         # rank[i] is that of the pair (i, i + 1); the last symbol of a word starts none
-        rank = np.full(len(symbols), never)
+        rank = np.full(len(symbols), never, np.int32)
         inner = np.flatnonzero(owner[:-1] == owner[1:])
         rank[inner] = self._rank(symbols[inner], symbols[inner + 1])
-        done_symbols, done_owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        done_symbols, done_owner = [np.zeros(0, self.kind)], [np.zeros(0, np.int32)]
         while len(symbols):
             cuts = np.flatnonzero(np.diff(owner, prepend=-1))
             low = np.repeat(np.minimum.reduceat(rank, cuts), np.diff(np.append(cuts, len(owner))))
@@ -135,78 +150,70 @@ class FlatBpe:
         bounds = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
         return symbols[np.argsort(owner, kind="stable")].astype("<u4"), [0, *bounds]
 
-    def _cut(self, text: str) -> list[str]:
-        """Pieces which encode alone as they do in the text."""
+    def _cut(self, text: str) -> list[tuple[list[str], list[str]]]:
+        """Runs of (pieces, pieces that have a blank before them); each encodes alone as it does in the text."""
         if self.end:
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ").lower()  # letter by letter, so without the final sigma
-            return text.split() if not _ODD.search(text) else [p for p in _BLANKS.split(text) if p]
-        if _TOUCHING.search(text):
-            return _BYTES.findall(text)
-        # lines that touch no blank: a break between them is a token, and their words carry the blank before them
-        out: list[str] = []
-        for nth, line in enumerate(text.split("\n")):
-            if nth:
-                out.append("\n")
+            return [(text.split() if not _ODD.search(text) else [p for p in _BLANKS.split(text) if p], [])]
+        words, between = text.split(), text.count(" ") + text.count("\n")
+        if len(words) != between + 1 or sum(map(len, words)) + between != len(text):
+            return [(_BYTES.findall(text), [])]
+        # no white space but single blanks and breaks between words: a break is a token, and words carry the blank before them
+        out = []
+        for line in text.split("\n"):
             first, *more = line.split(" ")
-            if first:
-                out.append(first)
-            out += map(" ".__add__, more)
+            out.append((["\n", first] if out else [first], more))
         return out
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str], blank: str, kept: _Kept) -> None:
         find = (_WORDS if self.end else _BYTES).findall
-        # letters alone, with or without a blank before them, are one word
-        cut = [(p,) if (p[1:] if p[0] == " " and len(p) > 1 else p).isalpha() else find(p) for p in pieces]
+        # letters alone are one word
+        cut = [(blank + p,) if p.isalpha() else find(blank + p) for p in pieces]
         words = list({w for ws in cut for w in ws})
         flat, at = self.merge(words)
         raw = flat.tobytes()
         ids = dict(zip(words, [raw[4 * a : 4 * b] for a, b in zip(at, at[1:], strict=False)], strict=True))
-        self.ids.update(zip(pieces, [ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws]) for ws in cut], strict=True))
+        kept.young.update(zip(pieces, [ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws]) for ws in cut], strict=True))
         if self.end:
             names = list(map(self.tokens.__getitem__, flat.tolist()))
             shown = dict(zip(words, [" ".join(names[a:b]) for a, b in zip(at, at[1:], strict=False)], strict=True))
-            self.shown.update(zip(pieces, [" ".join([shown[w] for w in ws]).encode() for ws in cut], strict=True))
-
-    def _prepare(self, pieces: set[str]) -> None:
-        """Sees to it that all pieces are in the young table; what is asked for again outlives a change of generation."""
-        if len(self.ids) > (MAX_KEPT if self.end else 2 * MAX_KEPT):
-            self.old_ids, self.old_shown, self.ids, self.shown = self.ids, self.shown, {}, {}
-        new = pieces.difference(self.ids)
-        old = [p for p in new if p in self.old_ids]
-        self.ids.update(zip(old, map(self.old_ids.__getitem__, old), strict=True))
-        if self.end:
-            self.shown.update(zip(old, map(self.old_shown.__getitem__, old), strict=True))
-        self._learn(list(new.difference(old)))
+            self.shown.young.update(zip(pieces, [" ".join([shown[w] for w in ws]).encode() for ws in cut], strict=True))
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """Of each text the ids as little-endian unsigned 32-bit integers, and for word-end files the decoded text in UTF-8."""
-        cut, pieces, marks = [], set(), self._specials
+        cut, plain, spaced, marks = [], set(), set(), self._specials
         for text in texts:
             text = text or ""
             if any(name in text for name in self.special):
                 parts = [p if i % 2 else self._cut(p) for i, p in enumerate(marks.split(text)) if p]
             else:
-                parts = [self._cut(text)]
+                parts = [self._cut(text)] if text else []
             for part in parts:
-                if isinstance(part, list):
-                    pieces.update(part)
+                if not isinstance(part, str):
+                    for a, b in part:
+                        plain.update(a)
+                        spaced.update(b)
             cut.append(parts)
-        self._prepare(pieces)
-        ids_of, shown_of = self.ids.__getitem__, self.shown.__getitem__
+        new = self.plain.missing(plain)
+        if self.end:
+            self.shown.missing(plain)  # keeps step with the ids
+        self._learn(new, "", self.plain)
+        self._learn(self.spaced.missing(spaced), " ", self.spaced)
+        plain_ids, spaced_ids, shown_of = self.plain.young.__getitem__, self.spaced.young.__getitem__, self.shown.young.__getitem__
         for parts in cut:
-            if len(parts) == 1 and isinstance(parts[0], list):
-                yield b"".join(map(ids_of, parts[0])), b" ".join(map(shown_of, parts[0])) if self.end else b""
-                continue
             ids, shown = [], []
             for part in parts:
                 if isinstance(part, str):
                     ids.append(self.special[part].to_bytes(4, "little"))
                     shown.append(part.encode())
                 else:
-                    ids += map(ids_of, part)
-                    shown += map(shown_of, part) if self.end else ()
+                    for a, b in part:
+                        ids += map(plain_ids, a)
+                        ids += map(spaced_ids, b)
+                        if self.end:
+                            shown += map(shown_of, a)
             yield b"".join(ids), b" ".join(shown)
 
     @property
@@ -233,7 +240,6 @@ def _special_pattern(names: tuple[str, ...]) -> regex.Pattern:
 
 _WORDS, _BYTES = regex.compile(_WORD_SPLIT), regex.compile(_BYTE_SPLIT)
 _ODD, _BLANKS = regex.compile("[\x1c-\x1f]"), regex.compile(f"[{_SPACE}]+")
-_TOUCHING = regex.compile(f"[{_SPACE}]{{2}}")
 _BACK = {c: b for b, c in enumerate(byte_letters())}
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
