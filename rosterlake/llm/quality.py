@@ -98,7 +98,7 @@ class Model:
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         out = np.full(len(texts), self.share)
-        if self.labels.min(initial=1) == self.labels.max(initial=0):
+        if not 0 < self.labels.sum() < len(self.labels):
             return out
         k = min(K, len(self.labels))
         for a in range(0, len(texts), BLOCK):
