@@ -45,20 +45,34 @@ def byte_letters() -> list[str]:
     return out
 
 
-class _Kept:
-    """What pieces encode to: a young table and an old one. A full young table becomes the old one, and the old one goes; what is
-    asked for again moves to the young table."""
-
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
-
-    def missing(self, pieces: set[str]) -> list[str]:
-        if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
-        new = pieces.difference(self.young)
-        again = [p for p in new if p in self.old]
-        self.young.update(zip(again, map(self.old.__getitem__, again), strict=True))
-        return list(new.difference(again))
+class _Kept(dict):
+    """The place of each piece in `ids` (and `shown`). A piece that is asked for and not there gets the next place, filled from the
+    old table or, later, by learning what is in `new`. A full table becomes the old one of an empty one, and its own old one goes."""
+
+    def __init__(self, most: int, old: _Kept | None = None):
+        super().__init__()
+        self.most, self.old = most, old
+        self.ids: list[bytes] = []
+        self.shown: list[bytes] = []
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        at = self[piece] = len(self.ids)
+        was = None if self.old is None else self.old.get(piece)
+        if was is None:
+            self.new.append(piece)
+            self.ids.append(b"")
+            self.shown.append(b"")
+        else:
+            self.ids.append(self.old.ids[was])
+            self.shown.append(self.old.shown[was])
+        return at
+
+    def turned(self) -> _Kept:
+        if len(self) <= self.most:
+            return self
+        self.old = None
+        return _Kept(self.most, self)
 
 
 class FlatBpe:
@@ -85,10 +99,11 @@ class FlatBpe:
         self._clear()
 
     def _clear(self) -> None:
-        self.plain, self.spaced, self.shown = _Kept(MAX_KEPT), _Kept(2 * MAX_KEPT), _Kept(MAX_KEPT)
+        self.plain, self.spaced = _Kept(MAX_KEPT), _Kept(2 * MAX_KEPT)
+        self.marks: dict[str, tuple[bytes, bytes]] = {}
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("plain", "spaced", "shown")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("plain", "spaced", "marks")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -161,13 +176,35 @@ class FlatBpe:
         if len(words) != between + 1 or sum(map(len, words)) + between != len(text):
             return [(_BYTES.findall(text), [])]
         # no white space but single blanks and breaks between words: a break is a token, and words carry the blank before them
-        out = []
+        out, at = [], 0
         for line in text.split("\n"):
-            first, *more = line.split(" ")
-            out.append((["\n", first] if out else [first], more))
+            end = at + line.count(" ") + 1
+            out.append((["\n", words[at]] if at else [words[0]], words[at + 1 : end]))
+            at = end
         return out
 
-    def _learn(self, pieces: list[str], blank: str, kept: _Kept) -> None:
+    def _marked(self, kept: _Kept) -> list[str]:
+        """Fills the places of letters with one mark after them whose letters are known, and gives the other new pieces: letters and
+        marks are words of their own."""
+        rest = []
+        for p in kept.new:
+            known = kept.get(p[:-1]) if p[-1] in _MARKS and p[:-1].isalpha() else None
+            if known is None or not kept.ids[known]:
+                rest.append(p)
+                continue
+            mark = self.marks.get(p[-1])
+            if mark is None:
+                ids = self.merge([p[-1]])[0]
+                mark = self.marks[p[-1]] = ids.tobytes(), " ".join([self.tokens[i] for i in ids.tolist()]).encode() if self.end else b""
+            place = kept[p]
+            kept.ids[place] = kept.ids[known] + mark[0]
+            if self.end:
+                kept.shown[place] = kept.shown[known] + b" " + mark[1]
+        return rest
+
+    def _learn(self, kept: _Kept, blank: str) -> None:
+        """Fills the places of the new pieces, which stand for themselves after `blank`."""
+        pieces, kept.new = self._marked(kept), []
         find = (_WORDS if self.end else _BYTES).findall
         # letters alone are one word
         cut = [(blank + p,) if p.isalpha() else find(blank + p) for p in pieces]
@@ -175,33 +212,29 @@ class FlatBpe:
         flat, at = self.merge(words)
         raw = flat.tobytes()
         ids = dict(zip(words, [raw[4 * a : 4 * b] for a, b in zip(at, at[1:], strict=False)], strict=True))
-        kept.young.update(zip(pieces, [ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws]) for ws in cut], strict=True))
-        if self.end:
-            names = list(map(self.tokens.__getitem__, flat.tolist()))
-            shown = dict(zip(words, [" ".join(names[a:b]) for a, b in zip(at, at[1:], strict=False)], strict=True))
-            self.shown.young.update(zip(pieces, [" ".join([shown[w] for w in ws]).encode() for ws in cut], strict=True))
+        names = list(map(self.tokens.__getitem__, flat.tolist())) if self.end else []
+        shown = dict(zip(words, [" ".join(names[a:b]) for a, b in zip(at, at[1:], strict=False)], strict=True)) if self.end else {}
+        for p, ws in zip(pieces, cut, strict=True):
+            place = kept[p]
+            kept.ids[place] = ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])
+            if self.end:
+                kept.shown[place] = " ".join([shown[w] for w in ws]).encode()
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """Of each text the ids as little-endian unsigned 32-bit integers, and for word-end files the decoded text in UTF-8."""
-        cut, plain, spaced, marks = [], set(), set(), self._specials
+        self.plain, self.spaced = plain, spaced = self.plain.turned(), self.spaced.turned()
+        marks, cut = self._specials, []
         for text in texts:
             text = text or ""
             if any(name in text for name in self.special):
                 parts = [p if i % 2 else self._cut(p) for i, p in enumerate(marks.split(text)) if p]
             else:
                 parts = [self._cut(text)] if text else []
-            for part in parts:
-                if not isinstance(part, str):
-                    for a, b in part:
-                        plain.update(a)
-                        spaced.update(b)
-            cut.append(parts)
-        new = self.plain.missing(plain)
-        if self.end:
-            self.shown.missing(plain)  # keeps step with the ids
-        self._learn(new, "", self.plain)
-        self._learn(self.spaced.missing(spaced), " ", self.spaced)
-        plain_ids, spaced_ids, shown_of = self.plain.young.__getitem__, self.spaced.young.__getitem__, self.shown.young.__getitem__
+            # from pieces to their places: one look-up for each piece of the text
+            cut.append([p if isinstance(p, str) else [(list(map(plain.__getitem__, a)), list(map(spaced.__getitem__, b))) for a, b in p] for p in parts])
+        self._learn(plain, "")
+        self._learn(spaced, " ")
+        plain_ids, spaced_ids, shown_of = plain.ids.__getitem__, spaced.ids.__getitem__, plain.shown.__getitem__
         for parts in cut:
             ids, shown = [], []
             for part in parts:
@@ -238,6 +271,7 @@ def _special_pattern(names: tuple[str, ...]) -> regex.Pattern:
     return regex.compile(f"({'|'.join(map(regex.escape, names))})" if names else r"(?!)()")
 
 
+_MARKS = frozenset(".,;:!?)]}\"'")
 _WORDS, _BYTES = regex.compile(_WORD_SPLIT), regex.compile(_BYTE_SPLIT)
 _ODD, _BLANKS = regex.compile("[\x1c-\x1f]"), regex.compile(f"[{_SPACE}]+")
 _BACK = {c: b for b, c in enumerate(byte_letters())}
