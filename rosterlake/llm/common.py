@@ -2,44 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
+import re
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from ..storage import materialize
 
 #: A batch is worked off in slices of about so many characters, which bounds the numpy temporaries of a task.
 SLICE_CHARS = 1_000_000
+#: Bytes of an Arrow batch that Spark sends to a worker.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests) a new local one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        found = tempfile.mkdtemp(prefix="rosterlake-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df below the shared folder and reads it back: a cut of lineage that survives the loss of any executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ddl_of(df: DataFrame) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
@@ -50,10 +33,28 @@ def with_rows_of(docs: DataFrame, rows: DataFrame, how: str, most: int) -> DataF
     return docs.join(F.broadcast(rows) if rows.count() <= most else rows, "doc_id", how)
 
 
+def _trim() -> None:
+    """Gives freed memory back to the system, where the C library can."""
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
-    """df.mapInArrow, after this package has been sent to the executors."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, ddl)
+    """df.mapInArrow, after this package has been sent to the executors. Batches of long texts are bounded by bytes (a session's
+    own setting under the bound stays), and workers, which Spark keeps for later tasks, return their memory."""
+    spark = df.sparkSession
+    ship(spark)
+    given = re.fullmatch(r"(\d+)b?", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))
+    if given and not 0 < int(given[1]) <= BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        yield from function(batches)
+        _trim()
+
+    return df.mapInArrow(run, ddl)
 
 
 def text_slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
@@ -67,16 +68,3 @@ def text_slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[t
         size += n
     if start < len(texts):
         yield start, len(texts)
-
-
-def ragged_take(flat: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenates the ragged rows `index` of (flat, offsets); also gives the offsets of the result."""
-    lengths = offsets[index + 1] - offsets[index]
-    out = np.zeros(len(index) + 1, np.int64)
-    np.cumsum(lengths, out=out[1:])
-    at = np.arange(out[-1], dtype=np.int64) + np.repeat(offsets[index] - out[:-1], lengths)
-    return flat[at], out
-
-
-def plain_strings(batch: pa.RecordBatch, column: str) -> list[str | None]:
-    return batch.column(batch.schema.get_field_index(column)).to_pylist()
