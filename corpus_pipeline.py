@@ -40,8 +40,9 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Sequences of at most 1024 tokens: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Workers that have held the
+    other stages keep a smaller table of pieces."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kept=30_000)
 
 
 STAGES = [
