@@ -14,7 +14,7 @@ from ..shipping import ship
 from ..storage import materialize
 
 #: A batch is worked off in slices of about so many characters, which bounds the numpy temporaries of a task.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 #: Bytes of an Arrow batch that Spark sends to a worker.
 BATCH_BYTES = 8 << 20
 
