@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, text_slices
 
-#: Pieces in the young table of a worker (twice as many without decoded texts); at that many it becomes the old one, and the
-#: old one goes.
+#: Pieces in a worker's young table (twice as many of those with a blank before them, some 200 bytes each); at that many it becomes
+#: the old one, and the old one goes.
 MAX_KEPT = 150_000
 # White space as Unicode has it; str.split() also cuts at U+001C to U+001F.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -54,18 +54,19 @@ class _Kept(dict):
         self.most, self.old = most, old
         self.ids: list[bytes] = []
         self.shown: list[bytes] = []
-        self.new: list[str] = []
+        self.new: list[tuple[str, int]] = []
 
     def __missing__(self, piece: str) -> int:
-        at = self[piece] = len(self.ids)
-        was = None if self.old is None else self.old.get(piece)
+        ids, old = self.ids, self.old
+        at = self[piece] = len(ids)
+        was = None if old is None else old.get(piece)
         if was is None:
-            self.new.append(piece)
-            self.ids.append(b"")
+            self.new.append((piece, at))
+            ids.append(b"")
             self.shown.append(b"")
         else:
-            self.ids.append(self.old.ids[was])
-            self.shown.append(self.old.shown[was])
+            ids.append(old.ids[was])
+            self.shown.append(old.shown[was])
         return at
 
     def turned(self) -> _Kept:
@@ -78,7 +79,8 @@ class _Kept(dict):
 class FlatBpe:
     """Tables of one tokenizer file; it can be pickled, and workers fill the piece tables for themselves."""
 
-    def __init__(self, file: dict):
+    def __init__(self, file: dict, kept: int = MAX_KEPT):
+        self.kept = kept
         model = file["model"]
         vocab: dict[str, int] = model["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
@@ -99,7 +101,7 @@ class FlatBpe:
         self._clear()
 
     def _clear(self) -> None:
-        self.plain, self.spaced = _Kept(MAX_KEPT), _Kept(2 * MAX_KEPT)
+        self.plain, self.spaced = _Kept(self.kept), _Kept(2 * self.kept)
         self.marks: dict[str, tuple[bytes, bytes]] = {}
 
     def __getstate__(self) -> dict:
@@ -110,9 +112,9 @@ class FlatBpe:
         self._clear()
 
     @classmethod
-    def from_file(cls, path: str) -> FlatBpe:
+    def from_file(cls, path: str, kept: int = MAX_KEPT) -> FlatBpe:
         with open(path, encoding="utf-8") as f:
-            return cls(json.load(f))
+            return cls(json.load(f), kept)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         pair = left * self.kind(self.size) + right
@@ -183,42 +185,47 @@ class FlatBpe:
             at = end
         return out
 
-    def _marked(self, kept: _Kept) -> list[str]:
-        """Fills the places of letters with one mark after them whose letters are known, and gives the other new pieces: letters and
-        marks are words of their own."""
-        rest = []
-        for p in kept.new:
+    def _mark(self, mark: str) -> tuple[bytes, bytes]:
+        if mark not in self.marks:
+            ids = self.merge([mark])[0]
+            self.marks[mark] = ids.tobytes(), " ".join([self.tokens[i] for i in ids.tolist()]).encode() if self.end else b""
+        return self.marks[mark]
+
+    def _learn(self, kept: _Kept, blank: str) -> None:
+        """Fills the places of the new pieces, which stand for themselves after `blank`. Letters alone are one word; one mark after
+        letters is a word of its own, so that such a piece is made of known ones where the letters are known."""
+        words, places, others = [], [], []
+        for p, at in kept.new:
+            if p.isalpha():
+                words.append(blank + p)
+                places.append(at)
+                continue
             known = kept.get(p[:-1]) if p[-1] in _MARKS and p[:-1].isalpha() else None
             if known is None or not kept.ids[known]:
-                rest.append(p)
+                others.append((p, at))
                 continue
-            mark = self.marks.get(p[-1])
-            if mark is None:
-                ids = self.merge([p[-1]])[0]
-                mark = self.marks[p[-1]] = ids.tobytes(), " ".join([self.tokens[i] for i in ids.tolist()]).encode() if self.end else b""
-            place = kept[p]
-            kept.ids[place] = kept.ids[known] + mark[0]
-            if self.end:
-                kept.shown[place] = kept.shown[known] + b" " + mark[1]
-        return rest
-
-    def _learn(self, kept: _Kept, blank: str) -> None:
-        """Fills the places of the new pieces, which stand for themselves after `blank`."""
-        pieces, kept.new = self._marked(kept), []
+            mark = self._mark(p[-1])
+            kept.ids[at] = kept.ids[known] + mark[0]
+            kept.shown[at] = kept.shown[known] + b" " + mark[1]
+        kept.new = []
         find = (_WORDS if self.end else _BYTES).findall
-        # letters alone are one word
-        cut = [(blank + p,) if p.isalpha() else find(blank + p) for p in pieces]
-        words = list({w for ws in cut for w in ws})
-        flat, at = self.merge(words)
+        cut = [find(blank + p) for p, _ in others]
+        alone = len(words)
+        words += {w for ws in cut for w in ws}
+        flat, bounds = self.merge(words)
         raw = flat.tobytes()
-        ids = dict(zip(words, [raw[4 * a : 4 * b] for a, b in zip(at, at[1:], strict=False)], strict=True))
+        found = [raw[4 * a : 4 * b] for a, b in zip(bounds, bounds[1:], strict=False)]
         names = list(map(self.tokens.__getitem__, flat.tolist())) if self.end else []
-        shown = dict(zip(words, [" ".join(names[a:b]) for a, b in zip(at, at[1:], strict=False)], strict=True)) if self.end else {}
-        for p, ws in zip(pieces, cut, strict=True):
-            place = kept[p]
-            kept.ids[place] = ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])
+        shown = [" ".join(names[a:b]).encode() for a, b in zip(bounds, bounds[1:], strict=False)] if self.end else []
+        for at, ids in zip(places, found, strict=False):
+            kept.ids[at] = ids
+        for at, text in zip(places, shown, strict=False):
+            kept.shown[at] = text
+        where = {w: alone + i for i, w in enumerate(words[alone:])}
+        for (_, at), ws in zip(others, cut, strict=True):
+            kept.ids[at] = b"".join([found[where[w]] for w in ws])
             if self.end:
-                kept.shown[place] = " ".join([shown[w] for w in ws]).encode()
+                kept.shown[at] = b" ".join([shown[where[w]] for w in ws])
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """Of each text the ids as little-endian unsigned 32-bit integers, and for word-end files the decoded text in UTF-8."""

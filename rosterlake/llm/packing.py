@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import FlatBpe
+from .bpe import MAX_KEPT, FlatBpe
 from .common import map_arrow, materialize, text_slices
 
 CAPACITY = 1024
@@ -61,9 +61,9 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("task", pa.int32()), ("nth", pa.int64())])
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, kept: int = MAX_KEPT) -> DataFrame:
     """One row per piece, with its task and its rank among that task's pieces of the same length."""
-    shared = docs.sparkSession.sparkContext.broadcast(FlatBpe.from_file(path))
+    shared = docs.sparkSession.sparkContext.broadcast(FlatBpe.from_file(path, kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
@@ -98,6 +98,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.join(F.broadcast(placed), on).select(*kept, (placed["first"] + ranked["rank"] - placed["low"]).alias("sequence_id"), placed["offset"].alias("offset"))
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset: every document in sequences of at most `capacity` tokens."""
-    return pack(materialize(token_pieces(docs, path, capacity, end_id), "pieces"), capacity)
+def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, kept: int = MAX_KEPT) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset: every document in sequences of at most `capacity` tokens.
+    kept: pieces of texts whose ids a worker keeps (see bpe), a matter of memory against time alone."""
+    return pack(materialize(token_pieces(docs, path, capacity, end_id, kept), "pieces"), capacity)

@@ -199,14 +199,14 @@ POOL = ["a", "B", " ", "  ", "\n", "\t", "é", "é", "Σ", "İ", "<|endoftext|>"
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_bpe_is_the_library(name, docs, monkeypatch):
+def test_bpe_is_the_library(name, docs):
     from tokenizers import Tokenizer
 
     library, own = Tokenizer.from_file(public_tokenizers.path(name)), bpe.FlatBpe.from_file(public_tokenizers.path(name))
     rng = random.Random(3)
     texts = ["".join(rng.choice(POOL) for _ in range(rng.randint(0, 14))) for _ in range(4000)] + list(texts_of(docs).values())
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
-    monkeypatch.setattr(bpe, "MAX_KEPT", 50)
+    own.kept = 50
     own._clear()
     got = [x for a in range(0, len(texts), 500) for x in own.encode(texts[a : a + 500])]
     assert [np.frombuffer(i, "<u4").tolist() for i, _ in got] == want
