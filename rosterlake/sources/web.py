@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import text as T
 from ..shipping import ship
-from ..storage import materialize
+from ..storage import materialize, number_within
 from . import files
 from .http import USER_AGENT, fetch
 
@@ -109,15 +109,15 @@ def sitemap_urls(spark: SparkSession, roots: DataFrame, options: dict[str, Any]
 def round_robin(urls: DataFrame, host_ord: str = "host_ord", pos: str = "pos") -> DataFrame:
     """Adds `turn`: the first urls of all hosts come first, then the second ones; order by (turn, host_ord). Empty urls go, and leave
     their turn."""
-    turn = F.row_number().over(Window.partitionBy(host_ord).orderBy(pos))
-    return urls.withColumn("turn", turn).where(F.col("url").isNotNull() & (F.col("url") != ""))
+    turns = number_within(urls, host_ord, [F.col(pos)], "turn")
+    return turns.withColumn("turn", F.col("turn").cast("int")).where(F.col("url").isNotNull() & (F.col("url") != ""))
 
 
 def cap_per_host(urls: DataFrame, most: int, host: str = "host", pos: str = "pos") -> DataFrame:
     """The first `most` urls of each host; all for 0."""
     if not most:
         return urls
-    return urls.withColumn("__n", F.row_number().over(Window.partitionBy(host).orderBy(pos))).where(F.col("__n") <= most).drop("__n")
+    return number_within(urls, host, [F.col(pos)], "__n").where(F.col("__n") <= most).drop("__n")
 
 
 class Robots:

@@ -38,3 +38,16 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "id") -> DataFra
     joined = marked.withColumn("__part", part).join(F.broadcast(offsets), "__part")
     number = F.col("__before") + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)) + 1
     return joined.select(number.alias(name), *df.columns)
+
+
+def number_within(df: DataFrame, key: str, order: list[Column], name: str = "id") -> DataFrame:
+    """df with a column 1..n in the given order within each key (null is a key of its own). As number_rows: a key with very many
+    rows stays spread over the partitions of the sort."""
+    marked = df.withColumn("__key", F.struct(F.col(key).isNull().alias("none"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key")))
+    marked = materialize(marked.orderBy("__key", *order).withColumn("__place", F.monotonically_increasing_id()), "numbered")
+    marked = marked.withColumn("__part", F.shiftright("__place", 33))
+    runs = marked.groupBy("__key", "__part").agg(F.min("__place").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("__before", F.coalesce(before, F.lit(0)))
+    number = F.col("__before") + F.col("__place") - F.col("__first") + 1
+    return marked.join(runs, ["__key", "__part"]).select(*df.columns, number.alias(name))

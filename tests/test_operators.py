@@ -9,7 +9,7 @@ from rosterlake.functions import html as H
 from rosterlake.functions import text as T
 from rosterlake.functions.similarity import ratio
 from rosterlake.operators import clean, fuzzy, match, signature
-from rosterlake.storage import number_rows
+from rosterlake.storage import number_rows, number_within
 
 
 def test_dedup_golden(spark):
@@ -124,3 +124,12 @@ def test_number_rows(spark):
     df = spark.range(1000).repartition(7).withColumnRenamed("id", "v")
     got = number_rows(df, [F.col("v").desc()]).collect()
     assert sorted((r["id"], r["v"]) for r in got) == [(i + 1, 999 - i) for i in range(1000)]
+
+
+def test_number_within(spark):
+    df = spark.range(500).select((F.col("id") % 3).alias("k"), F.col("id").alias("v")).withColumn("k", F.when(F.col("k") > 0, F.lit(7)).cast("long")).repartition(6)
+    got = sorted(((r["k"] or 0), r["v"], r["n"]) for r in number_within(df, "k", [F.col("v").desc()], "n").collect())
+    want = []
+    for k, values in ((0, [v for v in range(500) if v % 3 == 0]), (7, [v for v in range(500) if v % 3])):
+        want += [(k, v, i + 1) for i, v in enumerate(sorted(values, reverse=True))]
+    assert got == sorted(want)
