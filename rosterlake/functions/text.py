@@ -80,7 +80,7 @@ def filled(c: Column | str) -> Column:
 
 def normalize(c: Column | str) -> Column:
     """Matching form: е for ё, runs of other characters as one blank, upper case, trimmed; null is the empty text."""
-    folded = F.translate(_text(c), "Ёё", "Ее")
+    folded = F.replace(F.replace(_text(c), F.lit("Ё"), F.lit("Е")), F.lit("ё"), F.lit("е"))
     return F.coalesce(F.trim(F.upper(F.regexp_replace(folded, f"[^{WORD_CLASS}]+", " "))), F.lit(""))
 
 

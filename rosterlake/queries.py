@@ -17,7 +17,7 @@ from .functions.html import visible
 from .operators import clean, match, signature
 from .plans import merge, screen
 from .sources import html_lists, sinks, web
-from .storage import number_rows
+from .storage import number_rows, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,7 +34,8 @@ def query(sql: str | None = None) -> Callable:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(found.select("doc_id", "text", "lang")) if name == "documents" else found
 
 
 # ---------------------------------------------------------------- merging

@@ -20,6 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, if its files give fewer partitions than there are cores (one small file); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df below the shared folder and reads it back: a cut of lineage that survives the loss of any executor."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

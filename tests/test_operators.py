@@ -133,3 +133,11 @@ def test_number_within(spark):
     for k, values in ((0, [v for v in range(500) if v % 3 == 0]), (7, [v for v in range(500) if v % 3])):
         want += [(k, v, i + 1) for i, v in enumerate(sorted(values, reverse=True))]
     assert got == sorted(want)
+
+
+def test_exact_beyond_the_broadcast(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "A B C A B"), (2, ""), (3, "B")], "k long, norm_text string")
+    rows = spark.createDataFrame([(n, n, "", "org", "", i) for i, n in enumerate(("A B", "B", "B C A"))], match.PATTERN)
+    one = sorted(tuple(r) for r in match.find_exact(texts, rows, "k").collect())
+    monkeypatch.setattr(match, "BROADCAST_PATTERNS", 0)
+    assert one == sorted(tuple(r) for r in match.find_exact(texts, rows, "k").collect()) and len(one) == 6
