@@ -186,6 +186,12 @@ def test_hosts_odd(spark):
     assert {r["verdict"] for r in host_reputation.judge(pages, host_reputation.markup_outcomes(empty)).collect()} <= {"allow", "block"}
 
 
+def test_hosts_beyond_the_broadcast(spark, monkeypatch):
+    want = sorted(map(tuple, entries.op4_host_reputation(spark, SF).collect()), key=str)
+    monkeypatch.setattr(host_reputation, "BROADCAST_HOSTS", 0)
+    assert sorted(map(tuple, entries.op4_host_reputation(spark, SF).collect()), key=str) == want
+
+
 def test_reputation_shrinks(spark):
     rows = [("http://good.a.org/", True)] * 200 + [("http://bad.a.org/", False)] * 200 + [("http://new.a.org/", True)] + [("http://x.b.org/", True)] * 50
     table, _ = host_reputation.reputation(spark.createDataFrame(rows, "url string, good boolean"))
@@ -340,6 +346,8 @@ def near_copies():
 @pytest.mark.parametrize("small", [0, 64])
 def test_near_duplicates(spark, monkeypatch, small):
     monkeypatch.setattr(near_dedup, "SMALL", small)
+    if not small:  # the ways beyond the bounds of broadcasts
+        monkeypatch.setattr(near_dedup, "BROADCAST_IDS", 0)
     texts = near_copies()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
     for size, percent in ((3, 85), (5, 80)):
@@ -411,6 +419,9 @@ def passages():
 @pytest.mark.parametrize("small", [0, 32])
 def test_repeated_passages(spark, monkeypatch, small):
     monkeypatch.setattr(passage_dedup, "SMALL", small)
+    if not small:
+        monkeypatch.setattr(passage_dedup, "BROADCAST_IDS", 0)
+        monkeypatch.setattr(passage_dedup, "BROADCAST_SPANS", 0)
     texts, shared = passages()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
     found = passage_dedup.repeated_passages(df).collect()
@@ -423,17 +434,22 @@ def test_repeated_passages(spark, monkeypatch, small):
 
 
 def test_near_paragraphs(spark):
-    """A paragraph with one word changed at its end is joined by its shingles."""
-    words = [f"n{i}" for i in range(400)]
-    p = passage_dedup.paragraphs([" ".join(words)])
-    unit = [words[a : a + n] for a, n in zip(np.cumsum(p["n_words"]) - p["n_words"], p["n_words"], strict=True)]
-    long = max(unit[1:-1], key=len)
-    rows = [("x", "a", 1), ("y", "b", 2)]
-    sets = {h: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for h, w in (("a", long), ("b", [*long[:-1], "zz"]))}
-    assert rows and len(sets["a"] & sets["b"]) / len(sets["a"] | sets["b"]) >= 0.8
-    texts = {0: " ".join(long), 1: " ".join([*long[:-1], "zz"])}
+    """Short texts are one paragraph each; those that share a band key and are similar enough share a component."""
+    texts, own = {}, 0
+    for i in range(600):
+        words = [f"n{i}x{k}" for k in range(14)]
+        for t in (words, [*words[:-1], "zz"]):
+            p = passage_dedup.paragraphs([" ".join(t)])
+            if len(p["doc"]) > 1:
+                break
+        else:
+            texts[own], texts[own + 1] = " ".join(words), " ".join([*words[:-1], "zz"])
+            own += 2
+    assert own >= 4
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert {r["doc_id"] for r in passage_dedup.repeated_passages(df, 5).collect()} in ({0, 1}, set())
+    found = {r["doc_id"]: r["component_id"] for r in passage_dedup.repeated_passages(df).collect()}
+    expected = {i for i in texts if i % 2 == 0 for p, q in [(passage_dedup.paragraphs([texts[i]]), passage_dedup.paragraphs([texts[i + 1]]))] if p["key1"][0] == q["key1"][0] or p["key2"][0] == q["key2"][0]}
+    assert expected and set(found) == expected | {i + 1 for i in expected} and all(found[i] == found[i + 1] for i in expected)
 
 
 def test_passages_odd(odd, none):
