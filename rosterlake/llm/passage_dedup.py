@@ -1,12 +1,12 @@
-"""Substring dedup: paragraphs that repeat across documents are found by MinHash banding and removed but for one.
+"""Substring dedup: paragraphs that repeat across documents are found by prefixes of their hashed shingles and removed but for one.
 
 A paragraph is a content-defined run of words: a text is cut before each word pair whose hash is the least within REACH words on
 either side, so that a passage is cut alike wherever it stands, whatever surrounds it, and one of 50 words holds whole
 paragraphs. Paragraphs have REACH + 1 words at least (but for the ends of a text) and MAX_WORDS at most.
 
-1. Each paragraph has two band keys, the least hashes of its five-word shingles under two permutations; keys that occur in one
-   document only are dropped after a pre-aggregated count. Equal paragraphs share both keys; at a Jaccard similarity of
-   0.8 two paragraphs share one with a probability of 0.96.
+1. The keys of a paragraph are the least hashes of its n distinct five-word shingles, n - ceil(0.8 n) + 1 of them: two paragraphs at
+   a Jaccard similarity of 0.8 have ceil(0.8 n) shingles in common at least and so share a key (prefix filtering in the order
+   of the hashes), which loses no pair. Keys that occur in one document only are dropped after a pre-aggregated count.
 2. Equal paragraphs form classes. Classes that share a key are compared by the exact Jaccard similarity of their shingle sets. Keys
    shared by more than SMALL classes (a shingle of a very common line) are replaced by the classes' rarest shingles, as many as any class
    at the threshold must share (prefix filtering), which loses no pair.
@@ -48,7 +48,7 @@ _FOLD[0x41:0x5B] += 32
 
 def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     """Of all paragraphs: doc (index), no (within the text), start, end (characters), byte_start, byte_end, n_words, hash, key1,
-    key2; and the shingles with `owner` (index of the paragraph)."""
+    key2 (least hashes under two permutations); the shingles with `owner` (index of the paragraph); the keys with `key_owner`."""
     data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     flat = np.frombuffer(b" ".join([*data, b""]), np.uint8)
     sizes = np.array([len(d) + 1 for d in data], np.int64)
@@ -59,7 +59,7 @@ def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     n = len(first)
     empty = np.zeros(0, np.int64)
     if not n:
-        return dict.fromkeys(("doc", "no", "start", "end", "byte_start", "byte_end", "n_words", "hash", "key1", "key2", "shingle", "owner"), empty)
+        return dict.fromkeys(("doc", "no", "start", "end", "byte_start", "byte_end", "n_words", "hash", "key1", "key2", "shingle", "owner", "key", "key_owner"), empty)
     # words
     length = last - first
     kept = flat[~blank]
@@ -94,6 +94,14 @@ def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     inside = since + SHINGLE <= np.repeat(count, count)
     short = starts[count < SHINGLE]
     shingle[short], inside[short] = whole[count < SHINGLE], True
+    owner = np.repeat(np.arange(len(starts)), count)[inside]
+    order = mix(shingle[inside] ^ np.uint64(0x2545F4914F6CDD1D))
+    order = order[np.lexsort((order, owner))]
+    new = np.concatenate([[True], (order[1:] != order[:-1]) | (owner[1:] != owner[:-1])])
+    key, key_owner = order[new], owner[new]
+    n_set = np.bincount(key_owner, minlength=len(starts))
+    rank = np.arange(len(key)) - np.repeat(np.cumsum(n_set) - n_set, n_set)
+    prefix = rank <= (n_set + -n_set * PERCENT // 100)[key_owner]
     key1 = np.minimum.reduceat(np.where(inside, mix(shingle ^ np.uint64(0x2545F4914F6CDD1D)), _TOP), starts)
     key2 = np.minimum.reduceat(np.where(inside, mix(shingle ^ np.uint64(0x9FB21C651E98DF25)), _TOP), starts)
     chars = np.cumsum((flat & 0xC0) != 0x80)
@@ -104,11 +112,11 @@ def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     return {
         "doc": doc[starts], "no": no, "start": chars[b0] - 1 - base_chars, "end": chars[b1 - 1] - base_chars, "byte_start": b0 - base, "byte_end": b1 - base,
         "n_words": count, "hash": whole.astype(np.int64), "key1": key1.astype(np.int64), "key2": key2.astype(np.int64),
-        "shingle": shingle[inside].astype(np.int64), "owner": np.repeat(np.arange(len(starts)), count)[inside],
+        "shingle": shingle[inside].astype(np.int64), "owner": owner, "key": key[prefix].astype(np.int64), "key_owner": key_owner[prefix],
     }
 
 
-_UNIT = "doc_id long, no int, start int, end int, n_words int, hash long, key1 long, key2 long"
+_UNIT = "doc_id long, no int, start int, end int, n_words int, hash long, keys array<long>"
 
 
 def _units(docs: DataFrame) -> DataFrame:
@@ -117,8 +125,10 @@ def _units(docs: DataFrame) -> DataFrame:
             ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             for a, b in text_slices(texts):
                 p = paragraphs(texts[a:b])
+                bounds = np.searchsorted(p["key_owner"], np.arange(len(p["doc"]) + 1)).astype(np.int32)
+                keys = pa.ListArray.from_arrays(pa.array(bounds), pa.array(p["key"], pa.int64()))
                 small = [pa.array(p[k].astype(np.int32)) for k in ("no", "start", "end", "n_words")]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][p["doc"]], pa.int64()), *small, *(pa.array(p[k], pa.int64()) for k in ("hash", "key1", "key2"))], names=["doc_id", "no", "start", "end", "n_words", "hash", "key1", "key2"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][p["doc"]], pa.int64()), *small, pa.array(p["hash"], pa.int64()), keys], names=["doc_id", "no", "start", "end", "n_words", "hash", "keys"])
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     return map_arrow(chosen, run, _UNIT)
@@ -184,9 +194,9 @@ def _near(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """doc_id, no, start, end, n_words, component_id, first_doc_id, kept of each paragraph that repeats across documents."""
     units = materialize(_units(docs), "paragraphs")
-    keys = units.select("doc_id", F.explode(F.array("key1", "key2")).alias("key"))
+    keys = units.select("doc_id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key")
-    spread = units.select("doc_id", "no", "start", "end", "n_words", "hash", F.posexplode(F.array("key1", "key2")).alias("band", "key"))
+    spread = units.select("doc_id", "no", "start", "end", "n_words", "hash", F.explode("keys").alias("key"))
     members = materialize(spread.join(shared, "key"), "members")
     place = F.struct("doc_id", "start", "no")
     classes = members.groupBy("hash").agg(F.min(place).alias("first"), F.max("doc_id").alias("high"))

@@ -452,6 +452,22 @@ def test_near_paragraphs(spark):
     assert expected and set(found) == expected | {i + 1 for i in expected} and all(found[i] == found[i + 1] for i in expected)
 
 
+def test_near_links_are_all_found(spark):
+    """Every pair of one-paragraph texts at the threshold, by brute force, is in one component."""
+    rng, texts = random.Random(5), {}
+    while len(texts) < 240:
+        words = [f"q{rng.randrange(10**6)}" for _ in range(rng.randint(12, 18))]
+        edited = list(words)
+        edited[rng.choice([0, 1, -1, -2])] = "zz"
+        pair = [" ".join(w) for w in (words, edited)]
+        if all(len(passage_dedup.paragraphs([t])["doc"]) == 1 for t in pair):
+            texts |= {len(texts): pair[0], len(texts) + 1: pair[1]}
+    want = {i for i, (_, c) in brute_components(texts, 5, 80).items() if c != i}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["first_doc_id"] for r in passage_dedup.repeated_passages(df).collect()}
+    assert len(want) > 30 and {i for i, f in found.items() if f != i} == want and all(found[i] == i - 1 for i in want)
+
+
 def test_passages_odd(odd, none):
     rows = passage_dedup.repeated_passages(odd).collect()
     assert {r["doc_id"] for r in rows} == {10, 11}
