@@ -11,14 +11,22 @@ paragraphs. Paragraphs have REACH + 1 words at least (but for the ends of a text
    shared by more than SMALL classes (a shingle of a very common line) are replaced by the classes' rarest shingles, as many as any class
    at the threshold must share (prefix filtering), which loses no pair.
 3. Classes joined by links form components; a component that spans two documents or more repeats. Its first place (smallest
-   doc_id, then start) is kept. Paragraphs count only in runs of RUN_WORDS words or more.
+   doc_id, then start) is kept.
+4. Seeds are runs of RUN_WORDS words whose hash is the least in a window of PASSAGE words (winnowing): equal passages of PASSAGE
+   words or more have one in common wherever they stand, also where they hold no whole paragraph. They go through the steps
+   above as classes of their own.
+5. Touching places that are not kept are joined to stretches, and each is extended word by word to both sides as far as the words
+   are those at the kept place of its outer paragraph or seed, CONTEXT words at most. Where its outer seed is aligned otherwise
+   than its outer paragraph (which may be similar only), both are followed. Stretches count from RUN_WORDS words,
+   or in a run of so many with kept paragraphs beside them.
 
 Defined results: null, empty and wordless texts have no paragraphs; words are cut and folded as for shingles; offsets count characters;
-repeated rows of one doc_id are one document; no row is given for a document without repeated passages.
+repeated rows of one doc_id are one document; a stretch's `no` and component are those of its first part; no row is given for a document without repeated passages.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +42,16 @@ REACH = 6
 MAX_WORDS = 64
 SHINGLE, PERCENT = 5, 80
 RUN_WORDS = 12
+PASSAGE = 51
+#: Between the outermost whole paragraph or seed of a passage and its end lie fewer words than this.
+CONTEXT = MAX_WORDS + REACH + 1
 SMALL = 32
 #: Ids (8 bytes each) up to which the documents to be read again are found by a broadcast.
 BROADCAST_IDS = 2_000_000
 #: Documents with passages to be removed (lists of some spans of 8 bytes) up to which these are broadcast.
 BROADCAST_SPANS = 200_000
+#: A table of marks has 2 ** MAX_BITS bits at most (16 MB) and 16 per key below that; with more keys it lets more rows through, and loses none.
+MAX_BITS = 27
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -48,7 +61,8 @@ _FOLD[0x41:0x5B] += 32
 
 def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     """Of all paragraphs: doc (index), no (within the text), start, end (characters), byte_start, byte_end, n_words, hash, key1,
-    key2 (least hashes under two permutations); the shingles with `owner` (index of the paragraph); the keys with `key_owner`."""
+    key2 (least hashes under two permutations); the shingles with `owner` (index of the paragraph); the keys with `key_owner`;
+    of all seeds: seed_doc, seed_no (paragraph), seed_at (word), seed_start, seed_end, seed_hash."""
     data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     flat = np.frombuffer(b" ".join([*data, b""]), np.uint8)
     sizes = np.array([len(d) + 1 for d in data], np.int64)
@@ -59,7 +73,7 @@ def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     n = len(first)
     empty = np.zeros(0, np.int64)
     if not n:
-        return dict.fromkeys(("doc", "no", "start", "end", "byte_start", "byte_end", "n_words", "hash", "key1", "key2", "shingle", "owner", "key", "key_owner"), empty)
+        return dict.fromkeys(("doc", "no", "at", "start", "end", "byte_start", "byte_end", "n_words", "hash", "key1", "key2", "shingle", "owner", "key", "key_owner", "seed_doc", "seed_no", "seed_at", "seed_start", "seed_end", "seed_hash"), empty)
     # words
     length = last - first
     kept = flat[~blank]
@@ -91,6 +105,7 @@ def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     for k in range(SHINGLE):
         m = max(0, n - k)
         shingle[:m] = mix(shingle[:m] * _STEP + word[k:])
+    seeds, gram = _seeds(shingle, doc)
     inside = since + SHINGLE <= np.repeat(count, count)
     short = starts[count < SHINGLE]
     shingle[short], inside[short] = whole[count < SHINGLE], True
@@ -109,31 +124,69 @@ def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     base = begin[doc[starts]]
     base_chars = chars[base] - 1
     no = np.arange(len(starts)) - np.repeat(at0 := np.flatnonzero(head[starts]), np.diff(np.append(at0, len(starts))))
+    first_word = np.flatnonzero(head)[np.cumsum(head) - 1]
+    seed_base = begin[doc[seeds]]
+    seed_chars = chars[seed_base] - 1
     return {
-        "doc": doc[starts], "no": no, "start": chars[b0] - 1 - base_chars, "end": chars[b1 - 1] - base_chars, "byte_start": b0 - base, "byte_end": b1 - base,
+        "doc": doc[starts], "no": no, "at": starts - first_word[starts], "start": chars[b0] - 1 - base_chars, "end": chars[b1 - 1] - base_chars, "byte_start": b0 - base, "byte_end": b1 - base,
         "n_words": count, "hash": whole.astype(np.int64), "key1": key1.astype(np.int64), "key2": key2.astype(np.int64),
         "shingle": shingle[inside].astype(np.int64), "owner": owner, "key": key[prefix].astype(np.int64), "key_owner": key_owner[prefix],
+        "seed_doc": doc[seeds], "seed_no": no[np.searchsorted(starts, seeds, side="right") - 1], "seed_at": seeds - first_word[seeds],
+        "seed_start": chars[first[seeds]] - 1 - seed_chars, "seed_end": chars[last[seeds + RUN_WORDS - 1] - 1] - seed_chars, "seed_hash": gram.astype(np.int64),
     }
 
 
-_UNIT = "doc_id long, no int, start int, end int, n_words int, hash long, keys array<long>"
+def _seeds(shingle: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words at which a seed starts, and the seeds' hashes. shingle: of SHINGLE words from each word on."""
+    windows, n = PASSAGE - RUN_WORDS + 1, len(doc) - PASSAGE + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    m = len(doc) - RUN_WORDS + 1
+    gram = shingle[:m]
+    for k in (SHINGLE, RUN_WORDS - SHINGLE):
+        gram = mix(gram * _STEP + shingle[k : k + m])
+    least = _sliding(np.minimum, gram, windows)
+    least[doc[:n] != doc[PASSAGE - 1 :]] = 0  # windows that span two texts
+    pad = np.zeros(windows - 1, np.uint64)
+    seeds = np.flatnonzero((_sliding(np.maximum, np.concatenate([pad, least, pad]), windows) == gram) & (gram != 0))
+    return seeds, mix(gram[seeds] ^ np.uint64(0x2127599BF4325C37))
+
+
+def _sliding(function: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """function over each run of `width` values, by doubling."""
+    have = 1
+    while have * 2 <= width:
+        x, have = function(x[:-have], x[have:]), have * 2
+    return function(x[: len(x) - (width - have)], x[width - have :])
+
+
+_UNIT = "doc_id long, no int, at int, start int, end int, n_words int, hash long, keys array<long>"
 
 
 def _units(docs: DataFrame) -> DataFrame:
+    """Paragraphs, and seeds with -1 - no of the paragraph they start in."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             for a, b in text_slices(texts):
                 p = paragraphs(texts[a:b])
-                bounds = np.searchsorted(p["key_owner"], np.arange(len(p["doc"]) + 1)).astype(np.int32)
-                keys = pa.ListArray.from_arrays(pa.array(bounds), pa.array(p["key"], pa.int64()))
-                small = [pa.array(p[k].astype(np.int32)) for k in ("no", "start", "end", "n_words")]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][p["doc"]], pa.int64()), *small, pa.array(p["hash"], pa.int64()), keys], names=["doc_id", "no", "start", "end", "n_words", "hash", "keys"])
+                bounds = np.searchsorted(p["key_owner"], np.arange(len(p["doc"]) + 1))
+                keys = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(p["key"], pa.int64()))
+                yield _rows(ids[a:b][p["doc"]], [p[k] for k in ("no", "at", "start", "end", "n_words")], p["hash"], keys)
+                n = len(p["seed_doc"])
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32)), pa.array(p["seed_hash"], pa.int64()))
+                yield _rows(ids[a:b][p["seed_doc"]], [-1 - p["seed_no"], p["seed_at"], p["seed_start"], p["seed_end"], np.full(n, RUN_WORDS)], p["seed_hash"], keys)
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     return map_arrow(chosen, run, _UNIT)
 
 
+def _rows(ids: np.ndarray, small: list[np.ndarray], hashes: np.ndarray, keys: pa.ListArray) -> pa.RecordBatch:
+    columns = [pa.array(ids, pa.int64()), *(pa.array(x.astype(np.int32)) for x in small), pa.array(hashes, pa.int64()), keys]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "no", "at", "start", "end", "n_words", "hash", "keys"])
+
+
 def _shingle_sets(docs: DataFrame, places: DataFrame) -> DataFrame:
     """places: hash, doc_id, no. Gives hash and its distinct shingles, from the texts read again."""
     wanted = places.groupBy("doc_id").agg(F.collect_set("no").alias("nos"))
@@ -191,27 +244,193 @@ def _near(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
 
 
+_STRETCH = "doc_id long, no int, at int, end_at int, start int, end int, run_words int, kept boolean, components array<long>, top_doc long, asks array<struct<left:boolean,pos:int,word:int,to_doc:long,to_pos:int>>"
+
+
+def _stretches(parts: list[dict]) -> list[tuple]:
+    """The parts of one document as kept ones and as stretches of those that are not; both with the words of the run they lie in."""
+    parts.sort(key=lambda p: (p["at"], p["no"]))
+    runs, reach, bounds = [], -1, []
+    for p in parts:
+        end = p["at"] + p["n_words"]
+        if p["at"] > reach:
+            bounds.append([p["at"], end])
+        bounds[-1][1] = reach = max(bounds[-1][1], end)
+        runs.append(len(bounds) - 1)
+    out, stretches, covered = [], [], -1
+    for p, run in zip(parts, runs, strict=True):
+        end, words = p["at"] + p["n_words"], bounds[run][1] - bounds[run][0]
+        if p["kept"]:
+            if p["no"] >= 0 or end > covered:
+                out.append((_no(p), p["at"], end, p["start"], p["end"], words, True, [p["component"]], p["top_doc"], []))
+                covered = max(covered, end)
+        elif stretches and p["at"] <= stretches[-1][0]:
+            stretches[-1][2].append(p)
+            stretches[-1][0] = max(stretches[-1][0], end)
+        else:
+            stretches.append([end, words, [p]])
+    for end, words, some in stretches:
+        first, last = some[0], max(some, key=lambda p: p["at"] + p["n_words"])
+        seeds = [p for p in some if p["no"] < 0]
+        asks = [(True, first["start"], first["at"], first["top_doc"], first["top_start"]), (False, last["end"], end, last["top_doc"], last["top_end"])]
+        if seeds and _turned(first, seeds[0]) and seeds[0]["at"] - first["at"] < PASSAGE:
+            asks.append((True, seeds[0]["start"], seeds[0]["at"], seeds[0]["top_doc"], seeds[0]["top_start"]))
+        if seeds and _turned(last, seeds[-1]) and end - seeds[-1]["at"] - RUN_WORDS < PASSAGE:
+            asks.append((False, seeds[-1]["end"], seeds[-1]["at"] + RUN_WORDS, seeds[-1]["top_doc"], seeds[-1]["top_end"]))
+        asks = [dict(zip(("left", "pos", "word", "to_doc", "to_pos"), x, strict=True)) for x in asks]
+        out.append((_no(first), first["at"], end, first["start"], last["end"], words, False, [p["component"] for p in some], first["top_doc"], asks))
+    return out
+
+
+def _no(part: dict) -> int:
+    return max(part["no"], -1 - part["no"])
+
+
+def _turned(a: dict, b: dict) -> bool:
+    """Whether the kept places of two parts do not lie as the parts do."""
+    return a["top_doc"] != b["top_doc"] or a["start"] - b["start"] != a["top_start"] - b["top_start"] or a["end"] - b["end"] != a["top_end"] - b["top_end"]
+
+
+_WORD = rb"[^ \t\n\v\f\r]+"
+_AFTER = re.compile(rb"(?:[ \t\n\v\f\r]*%b){0,%d}" % (_WORD, CONTEXT))
+
+
+def _context(text: str, pos: int, left: bool) -> str:
+    """The CONTEXT words of text before or after pos, with the white space between."""
+    if not left:
+        return _AFTER.match(text[pos:].encode("utf-8", "surrogatepass"))[0].decode("utf-8", "surrogatepass")
+    data = text[:pos].encode("utf-8", "surrogatepass")
+    words = data.rsplit(None, CONTEXT)
+    return (data[len(words[0]) :] if len(words) > CONTEXT else data).decode("utf-8", "surrogatepass")
+
+
+def _common(own: str, other: str, left: bool) -> tuple[int, int]:
+    """How many words nearest to the place are the same in both, and the characters of own they take."""
+    a, b = (x.encode("utf-8", "surrogatepass") for x in (own, other))
+    x, y = a.lower().split(), b.lower().split()
+    n, step = 0, -1 if left else 1
+    for u, v in zip(x[::step], y[::step], strict=False):
+        if u != v:
+            break
+        n += 1
+    if not n:
+        return 0, 0
+    if left:
+        rest = a.rsplit(None, n)
+        part = a[len(rest[0]) :].lstrip() if len(rest) > n else a.lstrip()
+    else:
+        part = re.match(rb"(?:[ \t\n\v\f\r]*%b){%d}" % (_WORD, n), a)[0]
+    return n, len(part.decode("utf-8", "surrogatepass"))
+
+
+def _extensions(docs: DataFrame, stretches: DataFrame) -> DataFrame:
+    """doc_id, at, and the word and character to which each stretch grows on its left (from, low) and right (to, high), where it does."""
+    asked = materialize(stretches.select("doc_id", "at", F.explode("asks").alias("s")).select("doc_id", "at", "s.*"), "asked")
+    none = F.lit(None)
+    targets = asked.select(F.col("to_doc").alias("doc_id"), none.cast("int").alias("at"), "left", F.col("to_pos").alias("pos"), none.cast("int").alias("word"), none.cast("long").alias("to_doc"), none.cast("int").alias("to_pos")).distinct()
+    spots = asked.unionByName(targets).groupBy("doc_id").agg(F.collect_list(F.struct("at", "left", "pos", "word", "to_doc", "to_pos")).alias("spots"))
+    joined = with_rows_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), spots, "inner", BROADCAST_SPANS).select("doc_id", "text", "spots")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(i, *s.values(), _context(t or "", s["pos"], s["left"])) for i, t, some in zip(*(c.to_pylist() for c in batch.columns), strict=True) for s in some]
+            columns = list(zip(*rows, strict=True)) or [[]] * 8
+            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "at", "left", "pos", "word", "to_doc", "to_pos", "context"])
+
+    found = materialize(map_arrow(joined, read, "doc_id long, at int, left boolean, pos int, word int, to_doc long, to_pos int, context string"), "contexts")
+    kept = found.where("at is null").select(F.col("doc_id").alias("to_doc"), F.col("pos").alias("to_pos"), "left", F.col("context").alias("other")).dropDuplicates(["to_doc", "to_pos", "left"])
+    pairs = found.where("at is not null").join(kept, ["to_doc", "to_pos", "left"]).select("doc_id", "at", "left", "pos", "word", "context", "other")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, *places, own, other = (c.to_pylist() for c in batch.columns[2:])
+            same = [_common(a, b, k) for a, b, k in zip(own, other, left, strict=True)]
+            pos, word = (pa.array([x - s[k] if side else x + s[k] for x, s, side in zip(x, same, left, strict=True)], pa.int32()) for k, x in ((1, places[0]), (0, places[1])))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pos, word], names=["doc_id", "at", "left", "pos", "word"])
+
+    grown = map_arrow(pairs, compare, "doc_id long, at int, left boolean, pos int, word int")
+    low = lambda name: F.min(F.when(F.col("left"), F.col(name)))
+    high = lambda name: F.max(F.when(~F.col("left"), F.col(name)))
+    return grown.groupBy("doc_id", "at").agg(low("pos").alias("low"), low("word").alias("from"), high("pos").alias("high"), high("word").alias("to"))
+
+
+def _marks(keys: DataFrame) -> np.ndarray:
+    """A bit table with the bit of each key set; which one the upper bits of its mix say (keys are least hashes, so theirs are not even)."""
+    bits = min(MAX_BITS, max(16, 4 + keys.count().bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits - 6, np.uint64)
+        for batch in batches:
+            at = mix(batch.column(0).to_numpy().view(np.uint64)) >> np.uint64(64 - bits)
+            np.bitwise_or.at(table, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        used = np.flatnonzero(table)
+        yield pa.RecordBatch.from_pydict({"at": used, "word": table[used].astype(np.int64)})
+
+    found = map_arrow(keys, run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    table = np.zeros(1 << bits - 6, np.uint64)
+    table[found["at"].to_numpy()] = found["word"].to_numpy().view(np.uint64)
+    return table
+
+
+def _with_marked(units: DataFrame, marks: np.ndarray) -> DataFrame:
+    """units with `key` for `keys`, a row for each key whose bit is set: what is shuffled is little more than what is shared."""
+    held, bits = units.sparkSession.sparkContext.broadcast(marks), len(marks).bit_length() + 5
+    names = [*units.columns[:-1], "key"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(batch.num_columns - 1)
+            key = keys.flatten().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy())
+            at = mix(key.view(np.uint64)) >> np.uint64(64 - bits)
+            take = (held.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+            rows = batch.take(pa.array(owner[take]))
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(key[take])], names=names)
+
+    return map_arrow(units, run, _UNIT.replace("keys array<long>", "key long"))
+
+
 def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """doc_id, no, start, end, n_words, component_id, first_doc_id, kept of each paragraph that repeats across documents."""
+    """doc_id, no, start, end, n_words, component_id, first_doc_id, kept of each passage that repeats across documents: of the
+    paragraphs that are kept, and of whole stretches elsewhere."""
     units = materialize(_units(docs), "paragraphs")
     keys = units.select("doc_id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key")
-    spread = units.select("doc_id", "no", "start", "end", "n_words", "hash", F.explode("keys").alias("key"))
-    members = materialize(spread.join(shared, "key"), "members")
-    place = F.struct("doc_id", "start", "no")
+    shared = materialize(shared, "shared-keys")
+    members = materialize(_with_marked(units, _marks(shared)).join(shared, "key"), "members")
+    place = F.struct("doc_id", "start", "no", "end")
     classes = members.groupBy("hash").agg(F.min(place).alias("first"), F.max("doc_id").alias("high"))
     classes = materialize(classes, "classes")
-    found = components(_near(docs, members, classes))
+    found = components(_near(docs, members.where("no >= 0"), classes))
     at = found.select(F.col("node").alias("hash"), F.col("component"))
     classes = classes.join(at, "hash", "left").withColumn("component", F.coalesce("component", "hash"))
     spans = classes.groupBy("component").agg(F.min("first").alias("top"), F.max("high").alias("high")).where(F.col("top.doc_id") != F.col("high"))
-    chosen = materialize(classes.select("hash", "component").join(spans, "component").select("hash", "component", F.col("top.doc_id").alias("top_doc"), F.col("top.no").alias("top_no")), "repeats")
-    rows = members.select("doc_id", "no", "start", "end", "n_words", "hash").distinct().join(chosen, "hash")
-    kept = (F.col("doc_id") == F.col("top_doc")) & (F.col("no") == F.col("top_no"))
-    in_order = Window.partitionBy("doc_id").orderBy("no")
-    rows = rows.withColumn("run", F.col("no") - F.row_number().over(in_order))
-    rows = rows.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "run"))).where(F.col("run_words") >= run_words)
-    return rows.select("doc_id", "no", "start", "end", "n_words", F.col("component").alias("component_id"), F.col("top_doc").alias("first_doc_id"), kept.alias("kept"))
+    chosen = materialize(classes.select("hash", "component").join(spans, "component").select("hash", "component", F.col("top.doc_id").alias("top_doc"), F.col("top.no").alias("top_no"), F.col("top.start").alias("top_start"), F.col("top.end").alias("top_end")), "repeats")
+    rows = members.select("doc_id", "no", "at", "start", "end", "n_words", "hash").distinct().join(chosen, "hash")
+    kept = (F.col("doc_id") == F.col("top_doc")) & (F.col("no") == F.col("top_no")) & (F.col("start") == F.col("top_start"))
+    parts = rows.withColumn("kept", kept).groupBy("doc_id").agg(F.collect_list(F.struct("no", "at", "start", "end", "n_words", "component", "top_doc", "top_start", "top_end", "kept")).alias("parts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in _STRETCH.split(", ")]
+        ask = pa.struct([("left", pa.bool_()), ("pos", pa.int32()), ("word", pa.int32()), ("to_doc", pa.int64()), ("to_pos", pa.int32())])
+        kinds = [pa.int64(), *[pa.int32()] * 6, pa.bool_(), pa.list_(pa.int64()), pa.int64(), pa.list_(ask)]
+        for batch in batches:
+            out = [(i, *s) for i, some in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for s in _stretches(some)]
+            columns = list(zip(*out, strict=True)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    stretches = materialize(map_arrow(parts, run, _STRETCH), "stretches")
+    grown = stretches.where("not kept").join(_extensions(docs, stretches), ["doc_id", "at"], "left")
+    grown = grown.withColumns({"start": F.least("start", "low"), "from": F.least("at", "from"), "end": F.greatest("end", "high"), "end_at": F.greatest("end_at", "to")})
+    before = Window.partitionBy("doc_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    grown = grown.withColumns({"start": F.greatest("start", F.max("end").over(before)), "from": F.greatest("from", F.max("end_at").over(before))}).where("end > start")
+    grown = grown.withColumn("n_words", F.col("end_at") - F.col("from")).where(F.greatest("n_words", "run_words") >= run_words)
+    grown = materialize(grown.select("doc_id", "no", "start", "end", "n_words", "components", F.col("top_doc").alias("first_doc_id"), F.lit(False).alias("kept")), "grown")
+    first = stretches.where("kept").select("doc_id", "no", "start", "end", (F.col("end_at") - F.col("at")).alias("n_words"), "run_words", F.col("components")[0].alias("component_id"), F.col("top_doc").alias("first_doc_id"), "kept")
+    short = first.where(F.col("run_words") < run_words).join(grown.select(F.explode("components").alias("component_id")).distinct(), "component_id", "left_semi")
+    names = ["doc_id", "no", "start", "end", "n_words", "component_id", "first_doc_id", "kept"]
+    return grown.withColumn("component_id", F.col("components")[0]).select(names).unionByName(first.where(F.col("run_words") >= run_words).select(names)).unionByName(short.select(names))
 
 
 def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:

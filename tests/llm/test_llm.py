@@ -468,6 +468,27 @@ def test_near_links_are_all_found(spark):
     assert len(want) > 30 and {i for i, f in found.items() if f != i} == want and all(found[i] == i - 1 for i in want)
 
 
+def test_passages_are_removed_whole(spark):
+    """Passages of 51 words between random ones: every copy but the first goes with each of its words, and of what is beside it at
+    most the few words by which a similar paragraph differs."""
+    rng, texts = random.Random(12), {}
+    words = lambda n: [f"v{rng.randrange(10**7)}" for _ in range(n)]
+    shared = [words(51) for _ in range(150)]
+    around = [(words(60), words(60)) for _ in range(300)]
+    for i, (a, b) in enumerate(around):
+        texts[i] = " ".join([*a, *shared[i % 150], *b])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    left = texts_of(passage_dedup.remove_repeats(df, passage_dedup.repeated_passages(df)))
+    assert all(left[i] == texts[i] for i in range(150))
+    beside = []
+    for i in range(150, 300):
+        rest = left[i].split()
+        assert not set(rest) & set(shared[i - 150]), i
+        beside.append(120 - len(rest))
+        assert set(rest) <= set(around[i][0]) | set(around[i][1])
+    assert max(beside) <= 6 and beside.count(0) > 100
+
+
 def test_passages_odd(odd, none):
     rows = passage_dedup.repeated_passages(odd).collect()
     assert {r["doc_id"] for r in rows} == {10, 11}
