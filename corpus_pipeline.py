@@ -15,9 +15,12 @@ from rosterlake.llm.common import materialize, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those whose language is in doubt (score under 0.5). The model learns from the
-    input's own lang column, a bounded sample of each language."""
-    return language_id.keep_identified(docs, language_id.fit(docs.select("doc_id", "text", "lang")))
+    """Rejects documents without a letter, those whose language is in doubt (score under 0.5) and those in no language of the
+    input. The model learns from the input's own lang column, a bounded sample of each language; how far known texts stray is
+    taken from all labelled rows."""
+    labelled = docs.select("doc_id", "text", "lang")
+    model = language_id.fit(labelled)
+    return language_id.keep_identified(docs, model, spread=language_id.spread_of(labelled, model))
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,12 @@ ORDERS = 3
 #: A model learns from about so many labelled texts per language at most, chosen by a hash of their id.
 MAX_TRAIN_PER_LANG = 20_000
 SMOOTHING = 0.1
+#: A text so many standard deviations below its language's mean is in none of the learned languages.
+DEVIATIONS = 10
+#: Texts of fewer n-grams (a word or two) cannot be told from foreign ones and are not rejected for this.
+LEAST_GRAMS = 16
+#: Labelled rows from which their spread is known.
+LEAST_ROWS = 100
 _PRIMES = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 
 
@@ -93,6 +99,10 @@ class Model:
     weights: np.ndarray  # log-probabilities, BUCKETS x languages
 
     def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        return self.measure(texts)[:2]
+
+    def measure(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, mean log-likelihood per n-gram in that language, and n-grams of each order."""
         total = np.zeros((len(texts), len(self.langs)))
         grams, has_letter = np.zeros(len(texts)), np.zeros(len(texts), bool)
         for owner, letter, buckets in gram_buckets(texts):
@@ -107,7 +117,7 @@ class Model:
             np.add.at(grams, who, np.diff(np.append(cuts, len(owner))))
             has_letter[who] |= np.logical_or.reduceat(letter, cuts)
         if not self.langs:
-            return ["und"] * len(texts), np.zeros(len(texts))
+            return ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), grams
         # the orders overlap and are not independent: their mean stands for one of them
         post = self.prior + total / ORDERS
         post -= post.max(axis=1, keepdims=True)
@@ -115,7 +125,52 @@ class Model:
         prob /= prob.sum(axis=1, keepdims=True)
         best = prob.argmax(axis=1)
         pred = [self.langs[b] if ok else "und" for b, ok in zip(best, has_letter, strict=True)]
-        return pred, np.where(has_letter, prob.max(axis=1), 0.0)
+        mean = total[np.arange(len(texts)), best] / ORDERS / np.maximum(grams, 1)
+        return pred, np.where(has_letter, prob.max(axis=1), 0.0), mean, grams
+
+
+@dataclass(frozen=True)
+class Spread:
+    """Of the mean log-likelihood per n-gram of known texts: the mean in each language, and a variance of base + per_gram / n-grams,
+    and the furthest that a labelled text lies below its language's mean: no labelled text is rejected."""
+
+    means: dict[str, float]
+    base: float
+    per_gram: float
+    furthest: float
+
+    def known(self, pred: list[str], mean: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        centre = np.array([self.means.get(x, -np.inf) for x in pred])
+        room = DEVIATIONS * np.sqrt(self.base + self.per_gram / np.maximum(grams, 1))
+        return (grams < LEAST_GRAMS) | (mean >= centre - np.maximum(room, self.furthest))
+
+
+def spread_of(labelled: DataFrame, model: Model) -> Spread | None:
+    """Over all labelled rows; None if they are too few to tell. Sums per language are what reaches the driver."""
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2_048):
+                pred, _, mean, grams = shared.value.measure(batch.slice(a, 2_048).column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(pred, pa.string()), pa.array(mean), pa.array(1 / np.maximum(grams, 1))], names=["lang", "m", "r"])
+
+    rows = map_arrow(labelled.where("lang is not null").select("text"), run, "lang string, m double, r double").where("lang <> 'und'")
+    sums = [F.sum(x).alias(k) for k, x in {"n": F.lit(1), "m": F.col("m"), "mm": F.expr("m*m"), "r": F.col("r"), "rr": F.expr("r*r"), "rm": F.expr("r*m"), "rmm": F.expr("r*m*m")}.items()]
+    least = F.min(F.when(F.col("r") * LEAST_GRAMS <= 1, F.col("m")))
+    found = rows.groupBy("lang").agg(*sums, least.alias("least")).collect()
+    n = sum(x["n"] for x in found)
+    if n < LEAST_ROWS:
+        return None
+    # least squares of the squared distances from the language's mean on the reciprocal of the n-grams
+    means = {x["lang"]: x["m"] / x["n"] for x in found}
+    d = sum(x["mm"] - x["m"] * means[x["lang"]] for x in found)
+    rd = sum(x["rmm"] - 2 * x["rm"] * means[x["lang"]] + x["r"] * means[x["lang"]] ** 2 for x in found)
+    r, rr = (sum(x[k] for x in found) for k in ("r", "rr"))
+    room = n * rr - r * r
+    slope = max(0.0, (n * rd - r * d) / room) if room > 1e-12 else 0.0
+    furthest = max((means[x["lang"]] - x["least"] for x in found if x["least"] is not None), default=0.0)
+    return Spread(means, max(1e-3, (d - slope * r) / n), slope, furthest + 1e-6)
 
 
 def crc_bucket(id_column: Column, modulus: int) -> Column:
@@ -171,15 +226,17 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     return map_arrow(chosen, run, f"{ddl}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
-    """The rows of docs, as they are, whose language is known with a score of at least min_score."""
+def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, spread: Spread | None = None) -> DataFrame:
+    """The rows of docs, as they are, whose language is known with a score of at least min_score. The score says which of the learned
+    languages it is; with a spread, texts in none of them (or in no language) are rejected too."""
     shared, text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 2_048):
                 part = batch.slice(a, 2_048)
-                pred, score = shared.value.score(part.column(text).to_pylist())
-                yield part.filter(pa.array((np.array(pred, object) != "und") & (score >= min_score), pa.bool_()))
+                pred, score, mean, grams = shared.value.measure(part.column(text).to_pylist())
+                keep = (np.array(pred, object) != "und") & (score >= min_score)
+                yield part.filter(pa.array(keep & spread.known(pred, mean, grams) if spread else keep, pa.bool_()))
 
     return map_arrow(docs, run, ddl_of(docs))

@@ -93,6 +93,23 @@ def test_language_odd(odd, none, docs):
     assert {r["lang_pred"] for r in language_id.predict(odd, empty).collect()} == {"und"}
 
 
+def test_unknown_languages_are_rejected(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(2)
+    odd = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах, они наделены разумом и совестью",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待",
+        *("".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(6 * n)) for n in (20, 50, 100)),
+    ]
+    more = docs.unionByName(spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(odd)], "doc_id long, text string, lang string"), allowMissingColumns=True)
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, more, "").select("doc_id").collect()}
+    clear = {r["doc_id"] for r in language_id.keep_identified(docs, language_id.fit(docs)).select("doc_id").collect()}
+    assert kept == clear and len(clear) > 990
+
+
 # ---------------------------------------------------------------- quality
 
 
