@@ -86,7 +86,13 @@ def _posterior(n: Column, k: Column, mean: Column, strength: float) -> Column:
 
 
 def reputation(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """outcomes: url, good (boolean or null). Gives (host, bound, mean) per host seen, and one row with the same for a new host."""
+    """outcomes: url, good (boolean or null). Gives (host, bound, mean) per host seen, and one row with the same for a new host
+    of a new suffix."""
+    return _levels(outcomes)[::3]
+
+
+def _levels(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """bound and mean by host; for new hosts, by domain and by suffix; and the one row for all others."""
     seen = outcomes.where("good is not null").select(host_of(F.col("url")).alias("host"), F.col("good").cast("long").alias("good"))
     hosts = seen.groupBy("host").agg(F.count("*").alias("n"), F.sum("good").alias("k"))
     hosts = hosts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
@@ -103,8 +109,11 @@ def reputation(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     domains = domains.join(suffixes, "suffix").select("domain", _posterior(n, k, F.col("suffix_mean"), s_domain).alias("domain_mean"))
     a, b = k + F.col("domain_mean") * s_host, n - k + (1 - F.col("domain_mean")) * s_host
     found = hosts.join(domains, "domain").select("host", a.alias("a"), b.alias("b"))
+    # a new host of a known domain is drawn from below the domain, a new domain from below its suffix
+    of_domain = domains.select("domain", (F.col("domain_mean") * s_host).alias("a"), ((1 - F.col("domain_mean")) * s_host).alias("b"))
+    of_suffix = suffixes.select("suffix", (F.col("suffix_mean") * s_domain).alias("a"), ((1 - F.col("suffix_mean")) * s_domain).alias("b"))
     new = hosts.sparkSession.createDataFrame([(top * s_suffix, (1 - top) * s_suffix)], "a double, b double")
-    return _bounded(found, "host"), _bounded(new)
+    return _bounded(found, "host"), _bounded(of_domain, "domain"), _bounded(of_suffix, "suffix"), _bounded(new)
 
 
 def _bounded(df: DataFrame, *keep: str) -> DataFrame:
@@ -115,14 +124,17 @@ def _bounded(df: DataFrame, *keep: str) -> DataFrame:
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES, min_bound: float = MIN_BOUND) -> DataFrame:
     """page_id, host, path, rule, verdict of every page."""
-    table, new = reputation(outcomes)
+    table, domains, suffixes, new = _levels(outcomes)
     new_bound = new.first()["bound"]
-    if table.count() <= BROADCAST_HOSTS:
-        table = F.broadcast(table)
+    if table.count() <= BROADCAST_HOSTS:  # there are no more domains or suffixes than hosts
+        table, domains, suffixes = F.broadcast(table), F.broadcast(domains), F.broadcast(suffixes)
     url, host, path = F.col("url"), F.col("host"), F.col("path")
     parts = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
-    by_method = F.when(F.coalesce(F.col("bound"), F.lit(new_bound)) >= min_bound, "allow").otherwise("block")
-    return parts.join(table, "host", "left").select(
+    parts = parts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
+    domains = domains.select("domain", F.col("bound").alias("domain_bound"))
+    suffixes = suffixes.select("suffix", F.col("bound").alias("suffix_bound"))
+    by_method = F.when(F.coalesce("bound", "domain_bound", "suffix_bound", F.lit(new_bound)) >= min_bound, "allow").otherwise("block")
+    return parts.join(table, "host", "left").join(domains, "domain", "left").join(suffixes, "suffix", "left").select(
         "page_id", "host", "path",
         rule_of(host, path, rules, lambda r: F.lit(r.name)).alias("rule"),
         F.coalesce(rule_of(host, path, rules, lambda r: F.lit(r.verdict)), by_method).alias("verdict"),

@@ -216,6 +216,16 @@ def test_reputation_shrinks(spark):
     assert mean["good.a.org"] > 0.95 and mean["bad.a.org"] < 0.05 and 0.3 < mean["new.a.org"] < 0.9
 
 
+def test_new_hosts_lean_on_their_domain(spark):
+    rows = [(f"http://h{i % 20}.bad.org/", False) for i in range(400)] + [(f"http://h{i % 20}.good.org/", True) for i in range(400)]
+    rows += [(f"http://h.d{i % 40}.info/", False) for i in range(400)] + [(f"http://h.d{i % 40}.dev/", True) for i in range(800)]
+    outcomes = spark.createDataFrame(rows, "url string, good boolean")
+    urls = ["http://new.bad.org/", "http://new.good.org/", "http://new.else.info/", "http://new.else.dev/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in host_reputation.judge(pages, outcomes, rules=(), min_bound=0.6).collect()}
+    assert got == {0: "block", 1: "allow", 2: "block", 3: "allow"}
+
+
 # ---------------------------------------------------------------- BPE and packing
 
 POOL = ["a", "B", " ", "  ", "\n", "\t", "é", "é", "Σ", "İ", "<|endoftext|>", "<|startoftext|>", "<|ENDoftext|>", "'s", "'LL", "12", "³", "Ⅷ", "中文", "\xa0", "\u2003", "\x1c", "\x1f", "\x85", "😀", "‍", "ſ", "ǅ", "ﬁ", "'", "''", "!!", "aaa", "ΟΔΟΣ ", "\ufeff", "\x00", "ß", "foo", " bar", "."]
