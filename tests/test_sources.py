@@ -192,3 +192,13 @@ def test_stream(spark, tmp_path):
     run()
     run()
     assert sorted(r["page_url"] for r in spark.read.parquet(f"{tmp_path}/found").select(F.col("page_url")).collect()) == ["u1", "u3"]
+
+
+def test_stream_finds_near_hits(spark, tmp_path):
+    from rosterlake.operators import match
+
+    patterns = spark.createDataFrame([("KITTENS", "Kittens", "", "org", "", 0)], match.PATTERN).cache()
+    spark.createDataFrame([(1, "u1", "<p>a kitten here"), (2, "u2", "<p>none")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages")
+    options = {"threshold": 90, "min_len": 6, "max_words": 1}
+    screen_stream(spark, f"{tmp_path}/pages", patterns, f"{tmp_path}/found", f"{tmp_path}/done", fuzzy_options=options).awaitTermination()
+    assert [(r["page_url"], r["stage"]) for r in spark.read.parquet(f"{tmp_path}/found").collect()] == [("u1", 1)]
