@@ -30,7 +30,41 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df below the shared folder and reads it back: a cut of lineage that survives the loss of any executor."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _OPEN:
+        _OPEN[-1].written.append((found, path))
+    return found
+
+
+_OPEN: list[Scratch] = []
+
+
+class Scratch:
+    """`with Scratch() as s:` deletes at its end what materialize() has written inside, but for the frames given to s.keep(): those
+    belong to the scope around it, if there is one, and else stay. What is made from deleted frames must be written before."""
+
+    def __init__(self) -> None:
+        self.written: list[tuple[DataFrame, str]] = []
+        self.kept: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.append(df)
+        return df
+
+    def __enter__(self) -> Scratch:
+        _OPEN.append(self)
+        return self
+
+    def __exit__(self, *failed: object) -> None:
+        _OPEN.remove(self)
+        for df, path in self.written:
+            if any(df is x for x in self.kept):
+                if _OPEN:
+                    _OPEN[-1].written.append((df, path))
+            else:
+                spark = df.sparkSession
+                place = spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def number_rows(df: DataFrame, order: list[Column], name: str = "id") -> DataFrame:
