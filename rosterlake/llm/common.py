@@ -7,16 +7,18 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from ..storage import materialize
+from ..storage import Scratch, materialize
 
 #: A batch is worked off in slices of about so many characters, which bounds the numpy temporaries of a task.
 SLICE_CHARS = 500_000
 #: Bytes of an Arrow batch that Spark sends to a worker.
 BATCH_BYTES = 8 << 20
+#: Bytes up to which the rows that a step looks up are broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +29,17 @@ def ddl_of(df: DataFrame) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def with_rows_of(docs: DataFrame, rows: DataFrame, how: str, most: int) -> DataFrame:
-    """docs joined by doc_id with rows, which are broadcast only if they are at most so many."""
+def with_rows_of(docs: DataFrame, rows: DataFrame, how: str, size: Column | int = 64) -> DataFrame:
+    """docs joined by doc_id with rows, which are written and then broadcast only if they take at most BROADCAST_BYTES; size: bytes of
+    a row in memory, an upper bound. Beyond that both sides are shuffled."""
     rows = materialize(rows, "rows-by-doc")
-    return docs.join(F.broadcast(rows) if rows.count() <= most else rows, "doc_id", how)
+    return docs.join(sized(rows, size), "doc_id", how)
+
+
+def sized(rows: DataFrame, size: Column | int = 64) -> DataFrame:
+    """rows (written ones), marked for a broadcast if they are small enough for it."""
+    total = rows.count() * size if isinstance(size, int) else rows.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(rows) if total <= BROADCAST_BYTES else rows
 
 
 def _trim() -> None:

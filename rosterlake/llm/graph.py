@@ -1,7 +1,7 @@
 """Connected components by alternating large-star and small-star steps (Kiveris et al. 2014) on DataFrames.
 
-Every step is a pre-aggregated minimum per node and a join with it, so a node with very many neighbours is neither collected nor
-held by one task; each iteration is written to the shared folder.
+Every step is a pre-aggregated minimum per node and a join with it. No node's neighbours are collected: the rows of a node with very many
+stream through the join, whose large partitions are split (adaptive skew join). Each iteration is written to the shared folder.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlake.llm import audio_features, ball_tree, bpe, chat_format, entries, graph, host_reputation, language_id, near_dedup, packing, passage_dedup, quality
+from rosterlake.llm import audio_features, ball_tree, bpe, chat_format, common, entries, graph, host_reputation, language_id, near_dedup, packing, passage_dedup, quality
 from rosterlake.llm.common import text_slices
 
 SF = "/root/testdata/sf0.001"
@@ -370,35 +370,124 @@ def near_copies():
     return texts | {200: None, 201: "", 202: "Two Words", 203: "two\x0bwords", 204: "Éa b c", 205: "éa b c", 206: " ", 207: "one"}
 
 
-@pytest.mark.parametrize("small", [0, 64])
-def test_near_duplicates(spark, monkeypatch, small):
-    monkeypatch.setattr(near_dedup, "SMALL", small)
-    if not small:  # the ways beyond the bounds of broadcasts
-        monkeypatch.setattr(near_dedup, "BROADCAST_IDS", 0)
-    texts = near_copies()
+def second_family():
+    """Documents that share few of the leader's shingles but each other's, so that they are linked below it only; and singles."""
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(100)]
+    texts = {i: " ".join([*base[:100], f"z{i}"]) for i in range(60)}
+    texts |= {100 + i: " ".join([*base[:92], *[f"y{k}" for k in range(10)], f"x{i}"]) for i in range(60)}
+    for i in range(200, 240):
+        words = list(base)
+        for _ in range(4):
+            words[rng.randrange(100)] = f"q{rng.randrange(30)}"
+        texts[i] = " ".join(words)
+    return texts
+
+
+@pytest.mark.parametrize("way", ["usual", "beyond"])
+@pytest.mark.parametrize("make", [near_copies, second_family])
+def test_near_duplicates(spark, monkeypatch, way, make):
+    if way == "beyond":  # the ways beyond the bounds of broadcasts, and classes looked up
+        monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(near_dedup, "HOT", 1)
+        monkeypatch.setattr(near_dedup, "ESTIMATED", 40)
+    texts = make()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
     for size, percent in ((3, 85), (5, 80)):
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(df, size, percent).collect()}
         assert got == brute_components(texts, size, percent)
 
 
+def test_near_duplicates_sql(spark):
+    c = duckdb.connect()
+    c.sql(f"create view documents as select * from '{SF}/documents.parquet'")
+    key = lambda df: sorted(map(tuple, df[["doc_id", "n_shingles", "component_id", "kept"]].values.tolist()))
+    want = key(c.sql(near_dedup.ORACLE_SQL).df())
+    assert key(entries.op7_hyperminhash(spark, SF).toPandas()) == want and sum(not r[3] for r in want) > 5
+
+
 def test_near_duplicates_odd(odd, none):
     rows = near_dedup.near_duplicates(odd, 3, 85).collect()
-    assert len(rows) == 15 and {(r["doc_id"], r["component_id"], r["kept"]) for r in rows if r["doc_id"] in (5, 6, 10, 11, 0, 1)} == {(5, 5, True), (6, 5, False), (10, 10, True), (11, 10, False), (0, 0, True), (1, 1, True)}
+    assert len(rows) == 15 and {(r["doc_id"], r["component_id"], r["kept"]) for r in rows if r["doc_id"] in (5, 6, 10, 11, 0, 1, None)} == {(5, 5, True), (6, 5, False), (10, 10, True), (11, 10, False), (0, 0, True), (1, 1, True), (None, None, True)}
     assert near_dedup.near_duplicates(none).count() == 0
     kept = near_dedup.drop_near_duplicates(odd, 3, 85)
     assert kept.columns == odd.columns and kept.count() == 13
 
 
+def test_rows_that_share_an_id(spark):
+    """Rows with one doc_id and different texts, in any order: each has its own links, and no text is lost."""
+    rows = [(1, "a b c d e f g"), (2, "t u v w x y z"), (2, "a b c d e f g"), (3, "t u v w x y z"), (3, "t u v w x y z"), (4, "t u v w x y z")]
+    want = [(1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False), (3, 2, False), (4, 2, False)]
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(df, 3, 85).collect()) == want
+        kept = [tuple(r) for r in near_dedup.drop_near_duplicates(df, 3, 85).collect()]
+        assert {i for i, _ in kept} == {1, 2} and {t for _, t in kept} == {t for _, t in rows}
+
+
+def joined_rows(df):
+    """Rows that all joins of a plan have made."""
+    df.collect()
+    total = []
+
+    def walk(node):
+        if "Join" in node.nodeName():
+            total.append(node.metrics().apply("numOutputRows").value())
+        if "QueryStage" in node.nodeName():
+            walk(node.plan())
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+
+    walk(df._jdf.queryExecution().executedPlan().finalPhysicalPlan())
+    return sum(total)
+
+
+def test_second_family_makes_few_pairs(spark):
+    """m documents of one component below the leader of another, and three singles: pairs grow with m, not with its square."""
+    made = []
+    for m in (100, 200):
+        rows = [(1, 10 + i, 60, 60, 5, True, [7, 8, 9, *range(1000 + 3 * i, 1003 + 3 * i)]) for i in range(m)]
+        rows += [(1, 900 + i, 60, 60, 50 + i, True, [7, *range(9000 + 6 * i, 9006 + 6 * i)]) for i in range(3)]
+        made.append(joined_rows(near_dedup._linked_below(spark.createDataFrame(rows, "lead long, x long, n long, lead_n long, at long, outside boolean, diff array<long>"), 50)))
+    assert 100 < made[0] and made[1] < 3 * made[0]
+
+
+def test_registers_are_those_of_the_least_values():
+    rng = np.random.default_rng(7)
+    for n in (1, 5, 300, 5_000):
+        hashes = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        held = near_dedup.registers(hashes)
+        for j in range(near_dedup.BUCKETS):
+            inside = [int(h) * near_dedup.BUCKETS for h in hashes.tolist() if int(h) * near_dedup.BUCKETS >> 64 == j]
+            if inside:
+                least = min(x % 2**64 for x in inside)
+                zeros = 64 - least.bit_length()
+                mantissa = (least << zeros >> (63 - near_dedup.MANTISSA)) % 2**near_dedup.MANTISSA
+                assert held[j] == j << 16 | zeros << near_dedup.MANTISSA | mantissa
+
+
+def test_collisions_by_simulation(monkeypatch):
+    """Registers of sets without a common shingle are equal as often as the correction says, whatever the sizes."""
+    monkeypatch.setattr(near_dedup, "MANTISSA", 3)
+    rng = np.random.default_rng(3)
+    for n, m in ((800, 800), (800, 6_000), (6_000, 6_000)):
+        equal = []
+        for _ in range(150):
+            a, b = (np.sort(rng.integers(0, 2**64, k, dtype=np.uint64)) for k in (n, m))
+            equal.append((near_dedup.registers(a) == near_dedup.registers(b)).mean())
+        assert abs(np.mean(equal) / near_dedup.collisions(n, m) - 1) < 0.12
+
+
 def test_estimate():
     rng = np.random.default_rng(4)
     errors = []
     for j in (0.5, 0.8, 0.95):
         for _ in range(30):
-            pool = np.unique(rng.integers(0, 2**63, 1200).astype(np.uint64))
+            pool = np.unique(rng.integers(0, 2**63, 1200).astype(np.uint64) * np.uint64(2))
             both = int(len(pool) * j)
+            rng.shuffle(pool)
             one, two = pool[: both + (len(pool) - both) // 2], np.concatenate([pool[:both], pool[both + (len(pool) - both) // 2 :]])
-            errors.append(near_dedup.estimate(near_dedup.registers(np.sort(one)), near_dedup.registers(np.sort(two))) - both / len(pool))
+            errors.append(near_dedup.estimate(near_dedup.registers(np.sort(one)), near_dedup.registers(np.sort(two)), len(one), len(two)) - both / len(pool))
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
 
 
