@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, map_arrow, materialize, with_rows_of
-from .graph import components
+from .linking import link
 from .shingles import mix, shingle_hashes, text_words, word_hashes
 
 BUCKETS, ROWS = 192, 6
@@ -194,66 +194,7 @@ def _differences(placed: DataFrame, sets: DataFrame) -> DataFrame:
                     diffs.append(np.concatenate([np.setdiff1d(own, lead, assume_unique=True), np.setdiff1d(lead, own, assume_unique=True)]).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([*part.columns[:6], pa.array(diffs, pa.list_(pa.int64()))], names=["lead", "x", "n", "lead_n", "at", "outside", "diff"])
 
-    return materialize(map_arrow(joined, run, "lead long, x long, n long, lead_n long, at long, outside boolean, diff array<long>"), "differences")
-
-
-def _linked_below(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) below leaders: x (its set differs from the leader's in dx hashes) and y link only if their differences share at
-    least (dx + dy - most) / 2 of them, where most is what two linked sets may differ in. That is at least one if x is outside the
-    leader's component, so the differences are joined by the prefixes that must meet, what was added to the leader's set (which
-    is rare) first. The differences give the exact similarity, too."""
-    share = (100 - percent) / (100 + percent)
-    d, n = F.size("diff"), F.col("n")
-    half = F.greatest(F.lit(1), F.ceil((d - share * F.greatest(F.lit(0), n - F.col("lead_n"))) / 2 - 1e-9))
-    whole = F.greatest(F.lit(1), F.ceil(d - share * n * (1 + 100 / percent) - 1e-9))
-    # an outside member meets outside ones by the first `reach` of its hashes, inside ones by all of its prefix
-    reach = (d - half + 1).cast("int")
-    prefix = F.when(F.col("outside"), F.greatest(reach, (d - whole + 1).cast("int"))).otherwise(reach)
-    each = rows.select("lead", "x", "at", "outside", "n", d.alias("d"), reach.alias("reach"), F.posexplode(F.slice("diff", F.lit(1), prefix)).alias("pos", "hash"))
-    counts = each.groupBy("lead", "hash", "at").agg(F.count("*").alias("k"), F.max("outside").alias("open"))
-    # where members of several components meet: `main` is the one with most members, the smallest of equals
-    met = counts.groupBy("lead", "hash").agg(F.max_by("at", F.struct("k", -F.col("at"))).alias("main"), F.count("*").alias("ats"), F.max("open").alias("open"))
-    met = met.where("ats > 1 and open").select("lead", "hash", "main")
-    each = materialize(each.join(met, ["lead", "hash"]), "meetings")
-
-    def side(k: str, chosen: DataFrame) -> DataFrame:
-        return chosen.select("lead", "hash", *(F.col(c).alias(f"{c}_{k}") for c in ("x", "at", "outside", "n", "d", "reach", "pos")), *(["main"] if k == "b" else []))
-
-    # where the first hash in common stands bounds how many can follow: as many as the pair needs?
-    rest = F.least(F.col("d_a") - F.col("pos_a"), F.col("d_b") - F.col("pos_b"))
-    enough = rest * 2 >= F.col("d_a") + F.col("d_b") - share * (F.col("n_a") + F.col("n_b")) - 1e-9
-    apart = F.expr("at_a <> at_b and (at_b = main or x_a < x_b) and (outside_a or outside_b)")
-    near = F.expr("case when outside_a and outside_b then pos_a < reach_a and pos_b < reach_b else true end")
-    pairs = side("a", each.where("at <> main")).join(side("b", each), ["lead", "hash"]).where(apart & near & enough).select("lead", "x_a", "x_b").distinct()
-    a, b = (rows.select("lead", *(F.col(c).alias(f"{c}_{k}") for c in ("x", "n", "diff"))) for k in "ab")
-    differ = F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b"))
-    total = F.col("n_a") + F.col("n_b")
-    links = pairs.join(a, ["lead", "x_a"]).join(b, ["lead", "x_b"]).where((total - differ) * 100 >= (total + differ) * percent)
-    return links.select(F.col("x_a").alias("a"), F.col("x_b").alias("b"))
-
-
-def _class_links(docs: DataFrame, banded: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(node, component) of the classes that are linked, but for the smallest node of each component. banded: node, n, key."""
-    shared = banded.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    members = materialize(banded.join(shared, "key"), "members")
-    weights = members.groupBy("node").agg(F.sum("members").alias("weight"))
-    order = F.struct("weight", (-F.col("node")).alias("minus"), "n")
-    leaders = members.join(weights, "node").groupBy("key").agg(F.max(order).alias("top")).select("key", (-F.col("top.minus")).alias("lead"), F.col("top.n").alias("lead_n"))
-    led = members.join(leaders, "key").where("node <> lead").select(F.col("node").alias("x"), "n", "lead", "lead_n").distinct()
-    led = materialize(led, "led")
-    wanted = members.select("node").distinct().join(classes, "node").select(F.col("first").alias("doc_id"), "one", "two", "node")
-    sets = materialize(_sets(docs, wanted, size), "sets")
-    alike = F.least("n", "lead_n") * 100 >= F.greatest("n", "lead_n") * percent
-    found = components(_linked(led.where(alike).select(F.col("x").alias("a"), F.col("lead").alias("b")), sets, percent))
-
-    # second look: pairs below one leader whose components differ, at least one of them outside the leader's component
-    at = found.select(F.col("node").alias("x"), F.col("component").alias("at"))
-    lead_at = found.select(F.col("node").alias("lead"), F.col("component").alias("lead_at"))
-    placed = led.join(at, "x", "left").withColumn("at", F.coalesce("at", "x")).join(lead_at, "lead", "left")
-    placed = placed.withColumn("outside", F.col("at") != F.coalesce("lead_at", "lead"))
-    open_ = placed.groupBy("lead").agg(F.max("outside").alias("open"), F.count("*").alias("below")).where("open and below > 1").select("lead")
-    rows = _differences(materialize(placed.join(open_, "lead"), "placed"), sets)
-    return components(_linked_below(rows, percent).unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    return map_arrow(joined, run, "lead long, x long, n long, lead_n long, at long, outside boolean, diff array<long>")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -266,7 +207,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         classes = materialize(classes, "classes")
         reps = full.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
         reps = materialize(reps.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), "keys"), "representatives")
-        linked = _class_links(docs, reps.select("node", "n", F.explode("keys").alias("key")), classes, size, percent)
+        banded = reps.select("node", "n", F.explode("keys").alias("key"))
+        shared = banded.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+        members = materialize(banded.join(shared, "key"), "members")
+        wanted = members.select("node").distinct().join(classes, "node").select(F.col("first").alias("doc_id"), "one", "two", "node")
+        sets = materialize(_sets(docs, wanted, size), "sets")
+        linked = link(members, percent, lambda pairs: _linked(pairs, sets, percent), lambda placed: _differences(placed, sets))
         nodes = linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct())
         nodes = nodes.join(classes.select("node", "first"), "node")
         least = nodes.groupBy("component").agg(F.min("first").alias("component_id"))

@@ -1,41 +1,44 @@
-"""Substring dedup: paragraphs that repeat across documents are found by prefixes of their hashed shingles and removed but for one.
+"""Substring dedup: MinHash banding of paragraphs, exact Jaccard similarity, and removal of all but one place of each component.
 
 A paragraph is a content-defined run of words: a text is cut before each word pair whose hash is the least within REACH words on
 either side, so that a passage is cut alike wherever it stands, whatever surrounds it, and one of 50 words holds whole
 paragraphs. Paragraphs have REACH + 1 words at least (but for the ends of a text) and MAX_WORDS at most.
 
-1. The keys of a paragraph are the least hashes of its n distinct five-word shingles, n - ceil(0.8 n) + 1 of them: two paragraphs at
-   a Jaccard similarity of 0.8 have ceil(0.8 n) shingles in common at least and so share a key (prefix filtering in the order
-   of the hashes), which loses no pair. Keys that occur in one document only are dropped after a pre-aggregated count.
-2. Equal paragraphs form classes. Classes that share a key are compared by the exact Jaccard similarity of their shingle sets. Keys
-   shared by more than SMALL classes (a shingle of a very common line) are replaced by the classes' rarest shingles, as many as any class
-   at the threshold must share (prefix filtering), which loses no pair.
+1. The bands of a paragraph are the least MinHash values of its n distinct five-word shingles, each a band of one row. Their number is
+   tuned to the threshold: two paragraphs at a Jaccard similarity of 0.8 share ceil(0.8 n) shingles at least, so with
+   n - ceil(0.8 n) + 1 bands they share one for certain (a recall of 1). Bands that occur in one document only are dropped after a
+   pre-aggregated count; a bit table of the others is what the paragraphs are filtered by where they are.
+2. Equal paragraphs form classes. Classes that share a band are compared by the exact Jaccard similarity of their shingle sets: all
+   pairs of up to SMALL classes; of more (a very common line) each with its leaders, and the others by their differences from
+   these (linking.py), so that pairs grow with the classes and none is lost.
 3. Classes joined by links form components; a component that spans two documents or more repeats. Its first place (smallest
    doc_id, then start) is kept.
 4. Seeds are runs of RUN_WORDS words whose hash is the least in a window of PASSAGE words (winnowing): equal passages of PASSAGE
    words or more have one in common wherever they stand, also where they hold no whole paragraph. They go through the steps
    above as classes of their own.
 5. Touching places that are not kept are joined to stretches, and each is extended word by word to both sides as far as the words
-   are those at the kept place of its outer paragraph or seed, CONTEXT words at most. Where its outer seed is aligned otherwise
-   than its outer paragraph (which may be similar only), both are followed. Stretches count from RUN_WORDS words,
-   or in a run of so many with kept paragraphs beside them.
+   are those at the kept place of its outer paragraph or seed, CONTEXT words at most (a passage's outermost seed is no further from
+   its end). Where its outer seed is aligned otherwise than its outer paragraph (which may be similar only), both are followed.
+   Stretches count from RUN_WORDS words, or in a run of so many with kept paragraphs beside them.
 
 Defined results: null, empty and wordless texts have no paragraphs; words are cut and folded as for shingles; offsets count characters;
-repeated rows of one doc_id are one document; a stretch's `no` and component are those of its first part; no row is given for a document without repeated passages.
+repeated rows (doc_id and text) are one document; rows that share a doc_id but not a text are told apart by text_crc32, and what only
+they share does not repeat across documents; a row without doc_id takes no part; a stretch's `no` and component are those of its first
+part; no row is given for a document without repeated passages.
 """
 
 from __future__ import annotations
 
-import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ddl_of, map_arrow, materialize, text_slices, with_rows_of
-from .graph import components
+from .common import Scratch, ddl_of, map_arrow, materialize, sized, text_slices
+from .linking import link
 from .shingles import _LETTER, _STEP, mix
 
 REACH = 6
@@ -43,15 +46,17 @@ MAX_WORDS = 64
 SHINGLE, PERCENT = 5, 80
 RUN_WORDS = 12
 PASSAGE = 51
-#: Between the outermost whole paragraph or seed of a passage and its end lie fewer words than this.
-CONTEXT = MAX_WORDS + REACH + 1
+CONTEXT = PASSAGE - RUN_WORDS + 1
+#: Classes that share a band and are compared with each other outright.
 SMALL = 32
-#: Ids (8 bytes each) up to which the documents to be read again are found by a broadcast.
-BROADCAST_IDS = 2_000_000
-#: Documents with passages to be removed (lists of some spans of 8 bytes) up to which these are broadcast.
-BROADCAST_SPANS = 200_000
-#: A table of marks has 2 ** MAX_BITS bits at most (16 MB) and 16 per key below that; with more keys it lets more rows through, and loses none.
-MAX_BITS = 27
+#: The bit table has 2 ** MAX_BITS bits at most (8 MB) and 16 per band below that; with more bands it lets more paragraphs through, and
+#: loses none.
+MAX_BITS = 26
+#: Kept places that more than max(HOT, asks / MOST_HOT) stretches are compared with are looked up in a broadcast table: there are MOST_HOT
+#: of them at most.
+HOT, MOST_HOT = 256, 10_000
+#: Up to so many paragraphs a slice's shingles are sorted within them by one 64-bit key.
+_OWNERS = 1 << 20
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -59,29 +64,47 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
 
 
-def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
-    """Of all paragraphs: doc (index), no (within the text), start, end (characters), byte_start, byte_end, n_words, hash, key1,
-    key2 (least hashes under two permutations); the shingles with `owner` (index of the paragraph); the keys with `key_owner`;
-    of all seeds: seed_doc, seed_no (paragraph), seed_at (word), seed_start, seed_end, seed_hash."""
-    data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    flat = np.frombuffer(b" ".join([*data, b""]), np.uint8)
-    sizes = np.array([len(d) + 1 for d in data], np.int64)
-    begin = np.cumsum(sizes) - sizes
-    blank = _SPACE[flat]
-    turn = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
-    first, last = np.flatnonzero(turn == -1), np.flatnonzero(turn == 1)
+class Words:
+    """The words of texts (bytes) in flat arrays: byte places first and last + 1 in flat, hash, and the text that each is of."""
+
+    def __init__(self, data: list[bytes]):
+        self.flat = flat = np.frombuffer(b" ".join([*data, b""]), np.uint8)
+        sizes = np.array([len(d) + 1 for d in data], np.int64)
+        self.begin = np.cumsum(sizes) - sizes
+        blank = _SPACE[flat]
+        turn = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
+        self.first, self.last = np.flatnonzero(turn == -1), np.flatnonzero(turn == 1)
+        self.doc = np.searchsorted(self.begin, self.first, side="right") - 1
+        if not len(self.first):
+            self.hash = np.zeros(0, np.uint64)
+            return
+        length = self.last - self.first
+        kept = flat[~blank]
+        at = np.cumsum(length) - length
+        place = np.arange(len(kept)) - np.repeat(at, length)
+        power = np.cumprod(np.full(int(length.max()), _STEP, np.uint64))
+        self.hash = mix(np.add.reduceat(_LETTER[_FOLD[kept]] * power[place], at) + length.astype(np.uint64))
+
+    def characters(self) -> np.ndarray:
+        """Of each byte, the number of characters of all texts (and the blanks between) up to it, itself included."""
+        return np.cumsum((self.flat & 0xC0) != 0x80)
+
+
+def _bytes(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def paragraphs(data: list[bytes]) -> dict[str, np.ndarray]:
+    """Of all paragraphs of texts in UTF-8: doc (index), no (within the text), at (its first word), start, end (characters), byte_start,
+    byte_end, n_words, n_set (distinct shingles), closes (it ends its text), hash; the shingles with `owner` (index of the paragraph);
+    the bands with `key_owner`; of all seeds: seed_doc, seed_no (paragraph), seed_at (word), seed_start, seed_end, seed_closes,
+    seed_hash."""
+    words = Words(data)
+    first, last, word, doc = words.first, words.last, words.hash, words.doc
     n = len(first)
-    empty = np.zeros(0, np.int64)
     if not n:
-        return dict.fromkeys(("doc", "no", "at", "start", "end", "byte_start", "byte_end", "n_words", "hash", "key1", "key2", "shingle", "owner", "key", "key_owner", "seed_doc", "seed_no", "seed_at", "seed_start", "seed_end", "seed_hash"), empty)
-    # words
-    length = last - first
-    kept = flat[~blank]
-    at = np.cumsum(length) - length
-    place = np.arange(len(kept)) - np.repeat(at, length)
-    power = np.cumprod(np.full(int(length.max()), _STEP, np.uint64))
-    word = mix(np.add.reduceat(_LETTER[_FOLD[kept]] * power[place], at) + length.astype(np.uint64))
-    doc = np.searchsorted(begin, first, side="right") - 1
+        empty = np.zeros(0, np.int64)
+        return dict.fromkeys(("doc", "no", "at", "start", "end", "byte_start", "byte_end", "n_words", "n_set", "closes", "hash", "shingle", "owner", "key", "key_owner", "seed_doc", "seed_no", "seed_at", "seed_start", "seed_end", "seed_closes", "seed_hash"), empty)
     # cuts: the least pair hash within REACH words on either side, the leftmost where equal
     pair = np.full(n, _TOP)
     pair[:-1] = mix(word[:-1] * _STEP + word[1:])
@@ -111,28 +134,30 @@ def paragraphs(texts: list[str | None]) -> dict[str, np.ndarray]:
     shingle[short], inside[short] = whole[count < SHINGLE], True
     owner = np.repeat(np.arange(len(starts)), count)[inside]
     order = mix(shingle[inside] ^ np.uint64(0x2545F4914F6CDD1D))
-    order = order[np.lexsort((order, owner))]
+    if len(starts) <= _OWNERS:
+        bits = np.uint64(_OWNERS.bit_length() - 1)
+        order = order[np.argsort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (order >> bits))]
+    else:
+        order = order[np.lexsort((order, owner))]
     new = np.concatenate([[True], (order[1:] != order[:-1]) | (owner[1:] != owner[:-1])])
     key, key_owner = order[new], owner[new]
     n_set = np.bincount(key_owner, minlength=len(starts))
     rank = np.arange(len(key)) - np.repeat(np.cumsum(n_set) - n_set, n_set)
     prefix = rank <= (n_set + -n_set * PERCENT // 100)[key_owner]
-    key1 = np.minimum.reduceat(np.where(inside, mix(shingle ^ np.uint64(0x2545F4914F6CDD1D)), _TOP), starts)
-    key2 = np.minimum.reduceat(np.where(inside, mix(shingle ^ np.uint64(0x9FB21C651E98DF25)), _TOP), starts)
-    chars = np.cumsum((flat & 0xC0) != 0x80)
+    chars = words.characters()
     b0, b1 = first[starts], last[starts + count - 1]
-    base = begin[doc[starts]]
+    base = words.begin[doc[starts]]
     base_chars = chars[base] - 1
     no = np.arange(len(starts)) - np.repeat(at0 := np.flatnonzero(head[starts]), np.diff(np.append(at0, len(starts))))
     first_word = np.flatnonzero(head)[np.cumsum(head) - 1]
-    seed_base = begin[doc[seeds]]
-    seed_chars = chars[seed_base] - 1
+    tail = np.append(head[1:], True)  # the last word of a text
+    seed_chars = chars[words.begin[doc[seeds]]] - 1
     return {
         "doc": doc[starts], "no": no, "at": starts - first_word[starts], "start": chars[b0] - 1 - base_chars, "end": chars[b1 - 1] - base_chars, "byte_start": b0 - base, "byte_end": b1 - base,
-        "n_words": count, "hash": whole.astype(np.int64), "key1": key1.astype(np.int64), "key2": key2.astype(np.int64),
+        "n_words": count, "n_set": n_set, "closes": tail[starts + count - 1], "hash": whole.astype(np.int64),
         "shingle": shingle[inside].astype(np.int64), "owner": owner, "key": key[prefix].astype(np.int64), "key_owner": key_owner[prefix],
         "seed_doc": doc[seeds], "seed_no": no[np.searchsorted(starts, seeds, side="right") - 1], "seed_at": seeds - first_word[seeds],
-        "seed_start": chars[first[seeds]] - 1 - seed_chars, "seed_end": chars[last[seeds + RUN_WORDS - 1] - 1] - seed_chars, "seed_hash": gram.astype(np.int64),
+        "seed_start": chars[first[seeds]] - 1 - seed_chars, "seed_end": chars[last[seeds + RUN_WORDS - 1] - 1] - seed_chars, "seed_closes": tail[seeds + RUN_WORDS - 1], "seed_hash": gram.astype(np.int64),
     }
 
 
@@ -160,7 +185,16 @@ def _sliding(function: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
     return function(x[: len(x) - (width - have)], x[width - have :])
 
 
-_UNIT = "doc_id long, no int, at int, start int, end int, n_words int, hash long, keys array<long>"
+_PLACE = ["doc_id", "tid", "no", "at", "start", "end", "n_words", "n_set", "closes", "hash"]
+_KINDS = [pa.int64(), pa.int64(), *[pa.int32()] * 6, pa.bool_(), pa.int64()]
+_UNIT = "doc_id long, tid long, no int, at int, start int, end int, n_words int, n_set int, closes boolean, hash long, keys array<long>"
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, tid (the text's CRC32, which tells rows with one doc_id apart) and text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where("doc_id is not null")
+    return chosen.select("doc_id", F.crc32("text").alias("tid"), "text")
 
 
 def _units(docs: DataFrame) -> DataFrame:
@@ -168,202 +202,270 @@ def _units(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            ids, tids, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
             for a, b in text_slices(texts):
-                p = paragraphs(texts[a:b])
+                p = paragraphs([_bytes(t) for t in texts[a:b]])
                 bounds = np.searchsorted(p["key_owner"], np.arange(len(p["doc"]) + 1))
-                keys = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(p["key"], pa.int64()))
-                yield _rows(ids[a:b][p["doc"]], [p[k] for k in ("no", "at", "start", "end", "n_words")], p["hash"], keys)
+                own = [ids[a:b][p["doc"]], tids[a:b][p["doc"]], *(p[k] for k in _PLACE[2:])]
+                yield _rows(own, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(p["key"], pa.int64())))
                 n = len(p["seed_doc"])
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32)), pa.array(p["seed_hash"], pa.int64()))
-                yield _rows(ids[a:b][p["seed_doc"]], [-1 - p["seed_no"], p["seed_at"], p["seed_start"], p["seed_end"], np.full(n, RUN_WORDS)], p["seed_hash"], keys)
+                own = [ids[a:b][p["seed_doc"]], tids[a:b][p["seed_doc"]], -1 - p["seed_no"], p["seed_at"], p["seed_start"], p["seed_end"], np.full(n, RUN_WORDS), np.ones(n), p["seed_closes"], p["seed_hash"]]
+                yield _rows(own, pa.ListArray.from_arrays(pa.array(np.arange(n + 1), pa.int32()), pa.array(p["seed_hash"], pa.int64())))
+
+    return map_arrow(_texts(docs), run, _UNIT)
 
-    chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
-    return map_arrow(chosen, run, _UNIT)
 
+def _rows(columns: list[np.ndarray], keys: pa.ListArray) -> pa.RecordBatch:
+    arrays = [pa.array(x.astype(k.to_pandas_dtype()), k) for x, k in zip(columns, _KINDS, strict=True)]
+    return pa.RecordBatch.from_arrays([*arrays, keys], names=[*_PLACE, "keys"])
 
-def _rows(ids: np.ndarray, small: list[np.ndarray], hashes: np.ndarray, keys: pa.ListArray) -> pa.RecordBatch:
-    columns = [pa.array(ids, pa.int64()), *(pa.array(x.astype(np.int32)) for x in small), pa.array(hashes, pa.int64()), keys]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "no", "at", "start", "end", "n_words", "hash", "keys"])
 
+def _with_places(docs: DataFrame, places: DataFrame, how: str, size: Column) -> DataFrame:
+    """The texts joined with rows by doc_id and tid, broadcast if they are small."""
+    return _texts(docs).join(sized(materialize(places, "places"), size), ["doc_id", "tid"], how)
 
-def _shingle_sets(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """places: hash, doc_id, no. Gives hash and its distinct shingles, from the texts read again."""
-    wanted = places.groupBy("doc_id").agg(F.collect_set("no").alias("nos"))
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id").select("text", "nos")
+
+def _shingle_sets(docs: DataFrame, places: DataFrame, repeated: bool) -> DataFrame:
+    """places: node, doc_id, tid, no, one of each paragraph class. Gives node and its distinct shingles, from the texts read again."""
+    wanted = places.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("no", "node")).alias("some"))
+    chosen = _with_places(docs, wanted, "inner", F.lit(64) + 24 * F.size("some")).select("doc_id", "text", "some")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, nos = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            texts, some = batch.column(1).to_pylist(), batch.column(2)
             for a, b in text_slices(texts):
-                p = paragraphs(texts[a:b])
-                take = np.zeros(len(p["doc"]), bool)
-                base = np.searchsorted(p["doc"], np.arange(b - a))
-                for i, some in enumerate(nos[a:b]):
-                    take[base[i] + np.array(some)] = True
-                bounds = np.searchsorted(p["owner"], np.arange(len(take) + 1))
-                which = np.flatnonzero(take)
-                sets = [np.unique(p["shingle"][bounds[i] : bounds[i + 1]]) for i in which]
-                yield pa.RecordBatch.from_arrays([pa.array(p["hash"][which]), pa.array(sets, pa.list_(pa.int64()))], names=["hash", "shingles"])
-
-    return map_arrow(chosen, run, "hash long, shingles array<long>").dropDuplicates(["hash"])
-
-
-def _pairs(keyed: DataFrame) -> DataFrame:
-    """keyed: key, hash, n. All pairs within a key whose sizes allow the threshold."""
-    x = keyed.select("key", F.col("hash").alias("a"), F.col("n").alias("na"))
-    y = keyed.select("key", F.col("hash").alias("b"), F.col("n").alias("nb"))
-    fit = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT) & (F.col("a") < F.col("b"))
-    return x.join(y, "key").where(fit).select("a", "b")
-
-
-def _near(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) between classes of paragraphs that differ."""
-    keyed = members.select("key", "hash").distinct()
-    groups = keyed.groupBy("key").agg(F.count("*").alias("g")).where("g > 1")
+                p = paragraphs([_bytes(t) for t in texts[a:b]])
+                part = some.slice(a, b - a)
+                flat, doc = part.flatten(), np.repeat(np.arange(b - a), part.value_lengths().to_numpy())
+                which = np.searchsorted(p["doc"], doc) + flat.field("no").to_numpy()
+                bounds = np.searchsorted(p["owner"], np.arange(len(p["doc"]) + 1))
+                sets = [np.unique(p["shingle"][bounds[i] : bounds[i + 1]]) for i in which.tolist()]
+                yield pa.RecordBatch.from_arrays([flat.field("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    sets = map_arrow(chosen, run, "node long, shingles array<long>")
+    return sets.dropDuplicates(["node"]) if repeated else sets
+
+
+def _linked(docs: DataFrame, members: DataFrame, classes: DataFrame, repeated: bool) -> DataFrame:
+    """(node, component) of the classes of paragraphs that are linked with others."""
+    keyed = members.where("no >= 0").select(F.col("hash").alias("node"), F.col("n_set").alias("n"), F.explode("keys").alias("key")).distinct()
+    groups = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     keyed = materialize(keyed.join(groups, "key"), "near-keys")
-    near = keyed.select("hash").distinct()
-    places = classes.join(near, "hash", "left_semi").select("hash", F.col("first.doc_id").alias("doc_id"), F.col("first.no").alias("no"))
-    sets = materialize(_shingle_sets(docs, places).withColumn("n", F.size("shingles")), "shingle-sets")
-    sized = keyed.join(sets.select("hash", "n"), "hash")
-    few = _pairs(sized.where(F.col("g") <= SMALL))
-    # common keys: the rarest shingles of each class, as many as a class at the threshold must share one of
-    hot = sets.join(keyed.where(F.col("g") > SMALL).select("hash").distinct(), "hash", "left_semi")
-    each = hot.select("hash", "n", F.explode("shingles").alias("key"))
-    often = each.groupBy("key").agg(F.count("*").alias("often"))
-    ranked = each.join(often, "key").groupBy("hash", "n").agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("order"))
-    must = F.ceil(F.col("n") * PERCENT / 100)
-    rare = ranked.select("hash", "n", F.explode(F.slice("order", F.lit(1), (F.col("n") - must + 1).cast("int"))).alias("o")).select("hash", "n", F.col("o.key").alias("key"))
-    pairs = few.unionByName(_pairs(rare)).distinct()
-    left = sets.select(F.col("hash").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("hash").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    alike = both * 100 >= (F.size("sa") + F.size("sb") - both) * PERCENT
-    return pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
-
-
-_STRETCH = "doc_id long, no int, at int, end_at int, start int, end int, run_words int, kept boolean, components array<long>, top_doc long, asks array<struct<left:boolean,pos:int,word:int,to_doc:long,to_pos:int>>"
-
-
-def _stretches(parts: list[dict]) -> list[tuple]:
-    """The parts of one document as kept ones and as stretches of those that are not; both with the words of the run they lie in."""
-    parts.sort(key=lambda p: (p["at"], p["no"]))
-    runs, reach, bounds = [], -1, []
-    for p in parts:
-        end = p["at"] + p["n_words"]
-        if p["at"] > reach:
-            bounds.append([p["at"], end])
-        bounds[-1][1] = reach = max(bounds[-1][1], end)
-        runs.append(len(bounds) - 1)
-    out, stretches, covered = [], [], -1
-    for p, run in zip(parts, runs, strict=True):
-        end, words = p["at"] + p["n_words"], bounds[run][1] - bounds[run][0]
-        if p["kept"]:
-            if p["no"] >= 0 or end > covered:
-                out.append((_no(p), p["at"], end, p["start"], p["end"], words, True, [p["component"]], p["top_doc"], []))
-                covered = max(covered, end)
-        elif stretches and p["at"] <= stretches[-1][0]:
-            stretches[-1][2].append(p)
-            stretches[-1][0] = max(stretches[-1][0], end)
-        else:
-            stretches.append([end, words, [p]])
-    for end, words, some in stretches:
-        first, last = some[0], max(some, key=lambda p: p["at"] + p["n_words"])
-        seeds = [p for p in some if p["no"] < 0]
-        asks = [(True, first["start"], first["at"], first["top_doc"], first["top_start"]), (False, last["end"], end, last["top_doc"], last["top_end"])]
-        if seeds and _turned(first, seeds[0]) and seeds[0]["at"] - first["at"] < PASSAGE:
-            asks.append((True, seeds[0]["start"], seeds[0]["at"], seeds[0]["top_doc"], seeds[0]["top_start"]))
-        if seeds and _turned(last, seeds[-1]) and end - seeds[-1]["at"] - RUN_WORDS < PASSAGE:
-            asks.append((False, seeds[-1]["end"], seeds[-1]["at"] + RUN_WORDS, seeds[-1]["top_doc"], seeds[-1]["top_end"]))
-        asks = [dict(zip(("left", "pos", "word", "to_doc", "to_pos"), x, strict=True)) for x in asks]
-        out.append((_no(first), first["at"], end, first["start"], last["end"], words, False, [p["component"] for p in some], first["top_doc"], asks))
-    return out
-
-
-def _no(part: dict) -> int:
-    return max(part["no"], -1 - part["no"])
-
-
-def _turned(a: dict, b: dict) -> bool:
-    """Whether the kept places of two parts do not lie as the parts do."""
-    return a["top_doc"] != b["top_doc"] or a["start"] - b["start"] != a["top_start"] - b["top_start"] or a["end"] - b["end"] != a["top_end"] - b["top_end"]
-
-
-_WORD = rb"[^ \t\n\v\f\r]+"
-_AFTER = re.compile(rb"(?:[ \t\n\v\f\r]*%b){0,%d}" % (_WORD, CONTEXT))
-
-
-def _context(text: str, pos: int, left: bool) -> str:
-    """The CONTEXT words of text before or after pos, with the white space between."""
-    if not left:
-        return _AFTER.match(text[pos:].encode("utf-8", "surrogatepass"))[0].decode("utf-8", "surrogatepass")
-    data = text[:pos].encode("utf-8", "surrogatepass")
-    words = data.rsplit(None, CONTEXT)
-    return (data[len(words[0]) :] if len(words) > CONTEXT else data).decode("utf-8", "surrogatepass")
-
+    places = classes.join(keyed.select(F.col("node").alias("hash")).distinct(), "hash", "left_semi")
+    sets = materialize(_shingle_sets(docs, places.select(F.col("hash").alias("node"), F.col("first.doc_id").alias("doc_id"), F.col("first.tid").alias("tid"), F.col("first.no").alias("no")), repeated), "shingle-sets")
+    few = keyed.where(F.col("members") <= SMALL)
+    x, y = (few.select("key", F.col("node").alias(k), F.col("n").alias(f"n{k}")) for k in "ab")
+    fit = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT) & (F.col("a") > F.col("b"))
+    pairs = x.join(y, "key").where(fit).select("a", "b")
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+        both = F.size(F.array_intersect("sa", "sb"))
+        alike = both * 100 >= (F.size("sa") + F.size("sb") - both) * PERCENT
+        return pairs.distinct().join(left, "a").join(right, "b").where(alike).select("a", "b")
+
+    def differences(placed: DataFrame) -> DataFrame:
+        left = sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx"))
+        right = sets.select(F.col("node").alias("lead"), F.col("shingles").alias("sl"))
+        diff = F.concat(F.sort_array(F.array_except("sx", "sl")), F.sort_array(F.array_except("sl", "sx")))
+        return placed.join(left, "x").join(right, "lead").select("lead", "x", "n", "lead_n", "at", "outside", diff.alias("diff"))
+
+    return link(keyed.where(F.col("members") > SMALL), PERCENT, compare, differences, pairs)
+
+
+_PART = ["no", "at", "start", "end", "n_words", "closes", "component", "top_doc", "top_tid", "top_start", "top_end", "top_opens", "top_closes", "kept"]
+_STRETCH = "doc_id long, tid long, no int, at int, end_at int, start int, end int, run_words int, kept boolean, components array<long>, top_doc long"
+_ASK = "left boolean, pos int, word int, to_doc long, to_tid long, to_pos int"
+
+
+def _running(x: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Of each row the largest x (0 or more) of the rows before it of its document (rows come by document), -1 for the first."""
+    step = np.int64(x.max(initial=0)) + 2
+    most = np.maximum.accumulate(x + 1 + doc * step)
+    before = np.concatenate([[0], most[:-1]]) - doc * step - 1
+    return np.maximum(before, -1)
+
+
+def _stretches(doc: np.ndarray, p: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """The parts of documents (by doc, then at and no) as kept ones and as stretches of those that are not. Gives rows, the parts that
+    these hold (indexes, with bounds), and what the stretches ask: row, left, pos, word, to_doc, to_tid, to_pos."""
+    n, end = len(doc), p["at"] + p["n_words"]
+    no = np.where(p["no"] >= 0, p["no"], -1 - p["no"])
+    new = np.concatenate([[True], doc[1:] != doc[:-1]]) if n else np.zeros(0, bool)
+    # runs of touching parts, kept or not
+    run = np.cumsum(new | (p["at"] > _running(end, doc))) - 1
+    cuts = np.flatnonzero(np.diff(run, prepend=-1))
+    words = (np.maximum.reduceat(end, cuts) - p["at"][cuts])[run] if n else end
+    # kept: paragraphs, and seeds that reach beyond the kept parts before them
+    kept = p["kept"]
+    covered = _running(np.where(kept, end, 0), doc)
+    alone = np.flatnonzero(kept & ((p["no"] >= 0) | (end > covered)))
+    # stretches of parts that are not kept
+    rest = np.flatnonzero(~kept)
+    doc_r, end_r, at_r, seed = doc[rest], end[rest], p["at"][rest], p["no"][rest] < 0
+    first = np.flatnonzero((np.diff(doc_r, prepend=-1) != 0) | (at_r > _running(end_r, doc_r)))
+    bounds = np.append(first, len(rest))
+    size = np.diff(bounds)
+    stretch = np.repeat(np.arange(len(first)), size)
+    top = np.maximum.reduceat(end_r, first) if len(first) else end_r
+    is_last = np.flatnonzero(end_r == top[stretch])
+    last = is_last[np.flatnonzero(np.diff(stretch[is_last], prepend=-1))]
+    seeds = np.flatnonzero(seed)
+    lead_seed = np.flatnonzero(np.diff(stretch[seeds], prepend=-1))
+    with_seed = stretch[seeds][lead_seed]
+    first_seed, last_seed = seeds[lead_seed], seeds[np.append(lead_seed[1:], len(seeds)) - 1] if len(seeds) else seeds
+    a, z, fs, ls = rest[first], rest[last], rest[first_seed], rest[last_seed]
+
+    def turned(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether the kept places of two parts do not lie as the parts do."""
+        apart = (p["top_doc"][x] != p["top_doc"][y]) | (p["top_tid"][x] != p["top_tid"][y])
+        return apart | (p["start"][x] - p["start"][y] != p["top_start"][x] - p["top_start"][y]) | (p["end"][x] - p["end"][y] != p["top_end"][x] - p["top_end"][y])
+
+    by_first = turned(a[with_seed], fs) & (p["at"][fs] - p["at"][a[with_seed]] < PASSAGE)
+    by_last = turned(z[with_seed], ls) & (top[with_seed] - p["at"][ls] - RUN_WORDS < PASSAGE)
+    rows = np.concatenate([np.arange(len(first)), with_seed[by_first], np.arange(len(first)), with_seed[by_last]])
+    part = np.concatenate([a, fs[by_first], z, ls[by_last]])
+    left = np.arange(len(part)) < len(first) + by_first.sum()
+    word = np.where(left, p["at"][part], end[part])
+    # nothing stands beyond the end of a text
+    some = ~np.where(left, (word == 0) | p["top_opens"][part], p["closes"][part] | p["top_closes"][part])
+    asks = {"row": rows, "left": left, "pos": np.where(left, p["start"][part], p["end"][part]), "word": word, "to_doc": p["top_doc"][part], "to_tid": p["top_tid"][part], "to_pos": np.where(left, p["top_start"][part], p["top_end"][part])}
+    asks = {k: v[some] for k, v in asks.items()}
+    asks["row"] = asks["row"] + len(alone)
+    held = np.concatenate([alone, rest])
+    sizes = np.concatenate([np.ones(len(alone), np.int64), size])
+    one = np.concatenate([alone, a])
+    out = {
+        "doc": doc[one], "no": no[one], "at": p["at"][one], "end_at": np.concatenate([end[alone], top]), "start": p["start"][one],
+        "end": np.concatenate([p["end"][alone], p["end"][z]]), "run_words": words[one], "kept": kept[one], "top_doc": p["top_doc"][one],
+    }
+    return out, held, np.concatenate([[0], np.cumsum(sizes)]), asks
 
-def _common(own: str, other: str, left: bool) -> tuple[int, int]:
-    """How many words nearest to the place are the same in both, and the characters of own they take."""
-    a, b = (x.encode("utf-8", "surrogatepass") for x in (own, other))
-    x, y = a.lower().split(), b.lower().split()
-    n, step = 0, -1 if left else 1
-    for u, v in zip(x[::step], y[::step], strict=False):
-        if u != v:
-            break
-        n += 1
-    if not n:
-        return 0, 0
-    if left:
-        rest = a.rsplit(None, n)
-        part = a[len(rest[0]) :].lstrip() if len(rest) > n else a.lstrip()
-    else:
-        part = re.match(rb"(?:[ \t\n\v\f\r]*%b){%d}" % (_WORD, n), a)[0]
-    return n, len(part.decode("utf-8", "surrogatepass"))
 
+def _parts_to_stretches(parts: DataFrame) -> DataFrame:
+    """parts: doc_id, tid, parts (array of _PART structs)."""
+    ddl = f"{_STRETCH}, asks array<struct<{', '.join(x.replace(' ', ':') for x in _ASK.split(', '))}>>"
+    ask = [("left", pa.bool_()), ("pos", pa.int32()), ("word", pa.int32()), ("to_doc", pa.int64()), ("to_tid", pa.int64()), ("to_pos", pa.int32())]
 
-def _extensions(docs: DataFrame, stretches: DataFrame) -> DataFrame:
-    """doc_id, at, and the word and character to which each stretch grows on its left (from, low) and right (to, high), where it does."""
-    asked = materialize(stretches.select("doc_id", "at", F.explode("asks").alias("s")).select("doc_id", "at", "s.*"), "asked")
-    none = F.lit(None)
-    targets = asked.select(F.col("to_doc").alias("doc_id"), none.cast("int").alias("at"), "left", F.col("to_pos").alias("pos"), none.cast("int").alias("word"), none.cast("long").alias("to_doc"), none.cast("int").alias("to_pos")).distinct()
-    spots = asked.unionByName(targets).groupBy("doc_id").agg(F.collect_list(F.struct("at", "left", "pos", "word", "to_doc", "to_pos")).alias("spots"))
-    joined = with_rows_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), spots, "inner", BROADCAST_SPANS).select("doc_id", "text", "spots")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column(2).flatten()
+            doc = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy())
+            p = {k: flat.field(k).to_numpy(zero_copy_only=False) for k in _PART}
+            p = {k: v if v.dtype == bool else v.astype(np.int64) for k, v in p.items()}
+            order = np.lexsort((p["no"], p["at"], doc))
+            doc, p = doc[order], {k: v[order] for k, v in p.items()}
+            out, held, bounds, asks = _stretches(doc, p)
+            by_row = np.argsort(asks["row"], kind="stable")
+            ask_bounds = np.searchsorted(asks["row"][by_row], np.arange(len(out["no"]) + 1))
+            structs = pa.StructArray.from_arrays([pa.array(asks[k][by_row].astype(t.to_pandas_dtype()), t) for k, t in ask], fields=[pa.field(k, t) for k, t in ask])
+            who = pa.array(out["doc"], pa.int64())
+            small = [pa.array(out[k].astype(np.int32)) for k in ("no", "at", "end_at", "start", "end", "run_words")]
+            columns = [batch.column(0).take(who), batch.column(1).take(who), *small, pa.array(out["kept"]), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(p["component"][held])), pa.array(out["top_doc"]), pa.ListArray.from_arrays(pa.array(ask_bounds, pa.int32()), structs)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*(x.split()[0] for x in _STRETCH.split(", ")), "asks"])
+
+    return map_arrow(parts, run, ddl)
+
+
+def _around(words: Words, doc: np.ndarray, pos: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words before (left) or after pos (characters) of texts doc, CONTEXT at most, from the nearest on: their hashes, the
+    character at which each ends on its far side, and the bounds of each spot's."""
+    chars = words.characters()
+    base = chars[words.begin] - 1
+    starts, ends = chars[words.first] - 1, chars[words.last - 1]
+    place = base[doc] + pos
+    from_ = np.searchsorted(words.doc, doc)
+    until = np.searchsorted(words.doc, doc, side="right")
+    at = np.where(left, np.searchsorted(ends, place, side="right"), np.searchsorted(starts, place))
+    at = np.clip(at, from_, until)
+    n = np.minimum(CONTEXT, np.where(left, at - from_, until - at))
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    k = np.arange(bounds[-1]) - np.repeat(bounds[:-1], n)
+    side = np.repeat(left, n)
+    which = np.repeat(at, n) + np.where(side, -1 - k, k)
+    return words.hash[which].astype(np.int64), np.where(side, starts[which], ends[which]) - np.repeat(base[doc], n), bounds
+
+
+def _extensions(docs: DataFrame, stretches: DataFrame, repeated: bool) -> DataFrame:
+    """doc_id, tid, at, and the word and character to which each stretch grows on its left (from, low) and right (to, high), where it
+    does."""
+    asked = materialize(stretches.select("doc_id", "tid", "at", F.explode("asks").alias("s")).select("doc_id", "tid", "at", "s.*"), "asked")
+    own = asked.select("doc_id", "tid", F.col("at").alias("of"), "left", "pos")
+    targets = asked.select(F.col("to_doc").alias("doc_id"), F.col("to_tid").alias("tid"), F.lit(None).cast("int").alias("of"), "left", F.col("to_pos").alias("pos"))
+    spots = own.unionByName(targets).groupBy("doc_id", "tid").agg(F.collect_set(F.struct("of", "left", "pos")).alias("spots"))
+    joined = _with_places(docs, spots, "inner", F.lit(64) + 24 * F.size("spots")).select("doc_id", "tid", "text", "spots")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, *s.values(), _context(t or "", s["pos"], s["left"])) for i, t, some in zip(*(c.to_pylist() for c in batch.columns), strict=True) for s in some]
-            columns = list(zip(*rows, strict=True)) or [[]] * 8
-            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "at", "left", "pos", "word", "to_doc", "to_pos", "context"])
-
-    found = materialize(map_arrow(joined, read, "doc_id long, at int, left boolean, pos int, word int, to_doc long, to_pos int, context string"), "contexts")
-    kept = found.where("at is null").select(F.col("doc_id").alias("to_doc"), F.col("pos").alias("to_pos"), "left", F.col("context").alias("other")).dropDuplicates(["to_doc", "to_pos", "left"])
-    pairs = found.where("at is not null").join(kept, ["to_doc", "to_pos", "left"]).select("doc_id", "at", "left", "pos", "word", "context", "other")
+            texts, spots = batch.column(2).to_pylist(), batch.column(3)
+            for a, b in text_slices(texts):
+                part = spots.slice(a, b - a)
+                flat, doc = part.flatten(), np.repeat(np.arange(b - a), part.value_lengths().to_numpy())
+                left, pos = flat.field("left"), flat.field("pos")
+                hashes, far, bounds = _around(Words([_bytes(t) for t in texts[a:b]]), doc, pos.to_numpy().astype(np.int64), left.to_numpy(zero_copy_only=False))
+                bounds, who = pa.array(bounds, pa.int32()), pa.array(a + doc)
+                columns = [batch.column(0).take(who), batch.column(1).take(who), flat.field("of"), left, pos, pa.ListArray.from_arrays(bounds, pa.array(hashes)), pa.ListArray.from_arrays(bounds, pa.array(far.astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tid", "of", "left", "pos", "words", "far"])
+
+    found = map_arrow(joined, read, "doc_id long, tid long, of int, left boolean, pos int, words array<long>, far array<int>")
+    found = materialize(found.dropDuplicates(["doc_id", "tid", "of", "left", "pos"]) if repeated else found, "contexts")
+    place = ["to_doc", "to_tid", "to_pos", "left"]
+    kept = found.where("of is null").select(F.col("doc_id").alias("to_doc"), F.col("tid").alias("to_tid"), F.col("pos").alias("to_pos"), "left", F.col("words").alias("other"))
+    mine = found.where("of is not null").select("doc_id", "tid", F.col("of").alias("at"), "left", "pos", "words", "far")
+    often = asked.groupBy(place).agg(F.count("*").alias("n"))
+    hot = often.where(F.col("n") > max(HOT, asked.count() // MOST_HOT)).drop("n")
+    asks = asked.join(mine, ["doc_id", "tid", "at", "left", "pos"])
+    hot = F.broadcast(materialize(kept.join(hot, place), "common-places"))
+    pairs = asks.join(hot, place).unionByName(asks.join(hot.drop("other"), place, "left_anti").join(kept, place))
+    pairs = pairs.select("doc_id", "tid", "at", "left", "pos", "word", "words", "far", "other")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, *places, own, other = (c.to_pylist() for c in batch.columns[2:])
-            same = [_common(a, b, k) for a, b, k in zip(own, other, left, strict=True)]
-            pos, word = (pa.array([x - s[k] if side else x + s[k] for x, s, side in zip(x, same, left, strict=True)], pa.int32()) for k, x in ((1, places[0]), (0, places[1])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pos, word], names=["doc_id", "at", "left", "pos", "word"])
-
-    grown = map_arrow(pairs, compare, "doc_id long, at int, left boolean, pos int, word int")
+            left, pos, word = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5))
+            n = _same(batch.column(6), batch.column(8))
+            far = batch.column(7)
+            starts = np.cumsum(far.value_lengths().to_numpy()) - far.value_lengths().to_numpy()
+            flat = np.append(far.flatten().to_numpy(), 0)
+            pos = np.where(n > 0, flat[np.minimum(starts + n - 1, len(flat) - 1)], pos)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(pos.astype(np.int32)), pa.array((word + np.where(left, -n, n)).astype(np.int32))], names=["doc_id", "tid", "at", "left", "pos", "word"])
+
+    grown = map_arrow(pairs, compare, "doc_id long, tid long, at int, left boolean, pos int, word int")
     low = lambda name: F.min(F.when(F.col("left"), F.col(name)))
     high = lambda name: F.max(F.when(~F.col("left"), F.col(name)))
-    return grown.groupBy("doc_id", "at").agg(low("pos").alias("low"), low("word").alias("from"), high("pos").alias("high"), high("word").alias("to"))
+    return grown.groupBy("doc_id", "tid", "at").agg(low("pos").alias("low"), low("word").alias("from"), high("pos").alias("high"), high("word").alias("to"))
+
+
+def _same(x: pa.ListArray, y: pa.ListArray) -> np.ndarray:
+    """Of each row of two lists, how many values are equal from the first on."""
+    a, b = (v.flatten().to_numpy() for v in (x, y))
+    la, lb = (v.value_lengths().to_numpy().astype(np.int64) for v in (x, y))
+    both = np.minimum(la, lb)
+    k = np.arange(both.sum()) - np.repeat(np.cumsum(both) - both, both)
+    equal = a[np.repeat(np.cumsum(la) - la, both) + k] == b[np.repeat(np.cumsum(lb) - lb, both) + k]
+    out = both.copy()
+    some = np.flatnonzero(both)
+    if len(some):
+        starts = (np.cumsum(both) - both)[some]
+        out[some] = np.minimum(both[some], np.minimum.reduceat(np.where(equal, CONTEXT, k), starts))
+    return out
+
+
+def _probes(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """Two bits of each key; they are least hashes, so their own upper bits are not even."""
+    for salt in (0, 0x61C8864680B583EB):
+        yield mix(keys.view(np.uint64) ^ np.uint64(salt)) >> np.uint64(64 - bits)
 
 
 def _marks(keys: DataFrame) -> np.ndarray:
-    """A bit table with the bit of each key set; which one the upper bits of its mix say (keys are least hashes, so theirs are not even)."""
+    """A bit table with two bits of each key set."""
     bits = min(MAX_BITS, max(16, 4 + keys.count().bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << bits - 6, np.uint64)
         for batch in batches:
-            at = mix(batch.column(0).to_numpy().view(np.uint64)) >> np.uint64(64 - bits)
-            np.bitwise_or.at(table, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+            for at in _probes(batch.column(0).to_numpy(), bits):
+                np.bitwise_or.at(table, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
         used = np.flatnonzero(table)
         yield pa.RecordBatch.from_pydict({"at": used, "word": table[used].astype(np.int64)})
 
@@ -373,70 +475,71 @@ def _marks(keys: DataFrame) -> np.ndarray:
     return table
 
 
-def _with_marked(units: DataFrame, marks: np.ndarray) -> DataFrame:
-    """units with `key` for `keys`, a row for each key whose bit is set: what is shuffled is little more than what is shared."""
+def _marked(units: DataFrame, marks: np.ndarray) -> DataFrame:
+    """The units with those of their keys whose bits are set, where there are any: little more than what is shared is left."""
     held, bits = units.sparkSession.sparkContext.broadcast(marks), len(marks).bit_length() + 5
-    names = [*units.columns[:-1], "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(batch.num_columns - 1)
-            key = keys.flatten().to_numpy()
-            owner = np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy())
-            at = mix(key.view(np.uint64)) >> np.uint64(64 - bits)
-            take = (held.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-            rows = batch.take(pa.array(owner[take]))
-            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(key[take])], names=names)
+            key, sizes = keys.flatten().to_numpy(), keys.value_lengths().to_numpy()
+            take = np.ones(len(key), bool)
+            for at in _probes(key, bits):
+                take &= (held.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+            n = np.bincount(np.repeat(np.arange(batch.num_rows), sizes)[take], minlength=batch.num_rows)
+            some = np.flatnonzero(n)
+            rows = batch.take(pa.array(some))
+            bounds = pa.array(np.concatenate([[0], np.cumsum(n[some])]), pa.int32())
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.ListArray.from_arrays(bounds, pa.array(key[take]))], schema=batch.schema)
 
-    return map_arrow(units, run, _UNIT.replace("keys array<long>", "key long"))
+    return map_arrow(units, run, _UNIT)
 
 
 def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """doc_id, no, start, end, n_words, component_id, first_doc_id, kept of each passage that repeats across documents: of the
-    paragraphs that are kept, and of whole stretches elsewhere."""
-    units = materialize(_units(docs), "paragraphs")
-    keys = units.select("doc_id", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key")
-    shared = materialize(shared, "shared-keys")
-    members = materialize(_with_marked(units, _marks(shared)).join(shared, "key"), "members")
-    place = F.struct("doc_id", "start", "no", "end")
-    classes = members.groupBy("hash").agg(F.min(place).alias("first"), F.max("doc_id").alias("high"))
-    classes = materialize(classes, "classes")
-    found = components(_near(docs, members.where("no >= 0"), classes))
-    at = found.select(F.col("node").alias("hash"), F.col("component"))
-    classes = classes.join(at, "hash", "left").withColumn("component", F.coalesce("component", "hash"))
-    spans = classes.groupBy("component").agg(F.min("first").alias("top"), F.max("high").alias("high")).where(F.col("top.doc_id") != F.col("high"))
-    chosen = materialize(classes.select("hash", "component").join(spans, "component").select("hash", "component", F.col("top.doc_id").alias("top_doc"), F.col("top.no").alias("top_no"), F.col("top.start").alias("top_start"), F.col("top.end").alias("top_end")), "repeats")
-    rows = members.select("doc_id", "no", "at", "start", "end", "n_words", "hash").distinct().join(chosen, "hash")
-    kept = (F.col("doc_id") == F.col("top_doc")) & (F.col("no") == F.col("top_no")) & (F.col("start") == F.col("top_start"))
-    parts = rows.withColumn("kept", kept).groupBy("doc_id").agg(F.collect_list(F.struct("no", "at", "start", "end", "n_words", "component", "top_doc", "top_start", "top_end", "kept")).alias("parts"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in _STRETCH.split(", ")]
-        ask = pa.struct([("left", pa.bool_()), ("pos", pa.int32()), ("word", pa.int32()), ("to_doc", pa.int64()), ("to_pos", pa.int32())])
-        kinds = [pa.int64(), *[pa.int32()] * 6, pa.bool_(), pa.list_(pa.int64()), pa.int64(), pa.list_(ask)]
-        for batch in batches:
-            out = [(i, *s) for i, some in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for s in _stretches(some)]
-            columns = list(zip(*out, strict=True)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    stretches = materialize(map_arrow(parts, run, _STRETCH), "stretches")
-    grown = stretches.where("not kept").join(_extensions(docs, stretches), ["doc_id", "at"], "left")
-    grown = grown.withColumns({"start": F.least("start", "low"), "from": F.least("at", "from"), "end": F.greatest("end", "high"), "end_at": F.greatest("end_at", "to")})
-    before = Window.partitionBy("doc_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    grown = grown.withColumns({"start": F.greatest("start", F.max("end").over(before)), "from": F.greatest("from", F.max("end_at").over(before))}).where("end > start")
-    grown = grown.withColumn("n_words", F.col("end_at") - F.col("from")).where(F.greatest("n_words", "run_words") >= run_words)
-    grown = materialize(grown.select("doc_id", "no", "start", "end", "n_words", "components", F.col("top_doc").alias("first_doc_id"), F.lit(False).alias("kept")), "grown")
-    first = stretches.where("kept").select("doc_id", "no", "start", "end", (F.col("end_at") - F.col("at")).alias("n_words"), "run_words", F.col("components")[0].alias("component_id"), F.col("top_doc").alias("first_doc_id"), "kept")
+    """doc_id, no, start, end, n_words, component_id, first_doc_id, kept, text_crc32 of each passage that repeats across documents: of
+    the paragraphs that are kept, and of whole stretches elsewhere."""
+    with Scratch() as scratch:
+        units = materialize(_units(docs), "paragraphs")
+        heads = units.where("no = 0").groupBy("doc_id", "tid").agg(F.count("*").alias("n"))
+        repeated = not heads.where("n > 1").isEmpty()  # rows that repeat count once; that costs a shuffle only where there are any
+        if repeated:
+            units = materialize(units.dropDuplicates(["doc_id", "tid", "no", "at"]), "paragraphs")
+        keys = units.select("doc_id", F.explode("keys").alias("key"))
+        shared = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key")
+        members = materialize(_marked(units, _marks(materialize(shared, "shared-keys"))), "members")
+        place = F.struct("doc_id", "start", "no", "end", "tid", (F.col("at") == 0).alias("opens"), "closes")
+        classes = members.groupBy("hash").agg(F.min(place).alias("first"), F.max("doc_id").alias("high"))
+        classes = materialize(classes, "classes")
+        found = _linked(docs, members, classes, repeated)
+        at = found.select(F.col("node").alias("hash"), F.col("component"))
+        classes = classes.join(at, "hash", "left").withColumn("component", F.coalesce("component", "hash"))
+        spans = classes.groupBy("component").agg(F.min("first").alias("top"), F.max("high").alias("high")).where(F.col("top.doc_id") != F.col("high"))
+        top = [F.col(f"top.{x}").alias(f"top_{k}") for x, k in (("doc_id", "doc"), ("tid", "tid"), ("no", "no"), ("start", "start"), ("end", "end"), ("opens", "opens"), ("closes", "closes"))]
+        chosen = materialize(classes.select("hash", "component").join(spans, "component").select("hash", "component", *top), "repeats")
+        kept = F.expr("doc_id = top_doc and tid = top_tid and no = top_no and start = top_start")
+        parts = members.drop("keys", "n_set").join(chosen, "hash").withColumn("kept", kept)
+        parts = parts.groupBy("doc_id", "tid").agg(F.collect_list(F.struct(*_PART)).alias("parts"))
+        stretches = scratch.keep(materialize(_parts_to_stretches(parts), "stretches"))
+        here = ["doc_id", "tid"]
+        grown = stretches.where("not kept").join(_extensions(docs, stretches, repeated), [*here, "at"], "left")
+        grown = grown.withColumns({"start": F.least("start", "low"), "from": F.least("at", "from"), "end": F.greatest("end", "high"), "end_at": F.greatest("end_at", "to")})
+        before = Window.partitionBy(here).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+        grown = grown.withColumns({"start": F.greatest("start", F.max("end").over(before)), "from": F.greatest("from", F.max("end_at").over(before))}).where("end > start")
+        grown = grown.withColumn("n_words", F.col("end_at") - F.col("from")).where(F.greatest("n_words", "run_words") >= run_words)
+        grown = scratch.keep(materialize(grown.select(*here, "no", "start", "end", "n_words", "components", F.col("top_doc").alias("first_doc_id"), F.lit(False).alias("kept")), "grown"))
+
+    first = stretches.where("kept").select(*here, "no", "start", "end", (F.col("end_at") - F.col("at")).alias("n_words"), "run_words", F.col("components")[0].alias("component_id"), F.col("top_doc").alias("first_doc_id"), "kept")
     short = first.where(F.col("run_words") < run_words).join(grown.select(F.explode("components").alias("component_id")).distinct(), "component_id", "left_semi")
-    names = ["doc_id", "no", "start", "end", "n_words", "component_id", "first_doc_id", "kept"]
+    names = ["doc_id", "no", "start", "end", "n_words", "component_id", "first_doc_id", "kept", F.col("tid").alias("text_crc32")]
     return grown.withColumn("component_id", F.col("components")[0]).select(names).unionByName(first.where(F.col("run_words") >= run_words).select(names)).unionByName(short.select(names))
 
 
 def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """docs without the passages that are not kept: each is cut out with the white space after it; other columns stay."""
-    gone = passages.where(~F.col("kept")).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__gone"))
-    joined = with_rows_of(docs, gone, "left", BROADCAST_SPANS)
+    gone = passages.where(~F.col("kept")).groupBy("doc_id", F.col("text_crc32").alias("__tid")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__gone"))
+    rows = materialize(gone.withColumnRenamed("doc_id", "__id"), "cuts")
+    marked = docs.withColumns({"__own": F.col("doc_id").cast("long"), "__crc": F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    joined = marked.join(sized(rows, F.lit(64) + 24 * F.size("__gone")), F.expr("__own = __id and __crc = __tid"), "left").select(*docs.columns, "__gone")
     names = joined.columns
     text, spans = names.index("text"), names.index("__gone")
 

@@ -16,8 +16,9 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlake.llm import audio_features, ball_tree, bpe, chat_format, common, entries, graph, host_reputation, language_id, near_dedup, packing, passage_dedup, quality
+from rosterlake.llm import audio_features, ball_tree, bpe, chat_format, common, entries, graph, host_reputation, language_id, linking, near_dedup, packing, passage_dedup, quality
 from rosterlake.llm.common import text_slices
+from rosterlake.storage import materialize
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, hash string, component string"
@@ -438,7 +439,8 @@ def joined_rows(df):
         for k in range(node.children().size()):
             walk(node.children().apply(k))
 
-    walk(df._jdf.queryExecution().executedPlan().finalPhysicalPlan())
+    plan = df._jdf.queryExecution().executedPlan()
+    walk(plan.finalPhysicalPlan() if "Adaptive" in plan.nodeName() else plan)
     return sum(total)
 
 
@@ -448,7 +450,7 @@ def test_second_family_makes_few_pairs(spark):
     for m in (100, 200):
         rows = [(1, 10 + i, 60, 60, 5, True, [7, 8, 9, *range(1000 + 3 * i, 1003 + 3 * i)]) for i in range(m)]
         rows += [(1, 900 + i, 60, 60, 50 + i, True, [7, *range(9000 + 6 * i, 9006 + 6 * i)]) for i in range(3)]
-        made.append(joined_rows(near_dedup._linked_below(spark.createDataFrame(rows, "lead long, x long, n long, lead_n long, at long, outside boolean, diff array<long>"), 50)))
+        made.append(joined_rows(linking.linked_below(spark.createDataFrame(rows, "lead long, x long, n long, lead_n long, at long, outside boolean, diff array<long>"), 50)))
     assert 100 < made[0] and made[1] < 3 * made[0]
 
 
@@ -510,7 +512,7 @@ def test_components(spark):
 
 def test_paragraph_places():
     texts = ["Hello World foo bar baz qux " * 5 + "é ünïcode text Words, and end", None, "", " \n ", "one", "the the " * 200]
-    p = passage_dedup.paragraphs(texts)
+    p = passage_dedup.paragraphs([(t or "").encode() for t in texts])
     for k in range(len(p["doc"])):
         t = texts[p["doc"][k]]
         part = t[p["start"][k] : p["end"][k]]
@@ -532,12 +534,13 @@ def passages():
     return texts, shared
 
 
-@pytest.mark.parametrize("small", [0, 32])
-def test_repeated_passages(spark, monkeypatch, small):
-    monkeypatch.setattr(passage_dedup, "SMALL", small)
-    if not small:
-        monkeypatch.setattr(passage_dedup, "BROADCAST_IDS", 0)
-        monkeypatch.setattr(passage_dedup, "BROADCAST_SPANS", 0)
+@pytest.mark.parametrize("way", ["usual", "beyond"])
+def test_repeated_passages(spark, monkeypatch, way):
+    if way == "beyond":
+        monkeypatch.setattr(passage_dedup, "SMALL", 1)
+        monkeypatch.setattr(passage_dedup, "HOT", 1)
+        monkeypatch.setattr(passage_dedup, "_OWNERS", 1)
+        monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     texts, shared = passages()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
     found = passage_dedup.repeated_passages(df).collect()
@@ -549,34 +552,17 @@ def test_repeated_passages(spark, monkeypatch, small):
     assert all(left[i] == t for i, t in texts.items() if i % 3)
 
 
-def test_near_paragraphs(spark):
-    """Short texts are one paragraph each; those that share a band key and are similar enough share a component."""
-    texts, own = {}, 0
-    for i in range(600):
-        words = [f"n{i}x{k}" for k in range(14)]
-        for t in (words, [*words[:-1], "zz"]):
-            p = passage_dedup.paragraphs([" ".join(t)])
-            if len(p["doc"]) > 1:
-                break
-        else:
-            texts[own], texts[own + 1] = " ".join(words), " ".join([*words[:-1], "zz"])
-            own += 2
-    assert own >= 4
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    found = {r["doc_id"]: r["component_id"] for r in passage_dedup.repeated_passages(df).collect()}
-    expected = {i for i in texts if i % 2 == 0 for p, q in [(passage_dedup.paragraphs([texts[i]]), passage_dedup.paragraphs([texts[i + 1]]))] if p["key1"][0] == q["key1"][0] or p["key2"][0] == q["key2"][0]}
-    assert expected and set(found) == expected | {i + 1 for i in expected} and all(found[i] == found[i + 1] for i in expected)
-
-
-def test_near_links_are_all_found(spark):
-    """Every pair of one-paragraph texts at the threshold, by brute force, is in one component."""
+@pytest.mark.parametrize("small", [1, 32])
+def test_near_links_are_all_found(spark, monkeypatch, small):
+    """Every pair of one-paragraph texts at the threshold, by brute force, is in one component: a recall of 1."""
+    monkeypatch.setattr(passage_dedup, "SMALL", small)
     rng, texts = random.Random(5), {}
     while len(texts) < 240:
         words = [f"q{rng.randrange(10**6)}" for _ in range(rng.randint(12, 18))]
         edited = list(words)
         edited[rng.choice([0, 1, -1, -2])] = "zz"
         pair = [" ".join(w) for w in (words, edited)]
-        if all(len(passage_dedup.paragraphs([t])["doc"]) == 1 for t in pair):
+        if all(len(passage_dedup.paragraphs([t.encode()])["doc"]) == 1 for t in pair):
             texts |= {len(texts): pair[0], len(texts) + 1: pair[1]}
     want = {i for i, (_, c) in brute_components(texts, 5, 80).items() if c != i}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
@@ -605,6 +591,56 @@ def test_passages_are_removed_whole(spark):
     assert max(beside) <= 6 and beside.count(0) > 100
 
 
+def test_boilerplate_makes_few_pairs(spark, monkeypatch):
+    """Short texts that differ in their last word alone: the rows of all joins grow with their number, not with its square."""
+    made, real = [], materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        made[-1] += joined_rows(df)
+        return out
+
+    for module in (passage_dedup, linking, graph):
+        monkeypatch.setattr(module, "materialize", counted)
+    for m in (150, 300):
+        made.append(0)
+        df = spark.createDataFrame([(i, f"all rights are reserved by the owners of page {i}") for i in range(m)], "doc_id long, text string")
+        assert passage_dedup.repeated_passages(df).count() == 0
+    assert m < made[1] < 2.6 * made[0]
+
+
+def test_a_frequent_line_that_varies(spark):
+    """Families of near paragraphs that share a line with many others: links are those of brute force."""
+    rng, texts = random.Random(31), {}
+    single = lambda words: len(passage_dedup.paragraphs([" ".join(words).encode()])["doc"]) == 1
+    lines = [[f"p{j}", *"line is shared by very many texts".split()] for j in range(300)]
+    line = max(lines, key=lambda x: sum(single([*x, *(f"s{i}w{k}" for k in range(8))]) for i in range(20)))
+    for i in range(600):
+        words = [*line, *([f"f{i % 7}w{k}" for k in range(8)] if i % 4 == 0 else [f"t{i}w{k}" for k in range(rng.randint(4, 9))])]
+        words[-1] = f"z{i}" if rng.random() < 0.6 else words[-1]
+        if single(words):
+            texts[i] = " ".join(words)
+    wanted = {i: c for i, (_, c) in brute_components(texts, 5, 80).items() if c != i}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["first_doc_id"] for r in passage_dedup.repeated_passages(df).collect()}
+    assert len(texts) > 100 and len(wanted) > 10 and {i: f for i, f in found.items() if f != i} == wanted
+
+
+def test_rows_that_share_an_id_keep_their_passages(spark):
+    """Rows with one doc_id and different texts, in any order, and repeated rows."""
+    rng = random.Random(14)
+    words = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    one, two, long = words(60), words(60), words(9)
+    rows = [(1, f"{words(30)} {one}"), (2, f"{long} {one} {words(40)}"), (2, f"{two} {words(90)}"), (2, "x"), (3, f"{words(20)} {two}"), (3, f"{words(20)} {two}"), (5, words(80)), (5, None)]
+    rows[5] = rows[4]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        left = [tuple(r) for r in passage_dedup.remove_repeats(df, passage_dedup.repeated_passages(df)).collect()]
+        assert len(left) == len(rows) and sum(one in (t or "") for _, t in left) == 1 == sum(two in (t or "") for _, t in left)
+        assert {i for i, t in left if one in (t or "")} == {1} and {i for i, t in left if two in (t or "")} == {2}
+        assert [t for i, t in left if i == 3] == [rows[4][1][: -len(two)]] * 2 and (2, "x") in left and (5, None) in left
+
+
 def test_passages_odd(odd, none):
     rows = passage_dedup.repeated_passages(odd).collect()
     assert {r["doc_id"] for r in rows} == {10, 11}
