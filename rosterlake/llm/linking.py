@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .graph import components
 
+#: Rounds in which members meet one of their meeting only, taken where all pairs of those that meet would be more than PAIRS_EACH for
+#: each row; what they leave is compared in pairs, so no link is lost.
+ROUNDS, PAIRS_EACH = 3, 4
+
 
 def link(members: DataFrame, percent: int, compare: Callable[[DataFrame], DataFrame], differences: Callable[[DataFrame], DataFrame], pairs: DataFrame | None = None) -> DataFrame:
     """(node, component) of every linked node that is not the smallest of its component. members (written): node, n (size of its
@@ -24,6 +28,7 @@ def link(members: DataFrame, percent: int, compare: Callable[[DataFrame], DataFr
     weights = members.groupBy("node").agg(F.sum("members").alias("weight"))
     order = F.struct("weight", (-F.col("node")).alias("minus"), "n")
     leaders = members.join(weights, "node").groupBy("key").agg(F.max(order).alias("top")).select("key", (-F.col("top.minus")).alias("lead"), F.col("top.n").alias("lead_n"))
+    leaders = materialize(leaders, "leaders")  # so that the join with them can split the members of a key
     led = members.join(leaders, "key").where("node <> lead").select(F.col("node").alias("x"), "n", "lead", "lead_n").distinct()
     led = materialize(led, "led")
     alike = F.least("n", "lead_n") * 100 >= F.greatest("n", "lead_n") * percent
@@ -31,24 +36,48 @@ def link(members: DataFrame, percent: int, compare: Callable[[DataFrame], DataFr
     found = components(compare(first if pairs is None else first.unionByName(pairs)))
 
     # second look: pairs below one leader whose components differ, at least one of them outside the leader's component
-    at = found.select(F.col("node").alias("x"), F.col("component").alias("at"))
-    lead_at = found.select(F.col("node").alias("lead"), F.col("component").alias("lead_at"))
-    placed = led.join(at, "x", "left").withColumn("at", F.coalesce("at", "x")).join(lead_at, "lead", "left")
-    placed = placed.withColumn("outside", F.col("at") != F.coalesce("lead_at", "lead"))
+    placed = _placed(led, found)
     open_ = placed.groupBy("lead").agg(F.max("outside").alias("open"), F.count("*").alias("below")).where("open and below > 1").select("lead")
     placed = materialize(placed.join(open_, "lead"), "placed")
     if placed.isEmpty():
         return found
     rows = materialize(differences(placed), "differences")
-    return components(linked_below(rows, percent).unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    for _ in range(ROUNDS):
+        meetings = _meetings(rows, percent)
+        size = meetings.groupBy("lead", "hash").agg(F.count("*").alias("g"), F.sum(F.expr("int(at <> main)")).alias("k"))
+        if (size.agg(F.sum(F.expr("g * k"))).first()[0] or 0) <= PAIRS_EACH * rows.count():
+            break
+        # many would meet: each with one of its meeting first, and what that links need not meet any more
+        found = components(_alike(_with_one(meetings), rows, percent).unionByName(_as_edges(found)))
+        rows = materialize(_placed(rows.drop("at", "outside"), found), "differences")
+    else:
+        meetings = _meetings(rows, percent)
+    return components(_alike(_pairs(meetings, percent), rows, percent).unionByName(_as_edges(found)))
+
+
+def _as_edges(found: DataFrame) -> DataFrame:
+    return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows (x, lead, ...) with the component of x, and whether it is not that of its leader."""
+    at = found.select(F.col("node").alias("x"), F.col("component").alias("at"))
+    lead_at = found.select(F.col("node").alias("lead"), F.col("component").alias("lead_at"))
+    placed = rows.join(at, "x", "left").withColumn("at", F.coalesce("at", "x")).join(lead_at, "lead", "left")
+    return placed.withColumn("outside", F.col("at") != F.coalesce("lead_at", "lead")).drop("lead_at")
 
 
 def linked_below(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) below leaders: x (its set differs from the leader's in dx hashes) and y link only if their differences share at
-    least (dx + dy - most) / 2 of them, where most is what two linked sets may differ in, share * (nx + ny). If x is outside the
-    leader's component, dx > share * (nx + n of the leader), so they share more than (dy + share * (n of the leader - ny)) / 2: the
-    differences are joined by the prefixes that must meet, what was added to the leader's set first. What many members lack of
-    it stands behind, mostly beyond the prefix. The differences give the exact similarity, too."""
+    """All links (a, b) below leaders between members of different components. rows: lead, x, n, lead_n, at, outside, diff."""
+    return _alike(_pairs(_meetings(rows, percent), percent), rows, percent)
+
+
+def _meetings(rows: DataFrame, percent: int) -> DataFrame:
+    """The members below a leader by the hashes at which pairs of them must meet: x (its set differs from the leader's in dx
+    hashes) and y link only if their differences share at least (dx + dy - most) / 2 of them, where most is what two linked sets
+    may differ in, share * (nx + ny). If x is outside the leader's component, dx > share * (nx + n of the leader), so they share more
+    than (dy + share * (n of the leader - ny)) / 2: the differences meet in prefixes, what was added to the leader's set first.
+    What many members lack of it stands behind, mostly beyond the prefix."""
     share = (100 - percent) / (100 + percent)
     d, n = F.size("diff"), F.col("n")
     half = F.greatest(F.lit(1), F.expr(f"(size(diff) * {100 + percent} + {100 - percent} * (lead_n - n)) div {2 * (100 + percent)} + 1"))
@@ -61,7 +90,19 @@ def linked_below(rows: DataFrame, percent: int) -> DataFrame:
     # where members of several components meet: `main` is the one with most members, the smallest of equals
     met = counts.groupBy("lead", "hash").agg(F.max_by("at", F.struct("k", -F.col("at"))).alias("main"), F.count("*").alias("ats"), F.max("open").alias("open"))
     met = met.where("ats > 1 and open").select("lead", "hash", "main")
-    each = materialize(each.join(met, ["lead", "hash"]), "meetings")
+    return materialize(each.join(met, ["lead", "hash"]), "meetings")
+
+
+def _with_one(meetings: DataFrame) -> DataFrame:
+    """Pairs (lead, x_a, x_b) of each member with one of those that it meets, the same for all."""
+    order = F.struct(F.xxhash64("x").alias("h"), "x", "at")
+    one = materialize(meetings.groupBy("lead", "hash").agg(F.min(order).alias("one")), "met")
+    return meetings.join(one, ["lead", "hash"]).where("at <> one.at").select("lead", F.col("x").alias("x_a"), F.col("one.x").alias("x_b")).distinct()
+
+
+def _pairs(meetings: DataFrame, percent: int) -> DataFrame:
+    """Pairs (lead, x_a, x_b) of members that meet, of different components, as many as can be linked."""
+    share = (100 - percent) / (100 + percent)
 
     def side(k: str, chosen: DataFrame) -> DataFrame:
         return chosen.select("lead", "hash", *(F.col(c).alias(f"{c}_{k}") for c in ("x", "at", "outside", "n", "d", "reach", "pos")), *(["main"] if k == "b" else []))
@@ -71,7 +112,11 @@ def linked_below(rows: DataFrame, percent: int) -> DataFrame:
     enough = rest * 2 >= F.col("d_a") + F.col("d_b") - share * (F.col("n_a") + F.col("n_b")) - 1e-9
     apart = F.expr("at_a <> at_b and (at_b = main or x_a < x_b) and (outside_a or outside_b)")
     near = F.expr("case when outside_a and outside_b then pos_a < reach_a and pos_b < reach_b else true end")
-    pairs = side("a", each.where("at <> main")).join(side("b", each), ["lead", "hash"]).where(apart & near & enough).select("lead", "x_a", "x_b").distinct()
+    return side("a", meetings.where("at <> main")).join(side("b", meetings), ["lead", "hash"]).where(apart & near & enough).select("lead", "x_a", "x_b").distinct()
+
+
+def _alike(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs that are linked, as edges (a, b): the differences give the exact similarity."""
     a, b = (rows.select("lead", *(F.col(c).alias(f"{c}_{k}") for c in ("x", "n", "diff"))) for k in "ab")
     differ = F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b"))
     total = F.col("n_a") + F.col("n_b")

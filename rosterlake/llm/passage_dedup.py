@@ -94,71 +94,86 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def paragraphs(data: list[bytes]) -> dict[str, np.ndarray]:
-    """Of all paragraphs of texts in UTF-8: doc (index), no (within the text), at (its first word), start, end (characters), byte_start,
-    byte_end, n_words, n_set (distinct shingles), closes (it ends its text), hash; the shingles with `owner` (index of the paragraph);
-    the bands with `key_owner`; of all seeds: seed_doc, seed_no (paragraph), seed_at (word), seed_start, seed_end, seed_closes,
-    seed_hash."""
-    words = Words(data)
-    first, last, word, doc = words.first, words.last, words.hash, words.doc
-    n = len(first)
-    if not n:
-        empty = np.zeros(0, np.int64)
-        return dict.fromkeys(("doc", "no", "at", "start", "end", "byte_start", "byte_end", "n_words", "n_set", "closes", "hash", "shingle", "owner", "key", "key_owner", "seed_doc", "seed_no", "seed_at", "seed_start", "seed_end", "seed_closes", "seed_hash"), empty)
-    # cuts: the least pair hash within REACH words on either side, the leftmost where equal
-    pair = np.full(n, _TOP)
-    pair[:-1] = mix(word[:-1] * _STEP + word[1:])
-    same = np.flatnonzero(doc[:-1] != doc[1:])
-    pair[same] = _TOP
-    cut = pair != _TOP
-    for k in range(1, REACH + 1):
-        cut[k:] &= (pair[k:] < pair[:-k]) | (doc[k:] != doc[:-k])
-        cut[:-k] &= (pair[:-k] <= pair[k:]) | (doc[k:] != doc[:-k])
-    head = np.diff(doc, prepend=-1) != 0
-    cut |= head
-    starts = np.flatnonzero(cut)
-    since = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
-    cut |= since % MAX_WORDS == 0
-    starts = np.flatnonzero(cut)
-    count = np.diff(np.append(starts, n))
-    since = np.arange(n) - np.repeat(starts, count)
-    # hashes of whole paragraphs and of their shingles
-    whole = mix(np.add.reduceat(mix(word) * np.cumprod(np.full(MAX_WORDS, _STEP, np.uint64))[since], starts) + count.astype(np.uint64))
-    shingle = np.full(n, np.uint64(SHINGLE))
-    for k in range(SHINGLE):
-        m = max(0, n - k)
-        shingle[:m] = mix(shingle[:m] * _STEP + word[k:])
-    seeds, gram = _seeds(shingle, doc)
-    inside = since + SHINGLE <= np.repeat(count, count)
-    short = starts[count < SHINGLE]
-    shingle[short], inside[short] = whole[count < SHINGLE], True
-    owner = np.repeat(np.arange(len(starts)), count)[inside]
-    order = mix(shingle[inside] ^ np.uint64(0x2545F4914F6CDD1D))
-    if len(starts) <= _OWNERS:
-        bits = np.uint64(_OWNERS.bit_length() - 1)
-        order = order[np.argsort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (order >> bits))]
-    else:
-        order = order[np.lexsort((order, owner))]
-    new = np.concatenate([[True], (order[1:] != order[:-1]) | (owner[1:] != owner[:-1])])
-    key, key_owner = order[new], owner[new]
-    n_set = np.bincount(key_owner, minlength=len(starts))
-    rank = np.arange(len(key)) - np.repeat(np.cumsum(n_set) - n_set, n_set)
-    prefix = rank <= (n_set + -n_set * PERCENT // 100)[key_owner]
-    chars = words.characters()
-    b0, b1 = first[starts], last[starts + count - 1]
-    base = words.begin[doc[starts]]
-    base_chars = chars[base] - 1
-    no = np.arange(len(starts)) - np.repeat(at0 := np.flatnonzero(head[starts]), np.diff(np.append(at0, len(starts))))
-    first_word = np.flatnonzero(head)[np.cumsum(head) - 1]
-    tail = np.append(head[1:], True)  # the last word of a text
-    seed_chars = chars[words.begin[doc[seeds]]] - 1
-    return {
-        "doc": doc[starts], "no": no, "at": starts - first_word[starts], "start": chars[b0] - 1 - base_chars, "end": chars[b1 - 1] - base_chars, "byte_start": b0 - base, "byte_end": b1 - base,
-        "n_words": count, "n_set": n_set, "closes": tail[starts + count - 1], "hash": whole.astype(np.int64),
-        "shingle": shingle[inside].astype(np.int64), "owner": owner, "key": key[prefix].astype(np.int64), "key_owner": key_owner[prefix],
-        "seed_doc": doc[seeds], "seed_no": no[np.searchsorted(starts, seeds, side="right") - 1], "seed_at": seeds - first_word[seeds],
-        "seed_start": chars[first[seeds]] - 1 - seed_chars, "seed_end": chars[last[seeds + RUN_WORDS - 1] - 1] - seed_chars, "seed_closes": tail[seeds + RUN_WORDS - 1], "seed_hash": gram.astype(np.int64),
-    }
+class Paragraphs:
+    """The paragraphs of texts in UTF-8: index of the first word, number of words, hash; their five-word shingles in flat arrays."""
+
+    def __init__(self, data: list[bytes]):
+        self.words = words = Words(data)
+        word, doc = words.hash, words.doc
+        self.n = n = len(word)
+        if not n:
+            self.starts = self.count = self.doc = self.head = np.zeros(0, np.int64)
+            self.hash, self.shingle, self.owner = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            return
+        # cuts: the least pair hash within REACH words on either side, the leftmost where equal
+        pair = np.full(n, _TOP)
+        pair[:-1] = mix(word[:-1] * _STEP + word[1:])
+        same = np.flatnonzero(doc[:-1] != doc[1:])
+        pair[same] = _TOP
+        cut = pair != _TOP
+        for k in range(1, REACH + 1):
+            cut[k:] &= (pair[k:] < pair[:-k]) | (doc[k:] != doc[:-k])
+            cut[:-k] &= (pair[:-k] <= pair[k:]) | (doc[k:] != doc[:-k])
+        self.head = np.diff(doc, prepend=-1) != 0
+        cut |= self.head
+        starts = np.flatnonzero(cut)
+        since = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
+        cut |= since % MAX_WORDS == 0
+        self.starts = starts = np.flatnonzero(cut)
+        self.count = count = np.diff(np.append(starts, n))
+        self.doc = doc[starts]
+        since = np.arange(n) - np.repeat(starts, count)
+        # hashes of whole paragraphs and of their shingles
+        self.hash = mix(np.add.reduceat(mix(word) * np.cumprod(np.full(MAX_WORDS, _STEP, np.uint64))[since], starts) + count.astype(np.uint64))
+        run = np.full(n, np.uint64(SHINGLE))
+        for k in range(SHINGLE):
+            m = max(0, n - k)
+            run[:m] = mix(run[:m] * _STEP + word[k:])
+        self.run = run.copy()  # of SHINGLE words from each word on, whatever paragraphs they lie in
+        inside = since + SHINGLE <= np.repeat(count, count)
+        short = starts[count < SHINGLE]
+        run[short], inside[short] = self.hash[count < SHINGLE], True
+        self.owner = np.repeat(np.arange(len(starts)), count)[inside]
+        self.shingle = run[inside]
+
+    def bands(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the bands, the paragraph of each, and the number of distinct shingles of each paragraph."""
+        owner, order = self.owner, mix(self.shingle ^ np.uint64(0x2545F4914F6CDD1D))
+        if not len(owner):
+            return order.astype(np.int64), owner, owner
+        if len(self.starts) <= _OWNERS:
+            bits = np.uint64(_OWNERS.bit_length() - 1)
+            order = order[np.argsort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (order >> bits))]
+        else:
+            order = order[np.lexsort((order, owner))]
+        new = np.concatenate([[True], (order[1:] != order[:-1]) | (owner[1:] != owner[:-1])])
+        key, owner = order[new], owner[new]
+        n_set = np.bincount(owner, minlength=len(self.starts))
+        rank = np.arange(len(key)) - np.repeat(np.cumsum(n_set) - n_set, n_set)
+        prefix = rank <= (n_set + -n_set * PERCENT // 100)[owner]
+        return key[prefix].astype(np.int64), owner[prefix], n_set
+
+    def seeds(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words at which seeds start, and their hashes."""
+        if not self.n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        seeds, gram = _seeds(self.run, self.words.doc)
+        return seeds, gram.astype(np.int64)
+
+    def no(self) -> np.ndarray:
+        """The number of each paragraph within its text."""
+        first = np.flatnonzero(np.diff(self.doc, prepend=-1))
+        return np.arange(len(self.starts)) - np.repeat(first, np.diff(np.append(first, len(self.starts))))
+
+    def places(self, start: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
+        """Of runs of count words from start on: doc, at (word), start, end (characters), closes (it ends its text)."""
+        words = self.words
+        chars = words.characters()
+        doc = words.doc[start]
+        base = chars[words.begin[doc]] - 1
+        from_ = np.searchsorted(words.doc, doc)
+        until = np.searchsorted(words.doc, doc, side="right")
+        return {"doc": doc, "at": start - from_, "start": chars[words.first[start]] - 1 - base, "end": chars[words.last[start + count - 1] - 1] - base, "n_words": count, "closes": start + count == until}
 
 
 def _seeds(shingle: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,7 +202,6 @@ def _sliding(function: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
 
 _PLACE = ["doc_id", "tid", "no", "at", "start", "end", "n_words", "n_set", "closes", "hash"]
 _KINDS = [pa.int64(), pa.int64(), *[pa.int32()] * 6, pa.bool_(), pa.int64()]
-_UNIT = "doc_id long, tid long, no int, at int, start int, end int, n_words int, n_set int, closes boolean, hash long, keys array<long>"
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -197,27 +211,61 @@ def _texts(docs: DataFrame) -> DataFrame:
     return chosen.select("doc_id", F.crc32("text").alias("tid"), "text")
 
 
-def _units(docs: DataFrame) -> DataFrame:
-    """Paragraphs, and seeds with -1 - no of the paragraph they start in."""
+def _keys(docs: DataFrame) -> DataFrame:
+    """key, low and high (the least and the largest doc_id) of all bands and seeds, summed up within each slice of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, tids, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            ids, texts = batch.column(0).to_numpy(), batch.column(2).to_pylist()
             for a, b in text_slices(texts):
-                p = paragraphs([_bytes(t) for t in texts[a:b]])
-                bounds = np.searchsorted(p["key_owner"], np.arange(len(p["doc"]) + 1))
-                own = [ids[a:b][p["doc"]], tids[a:b][p["doc"]], *(p[k] for k in _PLACE[2:])]
-                yield _rows(own, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(p["key"], pa.int64())))
-                n = len(p["seed_doc"])
-                own = [ids[a:b][p["seed_doc"]], tids[a:b][p["seed_doc"]], -1 - p["seed_no"], p["seed_at"], p["seed_start"], p["seed_end"], np.full(n, RUN_WORDS), np.ones(n), p["seed_closes"], p["seed_hash"]]
-                yield _rows(own, pa.ListArray.from_arrays(pa.array(np.arange(n + 1), pa.int32()), pa.array(p["seed_hash"], pa.int64())))
+                p = Paragraphs([_bytes(t) for t in texts[a:b]])
+                key, owner, _ = p.bands()
+                seeds, seed = p.seeds()
+                key, who = np.concatenate([key, seed]), ids[a:b][np.concatenate([p.doc[owner], p.words.doc[seeds]])]
+                order = np.argsort(key)
+                key, who = key[order], who[order]
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
+                low, high = (f.reduceat(who, first) if len(key) else who for f in (np.minimum, np.maximum))
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key[first], low, high)], names=["key", "low", "high"])
+
+    return map_arrow(_texts(docs), run, "key long, low long, high long")
 
-    return map_arrow(_texts(docs), run, _UNIT)
 
+def _members(docs: DataFrame, marks: np.ndarray) -> DataFrame:
+    """The paragraphs, and seeds with -1 - no of the paragraph they start in, that have keys whose bits are set; with those keys."""
+    held, bits = docs.sparkSession.sparkContext.broadcast(marks), len(marks).bit_length() + 5
 
-def _rows(columns: list[np.ndarray], keys: pa.ListArray) -> pa.RecordBatch:
-    arrays = [pa.array(x.astype(k.to_pandas_dtype()), k) for x, k in zip(columns, _KINDS, strict=True)]
-    return pa.RecordBatch.from_arrays([*arrays, keys], names=[*_PLACE, "keys"])
+    def marked(key: np.ndarray) -> np.ndarray:
+        take = np.ones(len(key), bool)
+        for at in _probes(key, bits):
+            take &= (held.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return take
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, tids, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            for a, b in text_slices(texts):
+                p = Paragraphs([_bytes(t) for t in texts[a:b]])
+                key, owner, n_set = p.bands()
+                take = marked(key)
+                key, owner = key[take], owner[take]
+                n = np.bincount(owner, minlength=len(p.starts))
+                some = np.flatnonzero(n)
+                seeds, seed = p.seeds()
+                take = marked(seed)
+                seeds, seed = seeds[take], seed[take]
+                no = p.no()
+                parts = p.places(np.concatenate([p.starts[some], seeds]), np.concatenate([p.count[some], np.full(len(seeds), RUN_WORDS)]))
+                parts["no"] = np.concatenate([no[some], -1 - no[np.searchsorted(p.starts, seeds, side="right") - 1]])
+                parts["n_set"] = np.concatenate([n_set[some], np.ones(len(seeds), np.int64)])
+                parts["hash"] = np.concatenate([p.hash[some].astype(np.int64), seed])
+                parts["doc_id"], parts["tid"] = ids[a:b][parts["doc"]], tids[a:b][parts["doc"]]
+                arrays = [pa.array(parts[k].astype(t.to_pandas_dtype()), t) for k, t in zip(_PLACE, _KINDS, strict=True)]
+                bounds = np.concatenate([[0], np.cumsum(np.concatenate([n[some], np.ones(len(seeds), np.int64)]))])
+                keys = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([key, seed]), pa.int64()))
+                yield pa.RecordBatch.from_arrays([*arrays, keys], names=[*_PLACE, "keys"])
+
+    return map_arrow(_texts(docs), run, "doc_id long, tid long, no int, at int, start int, end int, n_words int, n_set int, closes boolean, hash long, keys array<long>")
 
 
 def _with_places(docs: DataFrame, places: DataFrame, how: str, size: Column) -> DataFrame:
@@ -234,12 +282,12 @@ def _shingle_sets(docs: DataFrame, places: DataFrame, repeated: bool) -> DataFra
         for batch in batches:
             texts, some = batch.column(1).to_pylist(), batch.column(2)
             for a, b in text_slices(texts):
-                p = paragraphs([_bytes(t) for t in texts[a:b]])
+                p = Paragraphs([_bytes(t) for t in texts[a:b]])
                 part = some.slice(a, b - a)
                 flat, doc = part.flatten(), np.repeat(np.arange(b - a), part.value_lengths().to_numpy())
-                which = np.searchsorted(p["doc"], doc) + flat.field("no").to_numpy()
-                bounds = np.searchsorted(p["owner"], np.arange(len(p["doc"]) + 1))
-                sets = [np.unique(p["shingle"][bounds[i] : bounds[i + 1]]) for i in which.tolist()]
+                which = np.searchsorted(p.doc, doc) + flat.field("no").to_numpy()
+                bounds, shingle = np.searchsorted(p.owner, np.arange(len(p.doc) + 1)), p.shingle.astype(np.int64)
+                sets = [np.unique(shingle[bounds[i] : bounds[i + 1]]) for i in which.tolist()]
                 yield pa.RecordBatch.from_arrays([flat.field("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     sets = map_arrow(chosen, run, "node long, shingles array<long>")
@@ -475,38 +523,16 @@ def _marks(keys: DataFrame) -> np.ndarray:
     return table
 
 
-def _marked(units: DataFrame, marks: np.ndarray) -> DataFrame:
-    """The units with those of their keys whose bits are set, where there are any: little more than what is shared is left."""
-    held, bits = units.sparkSession.sparkContext.broadcast(marks), len(marks).bit_length() + 5
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(batch.num_columns - 1)
-            key, sizes = keys.flatten().to_numpy(), keys.value_lengths().to_numpy()
-            take = np.ones(len(key), bool)
-            for at in _probes(key, bits):
-                take &= (held.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-            n = np.bincount(np.repeat(np.arange(batch.num_rows), sizes)[take], minlength=batch.num_rows)
-            some = np.flatnonzero(n)
-            rows = batch.take(pa.array(some))
-            bounds = pa.array(np.concatenate([[0], np.cumsum(n[some])]), pa.int32())
-            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.ListArray.from_arrays(bounds, pa.array(key[take]))], schema=batch.schema)
-
-    return map_arrow(units, run, _UNIT)
-
-
 def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """doc_id, no, start, end, n_words, component_id, first_doc_id, kept, text_crc32 of each passage that repeats across documents: of
     the paragraphs that are kept, and of whole stretches elsewhere."""
     with Scratch() as scratch:
-        units = materialize(_units(docs), "paragraphs")
-        heads = units.where("no = 0").groupBy("doc_id", "tid").agg(F.count("*").alias("n"))
-        repeated = not heads.where("n > 1").isEmpty()  # rows that repeat count once; that costs a shuffle only where there are any
+        shared = _keys(docs).groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("key")
+        members = materialize(_members(docs, _marks(materialize(shared, "shared-keys"))), "members")
+        # rows that repeat count once; that costs a shuffle only where a doc_id occurs twice
+        repeated = not docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").isEmpty()
         if repeated:
-            units = materialize(units.dropDuplicates(["doc_id", "tid", "no", "at"]), "paragraphs")
-        keys = units.select("doc_id", F.explode("keys").alias("key"))
-        shared = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key")
-        members = materialize(_marked(units, _marks(materialize(shared, "shared-keys"))), "members")
+            members = materialize(members.dropDuplicates(["doc_id", "tid", "no", "at"]), "members")
         place = F.struct("doc_id", "start", "no", "end", "tid", (F.col("at") == 0).alias("opens"), "closes")
         classes = members.groupBy("hash").agg(F.min(place).alias("first"), F.max("doc_id").alias("high"))
         classes = materialize(classes, "classes")

@@ -392,6 +392,7 @@ def test_near_duplicates(spark, monkeypatch, way, make):
         monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
         monkeypatch.setattr(near_dedup, "HOT", 1)
         monkeypatch.setattr(near_dedup, "ESTIMATED", 40)
+        monkeypatch.setattr(linking, "PAIRS_EACH", 0)
     texts = make()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
     for size, percent in ((3, 85), (5, 80)):
@@ -512,12 +513,14 @@ def test_components(spark):
 
 def test_paragraph_places():
     texts = ["Hello World foo bar baz qux " * 5 + "é ünïcode text Words, and end", None, "", " \n ", "one", "the the " * 200]
-    p = passage_dedup.paragraphs([(t or "").encode() for t in texts])
-    for k in range(len(p["doc"])):
-        t = texts[p["doc"][k]]
-        part = t[p["start"][k] : p["end"][k]]
-        assert part == t.encode()[p["byte_start"][k] : p["byte_end"][k]].decode() and part.strip() == part and len(part.split()) == p["n_words"][k] <= passage_dedup.MAX_WORDS
-    assert sum(p["n_words"]) == sum(len((t or "").split()) for t in texts)
+    p = passage_dedup.Paragraphs([(t or "").encode() for t in texts])
+    found = p.places(p.starts, p.count)
+    for k in range(len(p.starts)):
+        t = texts[found["doc"][k]]
+        part = t[found["start"][k] : found["end"][k]]
+        assert part.strip() == part and part.split() == t.split()[found["at"][k] :][: p.count[k]] and p.count[k] <= passage_dedup.MAX_WORDS
+        assert found["closes"][k] == (found["at"][k] + p.count[k] == len(t.split()))
+    assert sum(p.count) == sum(len((t or "").split()) for t in texts)
 
 
 def passages():
@@ -540,6 +543,7 @@ def test_repeated_passages(spark, monkeypatch, way):
         monkeypatch.setattr(passage_dedup, "SMALL", 1)
         monkeypatch.setattr(passage_dedup, "HOT", 1)
         monkeypatch.setattr(passage_dedup, "_OWNERS", 1)
+        monkeypatch.setattr(linking, "PAIRS_EACH", 0)
         monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     texts, shared = passages()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
@@ -556,13 +560,14 @@ def test_repeated_passages(spark, monkeypatch, way):
 def test_near_links_are_all_found(spark, monkeypatch, small):
     """Every pair of one-paragraph texts at the threshold, by brute force, is in one component: a recall of 1."""
     monkeypatch.setattr(passage_dedup, "SMALL", small)
+    monkeypatch.setattr(linking, "PAIRS_EACH", 0 if small == 1 else 4)
     rng, texts = random.Random(5), {}
     while len(texts) < 240:
         words = [f"q{rng.randrange(10**6)}" for _ in range(rng.randint(12, 18))]
         edited = list(words)
         edited[rng.choice([0, 1, -1, -2])] = "zz"
         pair = [" ".join(w) for w in (words, edited)]
-        if all(len(passage_dedup.paragraphs([t.encode()])["doc"]) == 1 for t in pair):
+        if all(len(passage_dedup.Paragraphs([t.encode()]).starts) == 1 for t in pair):
             texts |= {len(texts): pair[0], len(texts) + 1: pair[1]}
     want = {i for i, (_, c) in brute_components(texts, 5, 80).items() if c != i}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
@@ -612,7 +617,7 @@ def test_boilerplate_makes_few_pairs(spark, monkeypatch):
 def test_a_frequent_line_that_varies(spark):
     """Families of near paragraphs that share a line with many others: links are those of brute force."""
     rng, texts = random.Random(31), {}
-    single = lambda words: len(passage_dedup.paragraphs([" ".join(words).encode()])["doc"]) == 1
+    single = lambda words: len(passage_dedup.Paragraphs([" ".join(words).encode()]).starts) == 1
     lines = [[f"p{j}", *"line is shared by very many texts".split()] for j in range(300)]
     line = max(lines, key=lambda x: sum(single([*x, *(f"s{i}w{k}" for k in range(8))]) for i in range(20)))
     for i in range(600):
