@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .graph import components
 
-#: Rounds in which members meet one of their meeting only, taken where all pairs of those that meet would be more than PAIRS_EACH for
-#: each row; what they leave is compared in pairs, so no link is lost.
-ROUNDS, PAIRS_EACH = 3, 4
+#: Where all pairs of members that meet would be more than so many for each row, members meet one of their meeting first, as long as
+#: that halves the pairs. What is left is compared in pairs, so no link is lost.
+PAIRS_EACH = 4
 
 
 def link(members: DataFrame, percent: int, compare: Callable[[DataFrame], DataFrame], differences: Callable[[DataFrame], DataFrame], pairs: DataFrame | None = None) -> DataFrame:
@@ -41,17 +41,16 @@ def link(members: DataFrame, percent: int, compare: Callable[[DataFrame], DataFr
     placed = materialize(placed.join(open_, "lead"), "placed")
     if placed.isEmpty():
         return found
-    rows = materialize(differences(placed), "differences")
-    for _ in range(ROUNDS):
+    rows, before = materialize(differences(placed), "differences"), None
+    while True:
         meetings = _meetings(rows, percent)
-        size = meetings.groupBy("lead", "hash").agg(F.count("*").alias("g"), F.sum(F.expr("int(at <> main)")).alias("k"))
-        if (size.agg(F.sum(F.expr("g * k"))).first()[0] or 0) <= PAIRS_EACH * rows.count():
+        work = _work(meetings)
+        if work <= PAIRS_EACH * rows.count() or before is not None and work > before // 2:
             break
+        before = work
         # many would meet: each with one of its meeting first, and what that links need not meet any more
         found = components(_alike(_with_one(meetings), rows, percent).unionByName(_as_edges(found)))
         rows = materialize(_placed(rows.drop("at", "outside"), found), "differences")
-    else:
-        meetings = _meetings(rows, percent)
     return components(_alike(_pairs(meetings, percent), rows, percent).unionByName(_as_edges(found)))
 
 
@@ -82,22 +81,31 @@ def _meetings(rows: DataFrame, percent: int) -> DataFrame:
     d, n = F.size("diff"), F.col("n")
     half = F.greatest(F.lit(1), F.expr(f"(size(diff) * {100 + percent} + {100 - percent} * (lead_n - n)) div {2 * (100 + percent)} + 1"))
     whole = F.greatest(F.lit(1), F.ceil(d - share * n * (1 + 100 / percent) - 1e-9))
-    # an outside member meets outside ones by the first `reach` of its hashes, inside ones by all of its prefix
+    # an outside member meets outside ones by the first `reach` of its hashes (kind 0), inside ones by all of its prefix (kind 1)
     reach = (d - half + 1).cast("int")
     prefix = F.when(F.col("outside"), F.greatest(reach, (d - whole + 1).cast("int"))).otherwise(reach)
     each = rows.select("lead", "x", "at", "outside", "n", d.alias("d"), reach.alias("reach"), F.posexplode(F.slice("diff", F.lit(1), prefix)).alias("pos", "hash"))
-    counts = each.groupBy("lead", "hash", "at").agg(F.count("*").alias("k"), F.max("outside").alias("open"))
-    # where members of several components meet: `main` is the one with most members, the smallest of equals
-    met = counts.groupBy("lead", "hash").agg(F.max_by("at", F.struct("k", -F.col("at"))).alias("main"), F.count("*").alias("ats"), F.max("open").alias("open"))
-    met = met.where("ats > 1 and open").select("lead", "hash", "main")
-    return materialize(each.join(met, ["lead", "hash"]), "meetings")
+    out = each.where("outside and pos < reach")
+    # where outside members of several components meet: `main` is the one with most members, the smallest of equals
+    counts = out.groupBy("lead", "hash", "at").agg(F.count("*").alias("k"))
+    met = counts.groupBy("lead", "hash").agg(F.max_by("at", F.struct("k", -F.col("at"))).alias("main"), F.count("*").alias("ats")).where("ats > 1").drop("ats")
+    both = each.groupBy("lead", "hash").agg(F.max("outside").alias("some"), F.min("outside").alias("all")).where("some and not all").select("lead", "hash", F.lit(None).cast("long").alias("main"))
+    meetings = out.join(met, ["lead", "hash"]).withColumn("kind", F.lit(0)).unionByName(each.join(both, ["lead", "hash"]).withColumn("kind", F.lit(1)))
+    return materialize(meetings.drop("reach"), "meetings")
+
+
+def _work(meetings: DataFrame) -> int:
+    """How many pairs would meet."""
+    first = F.sum(F.expr("int(if(kind = 0, at <> main, outside))")).alias("first")
+    second = F.sum(F.expr("int(kind = 0 or not outside)")).alias("second")
+    return meetings.groupBy("lead", "hash", "kind").agg(first, second).agg(F.sum(F.expr("first * second"))).first()[0] or 0
 
 
 def _with_one(meetings: DataFrame) -> DataFrame:
-    """Pairs (lead, x_a, x_b) of each member with one of those that it meets, the same for all."""
-    order = F.struct(F.xxhash64("x").alias("h"), "x", "at")
-    one = materialize(meetings.groupBy("lead", "hash").agg(F.min(order).alias("one")), "met")
-    return meetings.join(one, ["lead", "hash"]).where("at <> one.at").select("lead", F.col("x").alias("x_a"), F.col("one.x").alias("x_b")).distinct()
+    """Pairs (lead, x_a, x_b) of each member with one of those that it meets, the same for all; with an inside one where there is one."""
+    order = F.struct("outside", F.xxhash64("x").alias("h"), "x", "at")
+    one = materialize(meetings.groupBy("lead", "hash", "kind").agg(F.min(order).alias("one")), "met")
+    return meetings.join(one, ["lead", "hash", "kind"]).where("at <> one.at").select("lead", F.col("x").alias("x_a"), F.col("one.x").alias("x_b")).distinct()
 
 
 def _pairs(meetings: DataFrame, percent: int) -> DataFrame:
@@ -105,14 +113,14 @@ def _pairs(meetings: DataFrame, percent: int) -> DataFrame:
     share = (100 - percent) / (100 + percent)
 
     def side(k: str, chosen: DataFrame) -> DataFrame:
-        return chosen.select("lead", "hash", *(F.col(c).alias(f"{c}_{k}") for c in ("x", "at", "outside", "n", "d", "reach", "pos")), *(["main"] if k == "b" else []))
+        return chosen.select("lead", "hash", "kind", *(F.col(c).alias(f"{c}_{k}") for c in ("x", "at", "n", "d", "pos")), *(["main"] if k == "b" else []))
 
     # where the first hash in common stands bounds how many can follow: as many as the pair needs?
     rest = F.least(F.col("d_a") - F.col("pos_a"), F.col("d_b") - F.col("pos_b"))
     enough = rest * 2 >= F.col("d_a") + F.col("d_b") - share * (F.col("n_a") + F.col("n_b")) - 1e-9
-    apart = F.expr("at_a <> at_b and (at_b = main or x_a < x_b) and (outside_a or outside_b)")
-    near = F.expr("case when outside_a and outside_b then pos_a < reach_a and pos_b < reach_b else true end")
-    return side("a", meetings.where("at <> main")).join(side("b", meetings), ["lead", "hash"]).where(apart & near & enough).select("lead", "x_a", "x_b").distinct()
+    apart = F.expr("at_a <> at_b and (kind = 1 or at_b = main or x_a < x_b)")
+    a, b = side("a", meetings.where("if(kind = 0, at <> main, outside)")), side("b", meetings.where("kind = 0 or not outside"))
+    return a.join(b, ["lead", "hash", "kind"]).where(apart & enough).select("lead", "x_a", "x_b").distinct()
 
 
 def _alike(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:

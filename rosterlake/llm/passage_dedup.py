@@ -9,8 +9,9 @@ paragraphs. Paragraphs have REACH + 1 words at least (but for the ends of a text
    n - ceil(0.8 n) + 1 bands they share one for certain (a recall of 1). Bands that occur in one document only are dropped after a
    pre-aggregated count; a bit table of the others is what the paragraphs are filtered by where they are.
 2. Equal paragraphs form classes. Classes that share a band are compared by the exact Jaccard similarity of their shingle sets: all
-   pairs of up to SMALL classes; of more (a very common line) each with its leaders, and the others by their differences from
-   these (linking.py), so that pairs grow with the classes and none is lost.
+   pairs of up to SMALL classes. Bands of more (a shingle of a very common line) are replaced by the classes' rarest shingles, as
+   many as any class at the threshold must share one of; where more than SMALL share one of these, each is compared with its
+   leaders and the others by their differences from these (linking.py), so that pairs grow with the classes and none is lost.
 3. Classes joined by links form components; a component that spans two documents or more repeats. Its first place (smallest
    doc_id, then start) is kept.
 4. Seeds are runs of RUN_WORDS words whose hash is the least in a window of PASSAGE words (winnowing): equal passages of PASSAGE
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +66,15 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
 
 
+_FOLDED = _LETTER[_FOLD]
+
+
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of _STEP, and of its inverse modulo 2 ** 64."""
+    return tuple(np.cumprod(np.full(n, x, np.uint64)) for x in (int(_STEP), pow(int(_STEP), -1, 1 << 64)))
+
+
 class Words:
     """The words of texts (bytes) in flat arrays: byte places first and last + 1 in flat, hash, and the text that each is of."""
 
@@ -78,12 +89,12 @@ class Words:
         if not len(self.first):
             self.hash = np.zeros(0, np.uint64)
             return
+        # the bytes' random values weighted by powers of an odd number, which are those of the word's own places after division
         length = self.last - self.first
         kept = flat[~blank]
         at = np.cumsum(length) - length
-        place = np.arange(len(kept)) - np.repeat(at, length)
-        power = np.cumprod(np.full(int(length.max()), _STEP, np.uint64))
-        self.hash = mix(np.add.reduceat(_LETTER[_FOLD[kept]] * power[place], at) + length.astype(np.uint64))
+        power, inverse = _powers(max(1 << 19, len(kept)))
+        self.hash = mix(np.add.reduceat(_FOLDED[kept] * power[: len(kept)], at) * inverse[at] + length.astype(np.uint64))
 
     def characters(self) -> np.ndarray:
         """Of each byte, the number of characters of all texts (and the blanks between) up to it, itself included."""
@@ -276,7 +287,7 @@ def _with_places(docs: DataFrame, places: DataFrame, how: str, size: Column) ->
 def _shingle_sets(docs: DataFrame, places: DataFrame, repeated: bool) -> DataFrame:
     """places: node, doc_id, tid, no, one of each paragraph class. Gives node and its distinct shingles, from the texts read again."""
     wanted = places.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("no", "node")).alias("some"))
-    chosen = _with_places(docs, wanted, "inner", F.lit(64) + 24 * F.size("some")).select("doc_id", "text", "some")
+    chosen = _with_places(docs, wanted, "inner", F.lit(128) + 40 * F.size("some")).select("doc_id", "text", "some")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,7 +312,16 @@ def _linked(docs: DataFrame, members: DataFrame, classes: DataFrame, repeated: b
     keyed = materialize(keyed.join(groups, "key"), "near-keys")
     places = classes.join(keyed.select(F.col("node").alias("hash")).distinct(), "hash", "left_semi")
     sets = materialize(_shingle_sets(docs, places.select(F.col("hash").alias("node"), F.col("first.doc_id").alias("doc_id"), F.col("first.tid").alias("tid"), F.col("first.no").alias("no")), repeated), "shingle-sets")
-    few = keyed.where(F.col("members") <= SMALL)
+    # bands of many: the rarest shingles of each of their classes
+    hot = sets.join(keyed.where(F.col("members") > SMALL).select("node").distinct(), "node", "left_semi")
+    each = hot.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    often = each.groupBy("key").agg(F.count("*").alias("members"))
+    order = F.sort_array(F.collect_list(F.struct("members", "key")))
+    rarest = F.slice("order", F.lit(1), (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))
+    ranked = each.join(often, "key").groupBy("node", "n").agg(order.alias("order")).select("node", "n", F.explode(rarest).alias("o")).select("node", "n", F.col("o.key").alias("key"))
+    groups = ranked.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    rare = materialize(ranked.join(groups, "key"), "rare-keys")
+    few = keyed.where(F.col("members") <= SMALL).unionByName(rare.where(F.col("members") <= SMALL), allowMissingColumns=True).select("key", "node", "n")
     x, y = (few.select("key", F.col("node").alias(k), F.col("n").alias(f"n{k}")) for k in "ab")
     fit = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT) & (F.col("a") > F.col("b"))
     pairs = x.join(y, "key").where(fit).select("a", "b")
@@ -319,7 +339,7 @@ def _linked(docs: DataFrame, members: DataFrame, classes: DataFrame, repeated: b
         diff = F.concat(F.sort_array(F.array_except("sx", "sl")), F.sort_array(F.array_except("sl", "sx")))
         return placed.join(left, "x").join(right, "lead").select("lead", "x", "n", "lead_n", "at", "outside", diff.alias("diff"))
 
-    return link(keyed.where(F.col("members") > SMALL), PERCENT, compare, differences, pairs)
+    return link(rare.where(F.col("members") > SMALL), PERCENT, compare, differences, pairs)
 
 
 _PART = ["no", "at", "start", "end", "n_words", "closes", "component", "top_doc", "top_tid", "top_start", "top_end", "top_opens", "top_closes", "kept"]
@@ -442,7 +462,7 @@ def _extensions(docs: DataFrame, stretches: DataFrame, repeated: bool) -> DataFr
     own = asked.select("doc_id", "tid", F.col("at").alias("of"), "left", "pos")
     targets = asked.select(F.col("to_doc").alias("doc_id"), F.col("to_tid").alias("tid"), F.lit(None).cast("int").alias("of"), "left", F.col("to_pos").alias("pos"))
     spots = own.unionByName(targets).groupBy("doc_id", "tid").agg(F.collect_set(F.struct("of", "left", "pos")).alias("spots"))
-    joined = _with_places(docs, spots, "inner", F.lit(64) + 24 * F.size("spots")).select("doc_id", "tid", "text", "spots")
+    joined = _with_places(docs, spots, "inner", F.lit(128) + 48 * F.size("spots")).select("doc_id", "tid", "text", "spots")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -565,7 +585,7 @@ def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
     gone = passages.where(~F.col("kept")).groupBy("doc_id", F.col("text_crc32").alias("__tid")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__gone"))
     rows = materialize(gone.withColumnRenamed("doc_id", "__id"), "cuts")
     marked = docs.withColumns({"__own": F.col("doc_id").cast("long"), "__crc": F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    joined = marked.join(sized(rows, F.lit(64) + 24 * F.size("__gone")), F.expr("__own = __id and __crc = __tid"), "left").select(*docs.columns, "__gone")
+    joined = marked.join(sized(rows, F.lit(128) + 40 * F.size("__gone")), F.expr("__own = __id and __crc = __tid"), "left").select(*docs.columns, "__gone")
     names = joined.columns
     text, spans = names.index("text"), names.index("__gone")
 
