@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.llm import language_id, near_dedup, packing, passage_dedup, quality
 from rosterlake.llm.common import materialize, table
+from rosterlake.storage import Scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +63,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for nth, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if nth + 1 < len(STAGES):
-            docs = materialize(docs, f"stage-{nth}")
-    return docs
+    with Scratch() as outputs:
+        for name, stage in STAGES[:-1]:
+            with Scratch() as scratch:  # what a stage has written on its way goes when its output is there
+                docs = scratch.keep(materialize(stage(spark, docs, sf_dir), name.replace(" ", "-")))
+        outputs.keep(docs)
+    return STAGES[-1][1](spark, docs, sf_dir)
