@@ -4,8 +4,10 @@ Samples are resampled by a polyphase filter bank (rate times up/down), cut into
 segmented by energy with hysteresis (a segment opens above one threshold and closes below a lower one). Features are laid out
 as fixed-shape tensors (PATCH frames x MELS bands) with the time span of each.
 
-Everything is computed text by text in blocks of fixed size, so equal texts give equal values wherever they are, and a long
-text needs the memory of one block. Defined results: a null text counts as empty, whose payload is 576 bytes of 255.
+Everything is computed text by text in blocks of BLOCK frames, so equal texts give equal values wherever they are, and a long text
+needs, beside its sound and tensors as they are stored, the memory of one block. Digests and feature strings are taken from what is
+read back: the samples from the container, the frames from the tensors and their spans. Defined results: a null text counts as
+empty, whose payload is 576 bytes of 255.
 """
 
 from __future__ import annotations
@@ -71,18 +73,28 @@ def polyphase_filters(up: int = UP, down: int = DOWN, taps: int = TAPS) -> np.nd
     return np.ascontiguousarray(bank / bank.sum(axis=1, keepdims=True), np.float32)
 
 
-def resample(samples: np.ndarray, bank: np.ndarray, down: int = DOWN) -> np.ndarray:
-    """Output k comes from input position k*down // up under phase k*down % up, with zeros beyond the ends."""
+def resampled_length(n: int, up: int = UP, down: int = DOWN) -> int:
+    return -(-n * up // down)
+
+
+def resample(samples: np.ndarray, bank: np.ndarray, down: int = DOWN, first: int = 0, last: int | None = None) -> np.ndarray:
+    """Outputs first to last (not included; all by default). Output k comes from input position k*down // up under phase k*down % up,
+    with zeros beyond the ends. samples: floats, or bytes of 8-bit sound, whose needed part alone is turned into floats."""
     up, taps = bank.shape
-    n_out = -(-len(samples) * up // down)
-    padded = np.concatenate([np.zeros(taps // 2, np.float32), samples, np.zeros(taps + down, np.float32)])
-    windows = np.lib.stride_tricks.sliding_window_view(padded, taps)
-    out = np.empty(n_out, np.float32)
-    for first in range(up):  # outputs first, first + up, ... share one phase and step by `down` inputs
-        k = np.arange(first, n_out, up)
-        if len(k):
-            start = first * down // up
-            out[first::up] = windows[start : start + down * len(k) : down][: len(k)] @ bank[first * down % up]
+    last = resampled_length(len(samples), up, down) if last is None else last
+    out = np.empty(last - first, np.float32)
+    if not len(out):
+        return out
+    a, b = first * down // up - taps // 2, (last - 1) * down // up - taps // 2 + taps
+    part = samples[max(0, a) : max(0, b)]
+    if part.dtype == np.uint8:
+        part = (part.astype(np.float32) - 128) / 128
+    part = np.concatenate([np.zeros(max(0, -a), np.float32), part, np.zeros(max(0, b - max(len(samples), 0)) + down, np.float32)])
+    windows = np.lib.stride_tricks.sliding_window_view(part, taps)
+    for nth in range(min(up, len(out))):  # outputs k, k + up, ... share one phase and step by `down` inputs
+        k = first + nth
+        start, n = k * down // up - taps // 2 - a, len(range(k, last, up))
+        out[nth::up] = windows[start : start + down * n : down][:n] @ bank[k * down % up]
     return out
 
 
@@ -98,13 +110,16 @@ _BANK, _MEL = polyphase_filters(), mel_bank()
 _WINDOW = np.hanning(FRAME).astype(np.float32)
 
 
-def log_mel(signal: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Blocks of (log-mel rows, frame energy in dB); the last frame is filled with zeros."""
-    n = max(1, -(-max(0, len(signal) - FRAME) // HOP) + 1)
-    signal = np.concatenate([signal, np.zeros(max(0, (n - 1) * HOP + FRAME - len(signal)), np.float32)])
-    frames = np.lib.stride_tricks.sliding_window_view(signal, FRAME)[::HOP][:n]
+def log_mel(raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of (log-mel rows, frame energy in dB) of samples as stored; the last frame is filled with zeros."""
+    n_signal = resampled_length(len(raw))
+    n = max(1, -(-max(0, n_signal - FRAME) // HOP) + 1)
     for a in range(0, n, BLOCK):
-        x = frames[a : a + BLOCK] * _WINDOW
+        b = min(n, a + BLOCK)
+        size = (b - 1 - a) * HOP + FRAME
+        signal = resample(raw, _BANK, DOWN, a * HOP, min(n_signal, a * HOP + size))
+        signal = np.concatenate([signal, np.zeros(size - len(signal), np.float32)])
+        x = np.lib.stride_tricks.sliding_window_view(signal, FRAME)[::HOP] * _WINDOW
         spectrum = np.fft.rfft(x, axis=1)
         power = (spectrum.real**2 + spectrum.imag**2).astype(np.float32)
         yield np.log(power @ _MEL + np.float32(1e-6)), 10 * np.log10(np.einsum("ij,ij->i", x, x) / FRAME + 1e-9)
@@ -122,26 +137,21 @@ def segments(energy: np.ndarray, open_db: float = OPEN_DB, close_db: float = CLO
     return turn.reshape(-1, 2)
 
 
-def analyse(media: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log-mel rows, energy per frame, segments) of a stored sound."""
-    raw, _ = read_wav(media)
-    signal = resample((raw.astype(np.float32) - 128) / 128, _BANK)
-    mels, energy = map(np.concatenate, zip(*log_mel(signal), strict=True))
-    return mels, energy, segments(energy - energy.max())
-
-
-def tensors_ipc(mels: np.ndarray) -> bytes:
-    """An Arrow stream with one row per patch: start_s, end_s, and the patch as a fixed-shape tensor (zeros fill the last)."""
-    n = -(-len(mels) // PATCH)
-    full = np.zeros((n * PATCH, MELS), np.float32)
-    full[: len(mels)] = mels
-    first = np.arange(n) * PATCH
-    end = (np.minimum(first + PATCH, len(mels)) - 1) * HOP + FRAME
-    tensor = pa.FixedShapeTensorArray.from_numpy_ndarray(full.reshape(n, PATCH, MELS))
-    batch = pa.record_batch([pa.array(first * HOP / RATE), pa.array(end / RATE), tensor], names=["start_s", "end_s", "log_mel"])
-    sink = io.BytesIO()
-    with pa.ipc.new_stream(sink, batch.schema) as writer:
-        writer.write_batch(batch)
+def tensors_ipc(blocks: Iterator[np.ndarray]) -> bytes:
+    """An Arrow stream with one row per patch: start_s, end_s, and the patch as a fixed-shape tensor (zeros fill the last). blocks: of
+    log-mel rows, a whole number of patches in all but the last; each becomes a record batch."""
+    schema = pa.schema([("start_s", pa.float64()), ("end_s", pa.float64()), ("log_mel", TENSOR)])
+    sink, at = io.BytesIO(), 0
+    with pa.ipc.new_stream(sink, schema) as writer:
+        for mels in blocks:
+            n = -(-len(mels) // PATCH)
+            full = np.zeros((n * PATCH, MELS), np.float32)
+            full[: len(mels)] = mels
+            first = at + np.arange(n) * PATCH
+            end = (np.minimum(first + PATCH, at + len(mels)) - 1) * HOP + FRAME
+            tensor = pa.FixedShapeTensorArray.from_numpy_ndarray(full.reshape(n, PATCH, MELS))
+            writer.write_batch(pa.record_batch([pa.array(first * HOP / RATE), pa.array(end / RATE), tensor], schema=schema))
+            at += len(mels)
     return sink.getvalue()
 
 
@@ -149,29 +159,49 @@ def read_tensors(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
-def feature_string(mels: np.ndarray, found: np.ndarray) -> str:
+def stored_frames(blob: bytes) -> Iterator[np.ndarray]:
+    """The log-mel rows of stored tensors, a record batch at a time; the spans tell how many frames of a patch are its own."""
+    for batch in pa.ipc.open_stream(blob):
+        rows = batch.column(2).to_numpy_ndarray().reshape(-1, MELS)
+        first, last = batch.column(0)[0].as_py(), batch.column(1)[batch.num_rows - 1].as_py()
+        yield rows[: round(((last - first) * RATE - FRAME) / HOP) + 1]
+
+
+def feature_string(frames: Iterator[np.ndarray], starts: list[float], ends: list[float]) -> str:
     """Number of frames and bands, digest of the values in steps of 1/16, number of segments, and the seconds they cover."""
-    steps = np.clip(np.rint(mels * 16), -32768, 32767).astype("<i2").tobytes()
-    held = int((found[:, 1] - found[:, 0]).sum()) * HOP / RATE
-    return f"logmel[{len(mels)}x{MELS}]:{hashlib.sha256(steps).hexdigest()[:32]};segments={len(found)};active_s={held:.3f}"
+    n, digest = 0, hashlib.sha256()
+    for mels in frames:
+        n += len(mels)
+        digest.update(np.clip(np.rint(mels * 16), -32768, 32767).astype("<i2").tobytes())
+    held = sum(round((e - s) * RATE / HOP) for s, e in zip(starts, ends, strict=True)) * HOP / RATE
+    return f"logmel[{n}x{MELS}]:{digest.hexdigest()[:32]};segments={len(starts)};active_s={held:.3f}"
 
 
 _DIGEST = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
 _MEDIA = pa.schema([("doc_id", pa.int64()), ("media", pa.binary()), ("tensors", pa.binary()), ("segment_starts_s", pa.list_(pa.float64())), ("segment_ends_s", pa.list_(pa.float64()))])
 
 
-def digest(doc_id: int | None, text: str | None) -> tuple:
-    payload, n = payload_of(text)
-    media = write_wav(payload)
-    back = read_wav(media)[0].tobytes()
-    mels, _, found = analyse(media)
-    return doc_id, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature_string(mels, found)
-
-
 def media_row(doc_id: int | None, text: str | None) -> tuple:
     media = write_wav(payload_of(text)[0])
-    mels, _, found = analyse(media)
-    return doc_id, media, tensors_ipc(mels), (found[:, 0] * HOP / RATE).tolist(), (found[:, 1] * HOP / RATE).tolist()
+    energy: list[np.ndarray] = []
+
+    def blocks() -> Iterator[np.ndarray]:
+        for mels, power in log_mel(read_wav(media)[0]):
+            energy.append(power)
+            yield mels
+
+    tensors = tensors_ipc(blocks())
+    power = np.concatenate(energy)
+    found = segments(power - power.max())
+    return doc_id, media, tensors, (found[:, 0] * HOP / RATE).tolist(), (found[:, 1] * HOP / RATE).tolist()
+
+
+def digest(doc_id: int | None, text: str | None) -> tuple:
+    """Of what media_row stores, read back."""
+    _, media, tensors, starts, ends = media_row(doc_id, text)
+    back = read_wav(media)[0]
+    n = len((text or "").encode("utf-8", "surrogatepass"))
+    return doc_id, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature_string(stored_frames(tensors), starts, ends)
 
 
 def _apply(docs: DataFrame, row, schema: pa.Schema, ddl: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Exact top-k inner-product search by ball trees: branch and bound per shard, with the current k-th score shared.
 
 Vectors are whole numbers. Each shard of at most SHARD vectors is built into a ball tree once and written down. Queries are
-worked off in blocks of bounded size, each broadcast to all shards. A first job searches one shard of every size class and so finds
-a k-th score that each query is sure to reach; it is broadcast with the block, and the shards then descend their trees from
-there, nodes in the order of their upper bound on the inner product, and leave out a node only where its bound is below the
+worked off in blocks of bounded size, each broadcast to all shards and, once its results are written, dropped from them. A first job
+searches one shard of every length and so finds a k-th score that each query is sure to reach; it is broadcast with the
+block, and the shards then descend their trees from there, nodes in the order of their upper bound on the inner product, and leave out a node only where its bound is below the
 current k-th score, so ties are kept. At most k rows per query and shard are shuffled.
 
 Defined results: vectors that are null or hold null, NaN or infinite components take no part; vectors of different length don't
@@ -143,7 +143,7 @@ def _trees(vectors: DataFrame, shard: int) -> DataFrame:
 
 
 def _search(trees: DataFrame, block: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> DataFrame:
-    """block: for each length the ids, the vectors and the scores to reach of a bounded number of queries."""
+    """block: for each length the ids, the vectors and the scores to reach of a bounded number of queries. The results are written."""
     shared = trees.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +156,9 @@ def _search(trees: DataFrame, block: dict[int, tuple[np.ndarray, np.ndarray, np.
                 found = ids >= 0
                 yield pa.RecordBatch.from_pydict({"query_id": np.repeat(query_ids, found.sum(axis=1)), "vec_id": ids[found], "score": scores[found]})
 
-    return map_arrow(trees, run, "query_id long, vec_id long, score long")
+    found = materialize(map_arrow(trees, run, "query_id long, vec_id long, score long"), "found")
+    shared.destroy()
+    return found
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, shard: int = SHARD, query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -166,11 +168,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, shard: int = SHARD,
     queries = known.where(is_query).distinct()
     count = queries.count()
     parts = max(1, -(-count // query_block))
+    # hashed parts of a known count, sorted by part, so that the others' row groups are skipped
+    blocks = materialize(queries.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts))).repartition("part").sortWithinPartitions("part"), "queries")
     sample = [r["nth"] for r in trees.groupBy("dim").agg(F.min("nth").alias("nth")).collect()] if count else []
     out = None
     for part in range(parts):
-        # hashed parts of a known count: each has about query_block rows
-        rows = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part).toArrow().sort_by("vec_id") if count else None
+        rows = blocks.where(F.col("part") == part).drop("part").toArrow().sort_by("vec_id") if count else None
         block: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         if rows is not None:
             ids, lists = rows["vec_id"].to_numpy(), rows["vector"].to_pylist()

@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, text_slices
 
-#: Pieces in a worker's young table (twice as many of those with a blank before them, some 200 bytes each); at that many it becomes
-#: the old one, and the old one goes.
+#: Pieces in a worker's young table (twice as many of those with a blank before them), and characters and bytes of ids that it holds
+#: for each of them; at that many of either it becomes the old one, and the old one goes. So long pieces take no more than short ones.
 MAX_KEPT = 150_000
+HELD_EACH = 64
 # White space as Unicode has it; str.split() also cuts at U+001C to U+001F.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+"
@@ -46,15 +47,15 @@ def byte_letters() -> list[str]:
 
 
 class _Kept(dict):
-    """The place of each piece in `ids` (and `shown`). A piece that is asked for and not there gets the next place, filled from the
+    """The place of each piece in `ids`. A piece that is asked for and not there gets the next place, filled from the
     old table or, later, by learning what is in `new`. A full table becomes the old one of an empty one, and its own old one goes."""
 
     def __init__(self, most: int, old: _Kept | None = None):
         super().__init__()
         self.most, self.old = most, old
         self.ids: list[bytes] = []
-        self.shown: list[bytes] = []
         self.new: list[tuple[str, int]] = []
+        self.held = 0
 
     def __missing__(self, piece: str) -> int:
         ids, old = self.ids, self.old
@@ -63,14 +64,13 @@ class _Kept(dict):
         if was is None:
             self.new.append((piece, at))
             ids.append(b"")
-            self.shown.append(b"")
         else:
             ids.append(old.ids[was])
-            self.shown.append(old.shown[was])
+            self.held += len(piece) + len(ids[at])
         return at
 
     def turned(self) -> _Kept:
-        if len(self) <= self.most:
+        if len(self) <= self.most and self.held <= self.most * HELD_EACH:
             return self
         self.old = None
         return _Kept(self.most, self)
@@ -98,11 +98,12 @@ class FlatBpe:
         letters = byte_letters()
         self.first = np.array([vocab[c] for c in letters], self.kind)
         self.last = np.array([vocab[c + self.end] for c in letters], self.kind)
+        self.spelt: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
         self._clear()
 
     def _clear(self) -> None:
         self.plain, self.spaced = _Kept(self.kept), _Kept(2 * self.kept)
-        self.marks: dict[str, tuple[bytes, bytes]] = {}
+        self.marks: dict[str, bytes] = {}
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("plain", "spaced", "marks")}
@@ -185,10 +186,9 @@ class FlatBpe:
             at = end
         return out
 
-    def _mark(self, mark: str) -> tuple[bytes, bytes]:
+    def _mark(self, mark: str) -> bytes:
         if mark not in self.marks:
-            ids = self.merge([mark])[0]
-            self.marks[mark] = ids.tobytes(), " ".join([self.tokens[i] for i in ids.tolist()]).encode() if self.end else b""
+            self.marks[mark] = self.merge([mark])[0].tobytes()
         return self.marks[mark]
 
     def _learn(self, kept: _Kept, blank: str) -> None:
@@ -204,10 +204,7 @@ class FlatBpe:
             if known is None or not kept.ids[known]:
                 others.append((p, at))
                 continue
-            mark = self._mark(p[-1])
-            kept.ids[at] = kept.ids[known] + mark[0]
-            kept.shown[at] = kept.shown[known] + b" " + mark[1]
-        kept.new = []
+            kept.ids[at] = kept.ids[known] + self._mark(p[-1])
         find = (_WORDS if self.end else _BYTES).findall
         cut = [find(blank + p) for p, _ in others]
         alone = len(words)
@@ -215,20 +212,16 @@ class FlatBpe:
         flat, bounds = self.merge(words)
         raw = flat.tobytes()
         found = [raw[4 * a : 4 * b] for a, b in zip(bounds, bounds[1:], strict=False)]
-        names = list(map(self.tokens.__getitem__, flat.tolist())) if self.end else []
-        shown = [" ".join(names[a:b]).encode() for a, b in zip(bounds, bounds[1:], strict=False)] if self.end else []
         for at, ids in zip(places, found, strict=False):
             kept.ids[at] = ids
-        for at, text in zip(places, shown, strict=False):
-            kept.shown[at] = text
         where = {w: alone + i for i, w in enumerate(words[alone:])}
         for (_, at), ws in zip(others, cut, strict=True):
             kept.ids[at] = b"".join([found[where[w]] for w in ws])
-            if self.end:
-                kept.shown[at] = b" ".join([shown[where[w]] for w in ws])
+        kept.held += sum([len(p) + len(kept.ids[at]) for p, at in kept.new])
+        kept.new = []
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
-        """Of each text the ids as little-endian unsigned 32-bit integers, and for word-end files the decoded text in UTF-8."""
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Of each text the ids as little-endian unsigned 32-bit integers."""
         self.plain, self.spaced = plain, spaced = self.plain.turned(), self.spaced.turned()
         marks, cut = self._specials, []
         for text in texts:
@@ -241,31 +234,46 @@ class FlatBpe:
             cut.append([p if isinstance(p, str) else [(list(map(plain.__getitem__, a)), list(map(spaced.__getitem__, b))) for a, b in p] for p in parts])
         self._learn(plain, "")
         self._learn(spaced, " ")
-        plain_ids, spaced_ids, shown_of = plain.ids.__getitem__, spaced.ids.__getitem__, plain.shown.__getitem__
+        plain_ids, spaced_ids = plain.ids.__getitem__, spaced.ids.__getitem__
         for parts in cut:
-            ids, shown = [], []
+            ids = []
             for part in parts:
                 if isinstance(part, str):
                     ids.append(self.special[part].to_bytes(4, "little"))
-                    shown.append(part.encode())
                 else:
                     for a, b in part:
                         ids += map(plain_ids, a)
                         ids += map(spaced_ids, b)
-                        if self.end:
-                            shown += map(shown_of, a)
-            yield b"".join(ids), b" ".join(shown)
+            yield b"".join(ids)
 
     @property
     def _specials(self) -> regex.Pattern:
         return _special_pattern(tuple(self.special))
 
-    def decode(self, ids: bytes) -> str:
-        """As the tokenizers library does: token by token with a blank between for word-end files, else their bytes."""
-        found = np.frombuffer(ids, "<u4").tolist()
+    def _spelt(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all tokens (for word-end files with a blank after each) in one array, where those of an id begin, and how many."""
+        if self.spelt is None:
+            parts = [(self.tokens[i].encode() + b" " if self.end else self.bytes_of(i)) if i in self.tokens else b"" for i in range(self.size)]
+            sizes = np.array([len(x) for x in parts], np.int64)
+            self.spelt = np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes, sizes
+        return self.spelt
+
+    def decode_all(self, texts: list[bytes]) -> list[bytes]:
+        """The decoded texts in UTF-8 of the ids of texts, as the tokenizers library does: token by token with a blank between for
+        word-end files, else their bytes, with a replacement character for what is no UTF-8."""
+        flat, start, size = self._spelt()
+        ids = np.frombuffer(b"".join(texts), "<u4").astype(np.int64)
+        n = size[ids]
+        ends = np.cumsum(n)
+        spelt = flat[np.arange(int(n.sum())) + np.repeat(start[ids] - (ends - n), n)].tobytes()
+        counts = np.cumsum([len(x) // 4 for x in texts])
+        cuts = np.concatenate([[0], np.concatenate([[0], ends])[counts]]).tolist()
         if self.end:
-            return " ".join([self.tokens[i] for i in found])
-        return b"".join([self.bytes_of(i) for i in found]).decode("utf-8", "replace")
+            return [spelt[a : max(a, b - 1)] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [spelt[a:b].decode("utf-8", "replace").encode() for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def decode(self, ids: bytes) -> str:
+        return self.decode_all([ids])[0].decode()
 
     def bytes_of(self, i: int) -> bytes:
         """What a token of a byte-level file stands for."""
@@ -293,24 +301,22 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in text_slices(texts):
-                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x, _ in shared.value.encode(texts[a:b])]
+                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in shared.value.encode(texts[a:b])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, ids array<int>")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """Number of tokens and digests of the ids and of the decoded text (word-end files) of every whole text."""
+    """Number of tokens and digests of the ids, and of the text that these decode to, of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(FlatBpe.from_file(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in text_slices(texts):
-                bpe, rows = shared.value, []
-                for ids, shown in bpe.encode(texts[a:b]):
-                    shown = shown if bpe.end else bpe.decode(ids).encode()
-                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(shown).hexdigest()))
+                ids = list(shared.value.encode(texts[a:b]))
+                rows = [(len(x) // 4, hashlib.sha256(x).hexdigest(), hashlib.sha256(back).hexdigest()) for x, back in zip(ids, shared.value.decode_all(ids), strict=True)]
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(_OUT)[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *columns], schema=_OUT)
 

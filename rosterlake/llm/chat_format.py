@@ -1,8 +1,9 @@
 """Chat formatting: a finite-state machine over roles checks the turn order while a declarative template renders
-each turn as text segments that carry a loss flag.
+each turn as text segments that carry a loss flag. What reads a turn back is made from the same template.
 
 Rows are shuffled once by conversation and sorted by turn inside the partition; the machine then streams over the sorted
-rows, so that a conversation of any length needs the memory of one turn only. Defined results: a null text or role counts as
+rows, so that a conversation of any length needs the memory of one turn only. The rows of one conversation stay in one task, as a digest
+over its turns in order must. Defined results: a null text or role counts as
 empty; rows that agree in turn are ordered by role, then text; repeated rows are turns of their own; a null conv_id is a
 conversation of its own; a breach of the turn order is reported, never dropped.
 """
@@ -13,6 +14,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,10 +25,13 @@ from .common import map_arrow
 
 @dataclass(frozen=True)
 class Template:
-    """Each part of a turn is (text, loss): `{role}` and `{text}` are filled in, and loss holds for `loss_roles` alone."""
+    """Each part of a turn is (text, loss): `{role}` and `{text}` are filled in, and loss holds for `loss_roles` alone. Control strings
+    start with `opener`, of which none is left in a role or text; what follows a role or text must start with it (after a
+    role, a line break will do too), so that a turn can be read back. ValueError for templates that can't."""
 
     parts: tuple[tuple[str, bool], ...] = (("<|im_start|>{role}\n", False), ("{text}", True), ("<|im_end|>\n", False))
     loss_roles: frozenset[str] = frozenset({"assistant"})
+    opener: str = "<|"
     #: state -> {role: next state}; the first state is where a conversation starts.
     machine: dict[str, dict[str, str]] = field(
         default_factory=lambda: {
@@ -38,39 +43,64 @@ class Template:
     )
     final: frozenset[str] = frozenset({"answered"})
 
+    def __post_init__(self) -> None:
+        pieces = self.pieces()
+        fields = [p for p in pieces if p in _FIELDS]
+        if sorted(fields) != sorted(_FIELDS) or len(self.opener) < 2 or len(set(self.opener)) < 2 or "\\" in self.opener:
+            raise ValueError("a template has one {role} and one {text}, and an opener of two different characters at least, none of them a backslash")
+        for this, following in zip(pieces, [*pieces[1:], self.opener], strict=True):
+            if this in _FIELDS and not (following.startswith(self.opener) or this == "{role}" and following.startswith("\n")):
+                raise ValueError(f"what follows {this} must start with {self.opener!r}")
 
-_OPEN = re.compile(r"<(\\*)\|")
-_CLOSED = re.compile(r"<\\(\\*)\|")
+    def pieces(self) -> list[str]:
+        """Literal strings and fields, in order."""
+        return [p for p in re.split(r"(\{role\}|\{text\})", "".join(text for text, _ in self.parts)) if p]
 
 
-def escape(text: str) -> str:
-    """Puts one backslash into every `<|` (after any backslashes there), so that no control string is left."""
-    return _OPEN.sub(r"<\1\\|", text)
+_FIELDS = ("{role}", "{text}")
 
 
-def unescape(text: str) -> str:
-    return _CLOSED.sub(r"<\1|", text)
+@cache
+def _patterns(opener: str) -> tuple[re.Pattern, re.Pattern]:
+    """An opener with any backslashes after its first character, and the same with one at least."""
+    first, rest = re.escape(opener[0]), re.escape(opener[1:])
+    return re.compile(rf"{first}(\\*){rest}"), re.compile(rf"{first}\\(\\*){rest}")
 
 
-def escape_role(role: str) -> str:
-    return escape(role.replace("\\", "\\\\").replace("\n", "\\n"))
+def escape(text: str, opener: str = Template.opener) -> str:
+    """Puts one backslash into every opener (after any backslashes there), so that no control string is left."""
+    return _patterns(opener)[0].sub(lambda m: f"{opener[0]}{m[1]}\\{opener[1:]}", text)
 
 
-def unescape_role(role: str) -> str:
-    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role), flags=re.S)
+def unescape(text: str, opener: str = Template.opener) -> str:
+    return _patterns(opener)[1].sub(lambda m: f"{opener[0]}{m[1]}{opener[1:]}", text)
+
+
+def escape_role(role: str, opener: str = Template.opener) -> str:
+    return escape(role.replace("\\", "\\\\").replace("\n", "\\n"), opener)
+
+
+def unescape_role(role: str, opener: str = Template.opener) -> str:
+    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role, opener), flags=re.S)
 
 
 def render_turn(role: str, text: str, template: Template) -> list[tuple[str, bool]]:
     """The segments of one turn: (text, loss)."""
     learned = role in template.loss_roles
-    fill = {"{role}": escape_role(role), "{text}": escape(text)}
+    fill = {"{role}": escape_role(role, template.opener), "{text}": escape(text, template.opener)}
     return [(re.sub(r"\{role\}|\{text\}", lambda m: fill[m[0]], part), loss and learned) for part, loss in template.parts]
 
 
-def parse_turn(formatted: str) -> tuple[str, str]:
-    """Reads role and text back from a turn in the default template."""
-    head, _, body = formatted.partition("\n")
-    return unescape_role(head[len("<|im_start|>") :]), unescape(body[: -len("<|im_end|>\n")])
+@cache
+def _reader(pieces: tuple[str, ...]) -> re.Pattern:
+    """Fields end at the first place where what follows them can stand: no field holds an opener, and no role a line break."""
+    return re.compile("".join(f"(?P<{p[1:-1]}>.*?)" if p in _FIELDS else re.escape(p) for p in pieces), re.S)
+
+
+def parse_turn(formatted: str, template: Template) -> tuple[str, str]:
+    """Reads role and text back from a turn."""
+    found = _reader(tuple(template.pieces())).fullmatch(formatted)
+    return unescape_role(found["role"], template.opener), unescape(found["text"], template.opener)
 
 
 def _ordered(conversations: DataFrame) -> DataFrame:
@@ -144,8 +174,8 @@ def format_digests(conversations: DataFrame, template: Template = Template()) ->
                     yield _batch(rows, _DIGEST)
                     rows = []
             formatted = "".join(text for text, _ in segments)
-            role, text = parse_turn(formatted)
-            learned = unescape("".join(text for text, loss in segments if loss))
+            role, text = parse_turn(formatted, template)
+            learned = unescape("".join(text for text, loss in segments if loss), template.opener)
             open_[1] += 1
             open_[2].update(f"{role}\n{text}\n".encode())
             open_[3] += len(learned)
@@ -159,3 +189,26 @@ def format_digests(conversations: DataFrame, template: Template = Template()) ->
 
     return map_arrow(_ordered(conversations), run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
     )
+
+
+#: format_digests over conversations and conversation -1 of the query.
+ORACLE_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+steps as (
+  select *, lag(role) over (partition by conv_id order by turn nulls first, role, text) as before,
+    row_number() over (partition by conv_id order by turn nulls first, role, text) as nth from turns),
+checked as (
+  select *, case when nth = 1 then role in ('system', 'user') when before = 'user' then role = 'assistant' else role = 'user' end as fits,
+    replace(replace(role, '\', '\\'), chr(10), '\n') as safe_role from steps)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by nth)) as turns_sha256,
+  sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+  sha256(coalesce(string_agg(case when role = 'assistant' then text else '' end, '' order by nth), '')) as loss_sha256,
+  sum(length('<|im_start|>') + length(safe_role) + len(regexp_extract_all(safe_role, '<\\*\|')) + 1
+    + length(text) + len(regexp_extract_all(text, '<\\*\|')) + length('<|im_end|>') + 1)::bigint as formatted_chars,
+  bool_and(fits) and max_by(role, nth) = 'assistant' as valid
+from checked group by conv_id
+"""

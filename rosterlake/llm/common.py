@@ -42,7 +42,7 @@ def sized(rows: DataFrame, size: Column | int = 64) -> DataFrame:
     return F.broadcast(rows) if total <= BROADCAST_BYTES else rows
 
 
-def _trim() -> None:
+def trim() -> None:
     """Gives freed memory back to the system, where the C library can."""
     libc = ctypes.CDLL(None)
     if hasattr(libc, "malloc_trim"):
@@ -61,7 +61,7 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())
         yield from function(batches)
-        _trim()
+        trim()
 
     return df.mapInArrow(run, ddl)
 

@@ -70,4 +70,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_host_reputation": host_reputation.ORACLE_SQL, "op6_ball_tree": ball_tree.ORACLE_SQL, "op7_hyperminhash": near_dedup.ORACLE_SQL}
+    return {"op4_host_reputation": host_reputation.ORACLE_SQL, "op6_ball_tree": ball_tree.ORACLE_SQL, "op7_hyperminhash": near_dedup.ORACLE_SQL, "op10_chat_format": chat_format.ORACLE_SQL}

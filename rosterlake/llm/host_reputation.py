@@ -1,7 +1,7 @@
 """URL filters: rules first, else the host's empirical-Bayes reputation, in DataFrame functions only.
 
-Labelled page outcomes (good or not) are summed by host, by registered domain (the last two labels of the host) and by suffix
-(its last label). Each level is a beta-binomial whose prior mean is the posterior mean of the level above and whose
+Labelled page outcomes (good or not) are summed by host, by registered domain (the suffix and the label before it) and by suffix
+(the last label of the host, or the last two where these are in MULTI_SUFFIXES). Each level is a beta-binomial whose prior mean is the posterior mean of the level above and whose
 concentration is estimated from the spread of the level's shares (method of moments), so a host with few pages leans on its domain,
 and that on its suffix. A host passes if the lower bound of its posterior (normal approximation) reaches a threshold.
 
@@ -25,6 +25,13 @@ Z = 1.645
 MIN_BOUND = 0.8
 #: Hosts (rows of about 60 bytes) up to which the reputation table is broadcast.
 BROADCAST_HOSTS = 200_000
+# Suffixes of two labels below which names are registered.
+MULTI_SUFFIXES = (
+    "ac.at", "co.at", "or.at", "com.ar", "com.au", "edu.au", "gov.au", "net.au", "org.au", "com.br", "gov.br", "org.br", "com.cn", "gov.cn", "net.cn", "org.cn",
+    "com.hk", "co.id", "ac.il", "co.il", "ac.in", "co.in", "gov.in", "org.in", "ac.jp", "co.jp", "go.jp", "ne.jp", "or.jp", "ac.kr", "co.kr", "go.kr", "or.kr",
+    "com.mx", "com.my", "ac.nz", "co.nz", "govt.nz", "org.nz", "com.pl", "com.ru", "com.sg", "com.tr", "com.tw", "com.ua", "ac.uk", "co.uk", "gov.uk", "ltd.uk",
+    "me.uk", "net.uk", "org.uk", "plc.uk", "sch.uk", "ac.za", "co.za",
+)
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -56,6 +63,16 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
+def suffix_of(host: Column, suffixes: tuple[str, ...] = MULTI_SUFFIXES) -> Column:
+    two = F.substring_index(host, ".", -2)
+    return F.when(two.isin(*suffixes), two).otherwise(F.substring_index(host, ".", -1)) if suffixes else F.substring_index(host, ".", -1)
+
+
+def domain_of(host: Column, suffixes: tuple[str, ...] = MULTI_SUFFIXES) -> Column:
+    two = F.substring_index(host, ".", -2)
+    return F.when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two) if suffixes else two
+
+
 def rule_of(host: Column, path: Column, rules: tuple[Rule, ...], value) -> Column:
     """value(rule) of the longest rule that fits, else null. Rules are part of the plan: meant for some hundreds at most."""
     out = None
@@ -95,7 +112,7 @@ def _levels(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataF
     """bound and mean by host; for new hosts, by domain and by suffix; and the one row for all others."""
     seen = outcomes.where("good is not null").select(host_of(F.col("url")).alias("host"), F.col("good").cast("long").alias("good"))
     hosts = seen.groupBy("host").agg(F.count("*").alias("n"), F.sum("good").alias("k"))
-    hosts = hosts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
+    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
     hosts = materialize(hosts, "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("root", F.lit(""))
@@ -130,7 +147,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES
         table, domains, suffixes = F.broadcast(table), F.broadcast(domains), F.broadcast(suffixes)
     url, host, path = F.col("url"), F.col("host"), F.col("path")
     parts = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
-    parts = parts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
+    parts = parts.withColumns({"domain": domain_of(host), "suffix": suffix_of(host)})
     domains = domains.select("domain", F.col("bound").alias("domain_bound"))
     suffixes = suffixes.select("suffix", F.col("bound").alias("suffix_bound"))
     by_method = F.when(F.coalesce("bound", "domain_bound", "suffix_bound", F.lit(new_bound)) >= min_bound, "allow").otherwise("block")
@@ -141,27 +158,35 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES
     )
 
 
-#: Marks that machine-made junk strews over its text; a page with one of them counts as a bad outcome.
-JUNK = r"\*\*\*|%%%|\$\$\$|###|!!"
+#: Of 100 characters of a page's visible text so many must be letters. Prose has about 80; spam with marks between its words, lists of
+#: numbers and broken encodings have less.
+MIN_LETTERS = 72
+_UNSEEN = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>|&[a-z0-9#]+;"
 
 
-def markup_outcomes(pages: DataFrame) -> DataFrame:
-    """Weak labels where no outcomes are given: good if the page's html has no junk marks; no label without html."""
-    return pages.select("url", (~F.col("html").rlike(JUNK)).alias("good"))
+def markup_outcomes(pages: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
+    """Weak labels where no outcomes are given: a page is good if min_letters of 100 characters of its visible text (without tags,
+    scripts, styles, comments and character references) are letters, and bad if not, or without a letter; no label without html."""
+    seen = F.regexp_replace("html", _UNSEEN, "")
+    letters = F.length(F.regexp_replace(seen, r"[^\p{L}]", ""))
+    return pages.select("url", ((letters > 0) & (letters * 100 >= F.length(seen) * min_letters)).alias("good"))
 
 
 ORACLE_SQL = r"""
-with parts as (
-  select page_id, html,
+with split as (
+  select page_id, html, regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>|&[a-z0-9#]+;', '', 'g') as seen,
     case when url is null or not contains(url, '://') then '' else
       translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') end as host,
     case when url is null or not contains(url, '://') then '' else regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) end as path
   from pages),
+labels_of as (select *, string_split(host, '.') as labels, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as two from split),
+parts as (
+  select *, case when two in (SUFFIXES) then array_to_string(list_slice(labels, -3, -1), '.') else two end as domain,
+    case when two in (SUFFIXES) then two else list_extract(labels, -1) end as suffix from labels_of),
 hosts as (
-  select host, count(*)::double n, sum(case when regexp_matches(html, '\*\*\*|%%%|\$\$\$|###|!!') then 0 else 1 end)::double k,
-    array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain,
-    list_extract(string_split(host, '.'), -1) as suffix
-  from parts where html is not null group by host),
+  select host, count(*)::double n, sum(case when letters > 0 and letters * 100 >= length(seen) * 72 then 1 else 0 end)::double k,
+    any_value(domain) as domain, any_value(suffix) as suffix
+  from (select *, length(regexp_replace(seen, '[^\p{L}]', '', 'g')) as letters from parts) where html is not null group by host),
 domains as (select domain, suffix, sum(n) n, sum(k) k, sum(n * n) nn from hosts group by domain, suffix),
 suffixes as (select suffix, sum(n) n, sum(k) k from hosts group by suffix),
 root as (select sum(n) n, sum(k) k, (sum(k) + 1) / (sum(n) + 2) top, sum(k) / sum(n) * (1 - sum(k) / sum(n)) pq from suffixes),
@@ -183,8 +208,10 @@ m1 as (select suffix, (k + top * s1) / (s.n + s1) mean from (select suffix, n, k
 m2 as (select domain, (k + mean * s2) / (n + s2) mean from domains join m1 using (suffix), strength),
 ab as (select host, k + mean * s3 a, n - k + (1 - mean) * s3 b from hosts join m2 using (domain), strength),
 bound as (select host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) as bound from ab),
+domain_bound as (select domain, mean - 1.645 * sqrt(mean * (1 - mean) / (s3 + 1)) as domain_bound from m2, strength),
+suffix_bound as (select suffix, mean - 1.645 * sqrt(mean * (1 - mean) / (s2 + 1)) as suffix_bound from m1, strength),
 ruled as (
-  select page_id, host, path,
+  select page_id, host, path, domain, suffix,
     case when (host = 'www.example.com' or ends_with(host, '.www.example.com')) and starts_with(path, '/en/') then 'www.example.com/en/'
       when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/') then 'example.com/en/'
       when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/'
@@ -193,6 +220,6 @@ ruled as (
   from parts)
 select page_id, host, path, rule,
   case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
-    when coalesce(bound, (select top - 1.645 * sqrt(top * (1 - top) / (s1 + 1)) from root, strength)) >= 0.8 then 'allow' else 'block' end as verdict
-from ruled left join bound using (host)
-"""
+    when coalesce(bound, domain_bound, suffix_bound, (select top - 1.645 * sqrt(top * (1 - top) / (s1 + 1)) from root, strength)) >= 0.8 then 'allow' else 'block' end as verdict
+from ruled left join bound using (host) left join domain_bound using (domain) left join suffix_bound using (suffix)
+""".replace("SUFFIXES", ", ".join(f"'{x}'" for x in MULTI_SUFFIXES))

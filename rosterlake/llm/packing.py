@@ -8,8 +8,8 @@ run to its new gap size, and goes on until every run of documents has been place
 summed per length on the cluster; only one count per length reaches the driver, and the plan that is broadcast is bounded by
 the square of the capacity. Equal lengths, however many, stay in the tasks that hold them.
 
-Defined results: a null text counts as empty and has one token, the end mark; repeated rows are packed as they are; an empty table
-packs into nothing.
+Defined results: a null text counts as empty and has one token, the end mark; repeated rows, rows with one doc_id and rows without any are
+packed as they are; an empty table packs into nothing.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in text_slices(texts):
                 rows = []
-                for doc_id, (ids, _) in zip(doc_ids[a:b], shared.value.encode(texts[a:b]), strict=True):
+                for doc_id, ids in zip(doc_ids[a:b], shared.value.encode(texts[a:b]), strict=True):
                     ids += mark
                     n, at, k = len(ids) // 4, 0, 0
                     while at < n:

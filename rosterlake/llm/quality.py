@@ -1,16 +1,18 @@
 """Quality classifier: nearest-neighbour voting over latent-semantic vectors.
 
-A text becomes a vector of hashed counts (character pairs and triples as they stand, word lengths, repeats), damped by logs,
-scaled by inverse frequency and projected on the leading singular vectors of a bounded sample of labelled texts. The
+A text becomes a vector of hashed counts (runs of five characters by their classes, runs of three as they stand), as square roots of
+their shares, scaled by inverse frequency and projected on the leading singular vectors of a bounded sample of labelled texts. The
 labelled vectors (at most MAX_LABELLED x RANK floats) are broadcast; every text meets all of them in blocks of exact
 cosine products, and its K nearest vote by similarity.
 
-Defined results: a null text counts as empty; an empty text, whose vector is zero, gets the share of label 1; equal
-similarities go to the smaller doc_id; without labels of both kinds the share decides, 0.5 without any.
+Defined results: a null text counts as empty; an empty text, whose vector is zero, gets the share of label 1; similarities are
+compared in steps of 1 / STEPS, and equal ones go to the smaller doc_id; without labels of both kinds the share decides, 0.5 without
+any.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_CHARS, ddl_of, map_arrow
+from .common import SLICE_CHARS, ddl_of, map_arrow, trim
 from .language_id import code_points
 
 BITS = 11
@@ -30,6 +32,8 @@ K = 15
 MAX_LABELLED = 4_096
 BLOCK = 256
 THRESHOLD = 0.3
+#: Rounding errors of a product are far below a step, so that equal vectors are equally near.
+STEPS = 1 << 14
 _A, _B = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
@@ -85,6 +89,17 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def _nearest(near: np.ndarray, k: int) -> np.ndarray:
+    """The columns of the k largest values of each row; of equal ones the first."""
+    least = np.partition(near, near.shape[1] - k, axis=1)[:, [near.shape[1] - k]]
+    take = near >= least
+    tied = np.flatnonzero(take.sum(axis=1) > k)
+    if len(tied):
+        above, equal = near[tied] > least[tied], near[tied] == least[tied]
+        take[tied] = above | (equal & (np.cumsum(equal, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+    return np.nonzero(take)[1].reshape(len(near), k)
+
+
 @dataclass(frozen=True)
 class Model:
     scale: np.ndarray  # WIDTH
@@ -105,8 +120,8 @@ class Model:
             raw = raw_vectors(texts[a : a + BLOCK])
             some = np.flatnonzero(raw.any(axis=1))
             if len(some):
-                near = self.project(raw[some]) @ self.vectors.T
-                best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+                near = np.rint(self.project(raw[some]) @ self.vectors.T * STEPS) / STEPS
+                best = _nearest(near, k)
                 weight = np.maximum(np.take_along_axis(near, best, axis=1), 0).astype(np.float64) ** 4 + 1e-9
                 out[a + some] = (weight * self.labels[best]).sum(axis=1) / weight.sum(axis=1)
         return np.clip(out, 0, 1)
@@ -117,8 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     broadcast to the texts, and its vectors may meet on the driver."""
     known = labels.where("quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     n = known.count()
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = known.where(part < min(1.0, max_labelled / max(1, n)))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    sample = known.where(place / float(1 << 20) < min(1.0, 1.25 * max_labelled / max(1, n))).orderBy(place, "doc_id", "quality").limit(max_labelled)
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,18 +141,25 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             for a in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(a, BLOCK)
                 raw = raw_vectors(part.column(2).to_pylist()).astype(np.float16)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in raw], pa.binary())], names=["doc_id", "quality", "raw"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([zlib.compress(r.tobytes(), 1) for r in raw], pa.binary())], names=["doc_id", "quality", "raw"])
 
-    rows = map_arrow(chosen.select(F.col("doc_id").cast("long"), "quality", "text"), vectors, "doc_id long, quality int, raw binary").toArrow().sort_by("doc_id")
+    rows = map_arrow(chosen.select(F.col("doc_id").cast("long"), "quality", "text"), vectors, "doc_id long, quality int, raw binary").toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
     labels = np.array([int(x == 1) for x in rows["quality"].to_pylist()], np.int64)
-    raw = np.array([np.frombuffer(x, np.float16) for x in rows["raw"].to_pylist()], np.float32).reshape(-1, WIDTH)
-    some = raw.any(axis=1)
     share = float(labels.mean()) if len(labels) else 0.5
-    raw, labels = raw[some], labels[some]
-    scale = np.log1p(len(raw) / (1.0 + (raw > 0).sum(axis=0))).astype(np.float32)
-    gram = ((raw * scale).T @ (raw * scale)).astype(np.float64)
-    basis = np.linalg.eigh(gram)[1][:, ::-1][:, :RANK].astype(np.float32)
-    return Model(scale, basis, _unit((raw * scale) @ basis), labels, share)
+    raw = np.empty((len(labels), WIDTH), np.float32)
+    for i, x in enumerate(rows["raw"]):
+        raw[i] = np.frombuffer(zlib.decompress(x.as_py()), np.float16)
+    del rows
+    some = raw.any(axis=1)
+    if not some.all():
+        raw, labels = raw[some], labels[some]
+    scale = np.log1p(len(raw) / (1.0 + np.count_nonzero(raw, axis=0))).astype(np.float32)
+    raw *= scale
+    basis = np.ascontiguousarray(np.linalg.eigh(raw.T @ raw)[1][:, ::-1][:, :RANK], np.float32)
+    model = Model(scale, basis, _unit(raw @ basis), labels, share)
+    del raw
+    trim()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
