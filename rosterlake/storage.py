@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +31,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df below the shared folder and reads it back: a cut of lineage that survives the loss of any executor."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _return_memory(df.sparkSession)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
     if _OPEN:
         _OPEN[-1].written.append((found, path))
     return found
 
 
+def _return_memory(spark: SparkSession) -> None:
+    """Lets the driver's JVM give freed native memory (of its compiler, of results) back to the system, if it has a command for that.
+    Long plans run hundreds of jobs, between which such memory would add up."""
+    jvm, key = spark._jvm, spark.sparkContext.applicationId
+    if key not in _TRIM:
+        methods = jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods()
+        _TRIM[key] = next(m for m in methods if m.getName() == "invoke")
+    if _TRIM[key] is not None:
+        arguments = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+        arguments[0] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        arguments[1] = "systemTrimNativeHeap"
+        try:
+            _TRIM[key].invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), arguments)
+        except Py4JJavaError:  # another JVM
+            _TRIM[key] = None
+
+
+_TRIM: dict[str, object] = {}
 _OPEN: list[Scratch] = []
 
 
