@@ -18,7 +18,7 @@ SLICE_CHARS = 500_000
 #: Bytes of an Arrow batch that Spark sends to a worker.
 BATCH_BYTES = 8 << 20
 #: Bytes up to which the rows that a step looks up are broadcast.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

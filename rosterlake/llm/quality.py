@@ -27,6 +27,8 @@ from .language_id import code_points
 BITS = 11
 WIDTH = 1 << BITS
 RANK = 64
+#: Of the subspace iteration: vectors beside the wanted ones, and rounds.
+SPARE, ITERATIONS = 16, 10
 K = 15
 #: Labelled texts that a model is fitted on at most, chosen by a hash of their id.
 MAX_LABELLED = 4_096
@@ -146,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     rows = map_arrow(chosen.select(F.col("doc_id").cast("long"), "quality", "text"), vectors, "doc_id long, quality int, raw binary").toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
     labels = np.array([int(x == 1) for x in rows["quality"].to_pylist()], np.int64)
     share = float(labels.mean()) if len(labels) else 0.5
-    raw = np.empty((len(labels), WIDTH), np.float32)
+    raw = np.empty((len(labels), WIDTH), np.float16)
     for i, x in enumerate(rows["raw"]):
         raw[i] = np.frombuffer(zlib.decompress(x.as_py()), np.float16)
     del rows
@@ -154,14 +156,36 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     if not some.all():
         raw, labels = raw[some], labels[some]
     scale = np.log1p(len(raw) / (1.0 + np.count_nonzero(raw, axis=0))).astype(np.float32)
-    raw *= scale
-    basis = np.ascontiguousarray(np.linalg.eigh(raw.T @ raw)[1][:, ::-1][:, :RANK], np.float32)
-    model = Model(scale, basis, _unit(raw @ basis), labels, share)
+    basis = _leading(raw, scale)
+    vectors = [_unit(x @ basis) for x in _blocks(raw, scale)]
+    model = Model(scale, basis, np.concatenate([np.zeros((0, basis.shape[1]), np.float32), *vectors]), labels, share)
     del raw
     trim()
     return model
 
 
+def _blocks(raw: np.ndarray, scale: np.ndarray) -> Iterator[np.ndarray]:
+    for a in range(0, len(raw), BLOCK):
+        yield raw[a : a + BLOCK].astype(np.float32) * scale
+
+
+def _leading(raw: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """The leading RANK right singular vectors of the scaled rows, by subspace iteration over blocks of them: all that it holds
+    beside the rows is a few matrices of WIDTH x (RANK + SPARE)."""
+
+    def times(q: np.ndarray) -> np.ndarray:
+        out = np.zeros(q.shape, np.float32)
+        for x in _blocks(raw, scale):
+            out += x.T @ (x @ q)
+        return out
+
+    q = np.linalg.qr(np.random.default_rng(0).standard_normal((WIDTH, RANK + SPARE)).astype(np.float32))[0]
+    for _ in range(ITERATIONS):
+        q = np.linalg.qr(times(q))[0]
+    inner = np.linalg.eigh(q.T.astype(np.float64) @ times(q))[1][:, ::-1][:, :RANK]
+    return np.ascontiguousarray(q @ inner.astype(np.float32))
+
+
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`keep` columns and the score (how likely label 1 is) of every row of docs; the text alone decides."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
