@@ -126,17 +126,23 @@ def _date(year: Column, month: Column, day: Column) -> Column:
 
 
 def normalize_date(c: Column | str) -> Column:
-    """ISO date. Day first unless the text starts like an ISO date; where that gives no date, month first. English month names
-    are known. Partial dates and what isn't a date stay as they are."""
+    """ISO date. Day first unless the text starts like an ISO date; where that gives no date, month first. English month names and years
+    of two digits (those of the 50 years before and after 2025) are known. Partial dates and what isn't a date stay as they are."""
     text = _text(c)
     time = r"(?:[T\s]+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
     iso, dots, plain = rf"(?U)^\s*(\d{{4}})-(\d{{2}})-(\d{{2}}){time}", rf"(?U)^\s*(\d{{1,2}})[./-](\d{{1,2}})[./-](\d{{4}}){time}", rf"(?U)^\s*(\d{{4}})(\d{{2}})(\d{{2}}){time}"
+    slashed, short = rf"(?U)^\s*(\d{{4}})[/.](\d{{1,2}})[/.](\d{{1,2}}){time}", rf"(?U)^\s*(\d{{1,2}})[./-](\d{{1,2}})[./-](\d{{2}}){time}"
     part = lambda pattern, n: F.regexp_extract(text, pattern, n)
-    named = strip(text)
+    named = strip(F.regexp_replace(text, r"^(\s*\d{1,2})[-/.]([A-Za-z]{3,9})[-/.](\d{4})", "$1 $2 $3"))
+    year = F.concat(F.when(part(short, 3) >= "75", "19").otherwise("20"), part(short, 3))
     tries = [
         F.when(text.rlike(iso), _date(part(iso, 1), part(iso, 2), part(iso, 3))),
         F.when(text.rlike(dots), _date(part(dots, 3), part(dots, 2), part(dots, 1))),
         F.when(text.rlike(dots), _date(part(dots, 3), part(dots, 1), part(dots, 2))),
+        F.when(text.rlike(slashed), _date(part(slashed, 1), part(slashed, 3), part(slashed, 2))),
+        F.when(text.rlike(slashed), _date(part(slashed, 1), part(slashed, 2), part(slashed, 3))),
+        F.when(text.rlike(short), _date(year, part(short, 2), part(short, 1))),
+        F.when(text.rlike(short), _date(year, part(short, 1), part(short, 2))),
         F.when(text.rlike(plain), _date(part(plain, 1), part(plain, 3), part(plain, 2))),
         F.when(text.rlike(plain), _date(part(plain, 1), part(plain, 2), part(plain, 3))),
         *(F.date_format(F.try_to_timestamp(named, F.lit(f)), "yyyy-MM-dd") for f in ("d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy")),

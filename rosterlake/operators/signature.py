@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +40,12 @@ def parallel_signature(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return df.groupBy(*(by or [])).agg(F.count("*").alias("count"), F.sum(word).cast("string").alias("hash"))
 
 
+def sums_signature(df: DataFrame) -> DataFrame:
+    """parallel_signature as one row with a map `signature`. Its kind is part of it: a baseline of another kind tells nothing."""
+    found = parallel_signature(df)
+    return found.select(F.create_map(F.lit("kind"), F.lit("sums"), F.lit("count"), F.col("count").cast("string"), F.lit("hash"), F.coalesce("hash", F.lit("0"))).alias("signature"))
+
+
 def changed(method: Column, current: Column, base: Column) -> Column:
     """Whether any key of the method differs between two map columns; null equals null."""
     out = F.lit(None).cast("boolean")
@@ -53,26 +58,11 @@ def changed(method: Column, current: Column, base: Column) -> Column:
 
 
 def statuses(current: DataFrame, baseline: DataFrame) -> DataFrame:
-    """current: name, method, signature, error; baseline: name, signature. Adds baseline and status: error, new, changed or unchanged."""
+    """current: name, method, signature, error; baseline: name, signature. Adds baseline and status: error, new, changed or unchanged.
+    A baseline whose content was signed in another way is none."""
     joined = current.join(baseline.select("name", F.col("signature").alias("baseline")), "name", "left")
+    other = (F.col("method") == "content") & ~F.element_at("signature", "kind").eqNullSafe(F.element_at("baseline", "kind"))
+    joined = joined.withColumn("baseline", F.when(~F.coalesce(other, F.lit(False)), F.col("baseline")))
     status = F.when(F.col("error").isNotNull(), "error").when(F.col("baseline").isNull(), "new")
     status = status.when(changed(F.col("method"), F.col("signature"), F.col("baseline")), "changed").otherwise("unchanged")
     return joined.withColumn("status", status)
-
-
-@dataclass
-class SourceStatus:
-    name: str
-    method: str
-    status: str
-    signature: dict[str, Any] = field(default_factory=dict)
-    baseline: dict[str, Any] = field(default_factory=dict)
-    note: str = ""
-
-
-def compare(name: str, method: str, signature: dict[str, Any], baseline: dict[str, Any] | None) -> SourceStatus:
-    if not baseline:
-        return SourceStatus(name, method, "new", signature, note="no baseline yet")
-    base = baseline.get("signature", {})
-    differs = any(signature.get(k) != base.get(k) for k in KEYS.get(method, KEYS["content"]))
-    return SourceStatus(name, method, "changed" if differs else "unchanged", signature, base)

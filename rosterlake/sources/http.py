@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import codecs
 import copy
 import json
+import re
 import ssl
 import time
 import urllib.parse
@@ -21,6 +23,42 @@ from ..shipping import ship
 USER_AGENT = "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/124.0 Safari/537.36"
 
 
+#: Encodings of one byte for each letter that are tried on what is no UTF-8 and names no encoding; the first wins a tie.
+OLD_ENCODINGS = ("cp1251", "koi8-r", "cp1252")
+
+
+def _known(name: str | None) -> str | None:
+    try:
+        return codecs.lookup(name.strip("\"' ")).name if name else None
+    except LookupError:
+        return None
+
+
+def charset_of(content: bytes, content_type: str = "") -> str:
+    """By mark, by being valid UTF-8, by the header, by the document's own declaration, else by the letters: of the old encodings the
+    one in which most letters above ASCII are small ones beside letters of the same script."""
+    for mark, name in ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")):
+        if content.startswith(mark):
+            return name
+    try:
+        content.decode("utf-8")
+        return "utf-8"
+    except UnicodeDecodeError:
+        pass
+    declared = re.search(rb"(?i)<meta[^>]+charset\s*=\s*[\"']?([\w.:-]+)|<\?xml[^>]+encoding\s*=\s*[\"']([\w.:-]+)", content[:4096])
+    header = re.search(r"(?i)charset\s*=\s*([^;\s]+)", content_type)
+    names = [_known(header[1] if header else None), _known((declared[1] or declared[2]).decode("ascii")) if declared else None]
+    named = next((n for n in names if n and n != "utf-8"), None)
+    if named:
+        return named
+
+    def fitting(name: str) -> int:
+        text = content.decode(name, errors="replace")
+        return len(re.findall(r"(?:(?<=[\u0400-\u04ff])|(?<![\w\u0400-\u04ff]))[\u0430-\u044f]", text)) if name != "cp1252" else len(re.findall(r"(?<=[a-z])[\u00e0-\u00ff]", text))
+
+    return max(OLD_ENCODINGS, key=fitting)
+
+
 @dataclass
 class Response:
     url: str
@@ -28,8 +66,7 @@ class Response:
     content: bytes
 
     def text(self, encoding: str | None = None) -> str:
-        declared = self.headers.get("content-type", "").partition("charset=")[2].split(";")[0].strip() or None
-        return self.content.decode(encoding or declared or "utf-8", errors="replace")
+        return self.content.decode(encoding or charset_of(self.content, self.headers.get("content-type", "")), errors="replace")
 
     def json(self) -> Any:
         return json.loads(self.content)

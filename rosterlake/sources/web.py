@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import gzip
 import re
+import time
 from collections.abc import Callable, Iterator
 from typing import Any
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import text as T
 from ..shipping import ship
-from ..storage import materialize, number_within
+from ..storage import materialize, number_rows, number_within
 from . import files
 from .http import USER_AGENT, fetch
 
@@ -46,11 +47,11 @@ def distinct_hosts(raw: DataFrame, suffix: str | None = None) -> DataFrame:
 
 
 def discover_hosts(pages: DataFrame, suffix: str) -> DataFrame:
-    """host: distinct hosts in scope of all links of pages (url, html)."""
-    ship(pages.sparkSession)
-    links = pages.select("url", F.explode(H.visible(F.col("html"))["links"]).alias("href"))
+    """host, ord: the hosts in scope of all links of pages (url, links), by name."""
+    links = pages.select("url", F.explode("links").alias("href"))
     host = T.host_of(H.join_url(F.col("url"), F.col("href")))
-    return links.select(host.alias("host")).where((F.col("host") != "") & T.in_scope(F.col("host"), suffix)).distinct()
+    found = links.select(host.alias("host")).where((F.col("host") != "") & T.in_scope(F.col("host"), suffix)).distinct()
+    return number_rows(found, [F.col("host")], "ord").select("host", "ord")
 
 
 def order_hosts(hosts: DataFrame, suffix: str, extra: list[str] | None = None) -> DataFrame:
@@ -101,8 +102,7 @@ def sitemap_urls(spark: SparkSession, roots: DataFrame, options: dict[str, Any]
         level = got.where("index").select("host", "url", "path")
         if level.isEmpty():
             break
-    place = F.row_number().over(Window.partitionBy("host").orderBy("path"))
-    out = found.withColumn("pos", place)
+    out = number_within(found, "host", [F.col("path")], "pos")
     return (out.where(F.col("pos") <= max_urls) if max_urls else out).select("host", "url", "pos")
 
 
@@ -154,8 +154,10 @@ def allowed(urls: DataFrame, get: Callable[[str], str] | None = None, options: d
 
 
 def fetch_pages(urls: DataFrame, get: Callable[[str], tuple[str, str]] | None = None, options: dict[str, Any] | None = None) -> DataFrame:
-    """url, title, text, links of the urls (column url) that give HTML; get returns (content type, html) or raises."""
+    """url, title, text, links of the urls (column url) that give HTML; get returns (content type, html) or raises. With the option
+    delay_seconds the pages of a host are loaded by one task, with that pause between them."""
     ship(urls.sparkSession)
+    delay = float((options or {}).get("delay_seconds") or 0)
 
     def over_http(url: str) -> tuple[str, str]:
         found = fetch(url, options=options)
@@ -164,9 +166,13 @@ def fetch_pages(urls: DataFrame, get: Callable[[str], tuple[str, str]] | None =
     get = get or over_http
 
     def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked: set[str] = set()
         for p in batches:
             rows = []
             for url in p["url"]:
+                host = re.sub(r"^[a-z]+://([^/?#]*).*", r"\1", url, flags=re.S)
+                time.sleep(delay if host in asked else 0)
+                asked.add(host)
                 try:
                     kind, html = get(url)
                 except Exception:  # noqa: BLE001  one bad page doesn't end the run
@@ -175,7 +181,9 @@ def fetch_pages(urls: DataFrame, get: Callable[[str], tuple[str, str]] | None =
                     rows.append((url, *H.extract_visible(html)))
             yield pd.DataFrame(rows, columns=["url", "title", "text", "links"])
 
-    return urls.where(~T.is_binary_url(F.col("url"))).select("url").mapInPandas(load, "url string, title string, text string, links array<string>")
+    chosen = urls.where(~T.is_binary_url(F.col("url"))).select("url")
+    chosen = chosen.repartition(T.host_of(F.col("url"))) if delay else chosen
+    return chosen.mapInPandas(load, "url string, title string, text string, links array<string>")
 
 
 def crawl(start: DataFrame, load: Callable[[DataFrame], DataFrame], max_depth: int = 2, max_pages: int = 30, same_host: bool = True) -> DataFrame:
@@ -185,15 +193,25 @@ def crawl(start: DataFrame, load: Callable[[DataFrame], DataFrame], max_depth: i
     ship(spark)
     url = T.without_fragment(F.col("url"))
     frontier = start.select(url.alias("url")).distinct().select("url", T.host_of(F.col("url")).alias("host"), F.array(F.lit(0)).alias("path"))
-    visited, done = None, None
+    visited = spark.createDataFrame([], "url string, host string")
+    done = spark.createDataFrame([], "url string, title string, text string, links array<string>, host string, path array<int>, depth int")
     for depth in range(max_depth + 1):
-        frontier = materialize(frontier.where(~T.is_binary_url(F.col("url"))), "frontier")
-        pages = materialize(load(frontier.select("url")).join(frontier, "url").withColumn("depth", F.lit(depth)), "pages")
-        done = pages if done is None else done.unionByName(pages)
-        visited = frontier.select("url", "host") if visited is None else visited.unionByName(frontier.select("url", "host"))
+        queue = materialize(number_within(frontier.where(~T.is_binary_url(F.col("url"))), "host", [F.col("path")], "nth"), "frontier")
+        visited = visited.unionByName(queue.select("url", "host"))
+        passed = spark.createDataFrame([], "host string, passed long")
+        while True:
+            # of each host as many as it lacks; where some of them are no pages, the next ones
+            have = done.groupBy("host").agg(F.count("*").alias("have"))
+            open_ = queue.join(have, "host", "left").join(passed, "host", "left").na.fill(0, ["have", "passed"])
+            turn = materialize(open_.where("nth > passed and nth <= passed + greatest(0, %d - have)" % max_pages).select("url", "host", "path", "nth"), "turn")
+            if turn.isEmpty():
+                break
+            done = done.unionByName(materialize(load(turn.select("url")).join(turn.drop("nth"), "url").withColumn("depth", F.lit(depth)), "pages").select(done.columns))
+            last = passed.unionByName(turn.groupBy("host").agg(F.max("nth").alias("passed")))
+            passed = materialize(last.groupBy("host").agg(F.max("passed").alias("passed")), "passed")
         if depth == max_depth:
             break
-        linked = pages.select("host", "path", F.col("url").alias("base"), F.posexplode("links").alias("nth", "href"))
+        linked = done.where(F.col("depth") == depth).select("host", "path", F.col("url").alias("base"), F.posexplode("links").alias("nth", "href"))
         linked = linked.select("host", F.concat("path", F.array("nth")).alias("path"), T.without_fragment(H.join_url(F.col("base"), F.col("href"))).alias("url"))
         linked = linked.where(F.col("url").rlike("^https?://"))
         if same_host:
@@ -201,5 +219,4 @@ def crawl(start: DataFrame, load: Callable[[DataFrame], DataFrame], max_depth: i
         frontier = linked.groupBy("url", "host").agg(F.min("path").alias("path")).join(visited, ["url", "host"], "left_anti")
         if frontier.isEmpty():
             break
-    place = F.row_number().over(Window.partitionBy("host").orderBy("depth", "path"))
-    return done.withColumn("ord", place).where(F.col("ord") <= max_pages).select("url", "title", "text", "host", "depth", "ord")
+    return number_within(done, "host", [F.col("depth"), F.col("path")], "ord").select("url", "title", "text", "host", "depth", F.col("ord").cast("int").alias("ord"))

@@ -115,9 +115,24 @@ def test_signature_is_free_of_order(spark):
     assert one == signature.content_signature(df.orderBy(F.col("i").desc()))
     assert one != signature.content_signature(df.unionAll(df.limit(1)))
     assert signature.content_signature(df.limit(0)) != one
-    assert signature.compare("s", "content", one, None).status == "new"
-    assert signature.compare("s", "content", one, {"signature": one}).status == "unchanged"
-    assert signature.compare("s", "http_headers", {"etag": "1"}, {"signature": {"etag": None}}).status == "changed"
+
+
+def test_statuses(spark):
+    of = lambda df: signature.sums_signature(df).first()["signature"]
+    df = spark.createDataFrame([(1, "a"), (2, None)], "i int, v string")
+    one, two = of(df), of(df.unionAll(df.limit(1)))
+    assert one == of(df.orderBy(F.col("i").desc())) and one != two and of(df.limit(0))["count"] == "0"
+    signed = "name string, method string, signature map<string,string>, error string"
+    current = spark.createDataFrame([("a", "content", one, None), ("b", "content", one, None), ("c", "content", one, None), ("d", "http_headers", {"etag": "1"}, None), ("e", "error", None, "no"), ("f", "content", one, None)], signed)
+    baseline = spark.createDataFrame([("b", one), ("c", two), ("d", {"etag": None}), ("e", one), ("f", {"count": "2", "hash": "0123"})], "name string, signature map<string,string>")
+    found = {r["name"]: r["status"] for r in signature.statuses(current, baseline).collect()}
+    assert found == {"a": "new", "b": "unchanged", "c": "changed", "d": "changed", "e": "error", "f": "new"}
+
+
+def test_dates(spark):
+    given = ["05.06.24", "31/12/99", "2020/03/04", "2020/31/12", "5-Mar-2021", "05-March-2021", "99.99.99", "2020"]
+    df = spark.createDataFrame([(x,) for x in given], "d string")
+    assert [r[0] for r in df.select(T.normalize_date("d")).collect()] == ["2024-06-05", "1999-12-31", "2020-04-03", "2020-12-31", "2021-03-05", "2021-03-05", "99.99.99", "2020"]
 
 
 def test_number_rows(spark):

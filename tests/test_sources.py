@@ -171,6 +171,50 @@ def test_watch_run(spark, tmp_path):
     assert watch.run(spark, cfg, state, pause=0) == 1
 
 
+def test_watch_over_http(spark, tmp_path, site):
+    sources = [{"name": "page", "type": "web", "path": site + "/"}, {"name": "registry", "type": "api", "path": f"{site}/rest/registry/0123456789ab/values"}, {"name": "gone", "type": "web", "path": site + "/none", "options": {"retries": 1}}]
+    cfg, state = config.from_raw({"sources": sources, "database": {"directory": str(tmp_path)}}), tmp_path / "state.json"
+    assert watch.run(spark, cfg, state, pause=0) == 1
+    report = json.loads((tmp_path / "source_watch_report.json").read_text())
+    assert [(x["name"], x["method"], x["status"]) for x in report["statuses"]] == [("page", "http_headers", "new"), ("registry", "api_registry", "new"), ("gone", "http_headers", "error")]
+    assert report["statuses"][0]["signature"]["etag"] == "e1" and report["statuses"][1]["signature"]["size"] == "7" and report["errors"] == ["gone"]
+    cfg.sources.pop()
+    assert watch.run(spark, cfg, state, pause=0) == 0
+    saved = json.loads(state.read_text())
+    saved["registry"]["signature"]["size"] = "6"
+    state.write_text(json.dumps(saved))
+    assert watch.run(spark, cfg, state, update_baseline=True, pause=0) == 1 and watch.run(spark, cfg, state, pause=0) == 0
+
+
+def test_charset():
+    russian = "<p>Перечень организаций и физических лиц</p>"
+    assert http.Response("", {}, russian.encode("cp1251")).text() == russian == http.Response("", {}, russian.encode("koi8-r")).text()
+    assert http.Response("", {"content-type": "text/html; charset=utf-8"}, russian.encode("cp1251")).text() == russian == http.Response("", {}, russian.encode()).text()
+    german = "<meta charset='iso-8859-1'><p>Übergröße</p>"
+    assert http.Response("", {}, german.encode("latin-1")).text() == german and http.charset_of("déjà vu, tête".encode("cp1252")) == "cp1252"
+
+
+def test_structure_scan(spark, tmp_path, site):
+    """Hosts of which none has a sitemap are crawled; a second run goes on where the first ended, and keeps its findings."""
+    spark.createDataFrame([(1, "Alpha Beta Gamma", "list")], "id long, naimenovanie_fio string, kategoriya string").write.parquet(f"{tmp_path}/db/reg")
+    host = site.removeprefix("http://")
+    scan_ = {"mode": "structure", "scheme": "http", "domain_suffix": "x.invalid", "hosts_file": "/none.txt", "extra_hosts": [host], "retries": 1, "delay_seconds": 0, "max_pages_total": 2}
+    cfg = {"matching": {"registry_db": {"url": f"{tmp_path}/db", "table": "reg"}, "aliases": [{"entity": "Third", "variants": ["THREE DEEP"]}]}, "scan": scan_, "logging": {"directory": str(tmp_path)}, "report": {"state_dir": f"{tmp_path}/state"}}
+    found = lambda: {r["sushchnost"] for r in spark.read.parquet(f"{tmp_path}/db/scan_findings").collect()}
+    assert screen.run(spark, cfg) == 0 and found() == {"Alpha Beta Gamma"}
+    assert {r["url"] for r in spark.read.parquet(f"{tmp_path}/state/done").collect()} == {site + "/", site + "/p1"}
+    assert screen.run(spark, cfg) == 0 and found() == {"Alpha Beta Gamma", "Third"}
+    assert spark.read.parquet(f"{tmp_path}/state/done").count() == 3
+
+
+def test_discovered_hosts_take_turns(spark):
+    pages = spark.createDataFrame([("https://x.org/", ["https://b.x.org/", "//a.x.org/p", "https://y.com/", "/q"])], "url string, links array<string>")
+    hosts = web.order_hosts(web.discover_hosts(pages, "x.org"), "x.org")
+    urls = hosts.join(spark.range(1, 4).withColumnRenamed("id", "pos")).withColumn("url", F.concat("host", F.lit("/"), F.col("pos").cast("string")))
+    taken = [r["host"] for r in web.round_robin(urls).orderBy("turn", "host_ord").collect()]
+    assert taken == ["www.x.org", "a.x.org", "b.x.org", "x.org"] * 3
+
+
 def test_screen_run(spark, tmp_path, site):
     spark.createDataFrame([(1, "Alpha Beta Gamma", "list")], "id long, naimenovanie_fio string, kategoriya string").write.parquet(f"{tmp_path}/db/reg")
     cfg = {"matching": {"registry_db": {"url": f"{tmp_path}/db", "table": "reg"}, "aliases": [{"entity": "Home page", "variants": ["HOME"]}]}, "scan": {"start_url": site + "/", "retries": 1}, "logging": {"directory": str(tmp_path)}}
