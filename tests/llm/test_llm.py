@@ -350,23 +350,65 @@ def plain_best_fit(counts, capacity):
     return len(gaps)
 
 
+def packed_in_rounds(counts, capacity):
+    state, placed = [(0, length, n, 0) for length, n in counts.items()] + [(2, 0, 0, 0)], []
+    while any(kind == 0 for kind, *_ in state):
+        rows = packing._round(state, capacity)
+        placed += [(size, low, low + n, first, offset) for kind, size, n, first, low, offset in rows if kind == 3]
+        state = [r[:4] for r in rows if r[0] != 3]
+    return placed
+
+
+def sequences_of(counts, placed, capacity):
+    """How many sequences hold all documents, each rank once, without a hole and within the capacity."""
+    used, ranks = defaultdict(list), defaultdict(list)
+    for length, low, high, first, offset in placed:
+        ranks[length] += range(low, high)
+        for r in range(low, high):
+            used[first + r - low].append((offset, length))
+    assert {k: sorted(v) for k, v in ranks.items()} == {k: list(range(n)) for k, n in counts.items()}
+    for parts in used.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(used)
+
+
 def test_plan_is_tight():
     rng = random.Random(1)
     for _ in range(30):
         counts = Counter(rng.randint(1, 50) for _ in range(rng.randint(0, 400)))
-        used = defaultdict(list)
-        for length, low, high, first, offset in packing.plan(counts, 50):
-            for r in range(low, high):
-                used[first + r - low].append((offset, length))
-        assert sum(map(len, used.values())) == sum(counts.values())
-        for parts in used.values():
-            at = 0
-            for offset, length in sorted(parts):
-                assert offset == at
-                at += length
-            assert at <= 50
         least = -(-sum(k * n for k, n in counts.items()) // 50)
-        assert least <= len(used) <= plain_best_fit(counts, 50)
+        assert least <= sequences_of(counts, packed_in_rounds(counts, 50), 50) <= plain_best_fit(counts, 50)
+    for low, high in ((200, 400), (100, 300), (1, 60), (1, 1024), (7, 7)):
+        counts = Counter(rng.randint(low, high) for _ in range(1000))
+        assert sequences_of(counts, packed_in_rounds(counts, 1024), 1024) <= 1.01 * plain_best_fit(counts, 1024)
+
+
+def test_a_sweep_gives_gaps_to_the_longest_that_fits():
+    rng = random.Random(5)
+    for _ in range(50):
+        docs, gaps = Counter(rng.randint(1, 9) for _ in range(30)), Counter(rng.randint(1, 9) for _ in range(20))
+        want, left = Counter(), Counter(docs)
+        for gap in sorted(gaps.elements()):
+            length = max((k for k, n in left.items() if n and k <= gap), default=None)
+            if length:
+                left[length] -= 1
+                want[length, gap] += 1
+        found = Counter()
+        for length, gap, _, n in packing._sweep(dict(docs), {g: [(100 * g, n)] for g, n in gaps.items()}):
+            found[length, gap] += n
+        assert found == want
+
+
+def test_rounds_on_the_cluster(spark):
+    counts = Counter(random.Random(2).randint(1, 50) for _ in range(300))
+    frame = spark.createDataFrame(list(counts.items()), "length long, n long").repartition(3)
+    placed = [tuple(r) for r in packing.plan(frame, 50).select("length", "low", "high", "first", "offset").collect()]
+    assert sorted(placed) == sorted(packed_in_rounds(counts, 50))
+    assert packing.plan(frame.limit(0), 50).count() == 0
 
 
 def test_packing(odd, none):
