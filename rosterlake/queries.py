@@ -344,16 +344,18 @@ def find_equal_norms_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.find_exact(texts, listed.unionByName(aliases), "k").select("norm", "original", "start")
 
 
-_FIRST_LINE = "array_to_string(list_slice(string_split(text, ' '), 1, 3), ' ')"
+_PHRASE = "THE AND"
+_WORD = "0-9A-Za-zА-Яа-яЁё"
+_FOUND = f"'(?is)^((?:.*?[^{_WORD}])??)(the[^{_WORD}]+and)(?:[^{_WORD}].*)?$'"
 
 
-@query(f"select doc_id, case when regexp_matches(text, '^[A-Za-z]+ [A-Za-z]+ [A-Za-z]+ ') then substr({_FIRST_LINE}, 1, 5) end as head from documents")
-def context_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR10: the context of a text's first three words starts with them."""
-    words = F.array_join(F.slice(F.split("text", " "), 1, 3), " ")
-    context = T.extract_context(F.col("text"), T.normalize(words))
-    plain = F.col("text").rlike("^[A-Za-z]+ [A-Za-z]+ [A-Za-z]+ ")
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(plain, F.substring(context, 2, 5)).alias("head"))
+@query(
+    f"with hits as (select doc_id, text, length(regexp_extract(text, {_FOUND}, 1)) + 1 as place, regexp_extract(text, {_FOUND}, 2) as hit from documents) "
+    "select doc_id, case when coalesce(hit, '') = '' then '' else '…' || trim(regexp_replace(substr(text, greatest(1, place - 80), place + length(hit) + 80 - greatest(1, place - 80)), '\\s+', ' ', 'g')) || '…' end as context from hits"
+)
+def contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR10: what surrounds the first hit of a phrase, wherever it stands in a text."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.extract_context(F.col("text"), F.lit(_PHRASE)).alias("context"))
 
 
 # ---------------------------------------------------------------- hosts, pages, lists
@@ -384,11 +386,10 @@ def round_robin_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
 
 
-@query(f"select page_id, trim({_TITLE}) as title, cast(len(regexp_extract_all(html, '<a href=')) as int) as links from pages where not contains({_TITLE}, '&')")
+@query(f"""select page_id, trim(regexp_replace(replace({_TITLE}, '&quot;', '"'), '&amp;?', '&', 'g')) as title, cast(len(regexp_extract_all(html, '<a href=')) as int) as links from pages""")
 def page_titles_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR13 on pages whose title has no character references."""
-    pages = table(spark, sf_dir, "pages").where(~F.regexp_extract("html", "<title>([^<]*)</title>", 1).contains("&"))
-    return pages.withColumn("v", visible(F.col("html"))).select("page_id", "v.title", F.size("v.links").alias("links"))
+    """STR13: titles with their character references decoded, and links, of all pages."""
+    return table(spark, sf_dir, "pages").withColumn("v", visible(F.col("html"))).select("page_id", "v.title", F.size("v.links").alias("links"))
 
 
 @query("select page_id, not regexp_matches(lower(string_split(url, '?')[1]), '\\.(pdf|doc|docx|xls|xlsx|zip|rar|7z|jpg|jpeg|png|gif|svg|webp|ico|mp4|mp3|avi|mov|css|js)$') as html, string_split(url, '#')[1] as bare from pages")
