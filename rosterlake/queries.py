@@ -16,7 +16,7 @@ from .functions import text as T
 from .functions.html import visible
 from .operators import clean, match, signature
 from .plans import merge, screen
-from .sources import html_lists, sinks, web
+from .sources import files, html_lists, sinks, web
 from .storage import number_rows, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -420,10 +420,12 @@ def html_table_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("_row_ord", F.col("_row_ord").cast("int"))
 
 
-@query("select event_id, cast(json_extract_string(props, '$.k') as varchar) as k from events")
+@query("""select cast(event_id as varchar) as id, json_extract_string(props, '$.k') as props_k, '["' || event_type || '"]' as who_kind, cast(user_id as varchar) as who_user from events""")
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSN1."""
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    """JSN1: nested records to flat columns of text, lists as JSON."""
+    record = F.concat(F.lit('{"id": '), "event_id", F.lit(', "who": {"user": '), "user_id", F.lit(', "kind": ["'), "event_type", F.lit('"]}, "props": '), "props", F.lit("}"))
+    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("_row_ord"), record.alias("record"))
+    return files.flatten_records(events).toDF("id", "props_k", "who_kind", "who_user", "_row_ord").drop("_row_ord")
 
 
 # ---------------------------------------------------------------- change detection
