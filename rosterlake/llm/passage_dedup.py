@@ -20,7 +20,8 @@ paragraphs. Paragraphs have REACH + 1 words at least (but for the ends of a text
 5. Touching places that are not kept are joined to stretches, and each is extended word by word to both sides as far as the words
    are those at the kept place of its outer paragraph or seed, CONTEXT words at most (a passage's outermost seed is no further from
    its end). Where its outer seed is aligned otherwise than its outer paragraph (which may be similar only), both are followed.
-   Stretches count from RUN_WORDS words, or in a run of so many with kept paragraphs beside them.
+   Stretches count from RUN_WORDS words, with what they grow by. A kept place is given if a stretch that counts holds a place of its
+   component, or of that of a seed in it, and if it has RUN_WORDS words with the parts that touch it.
 
 Defined results: null, empty and wordless texts have no paragraphs; words are cut and folded as for shingles; offsets count characters;
 repeated rows (doc_id and text) are one document; rows that share a doc_id but not a text are told apart by text_crc32, and what only
@@ -365,10 +366,14 @@ def _stretches(doc: np.ndarray, p: dict[str, np.ndarray]) -> tuple[dict[str, np.
     run = np.cumsum(new | (p["at"] > _running(end, doc))) - 1
     cuts = np.flatnonzero(np.diff(run, prepend=-1))
     words = (np.maximum.reduceat(end, cuts) - p["at"][cuts])[run] if n else end
-    # kept: paragraphs, and seeds that reach beyond the kept parts before them
+    # kept: paragraphs, and seeds that reach beyond the kept parts before them; the other seeds are held by the paragraph they start in
     kept = p["kept"]
     covered = _running(np.where(kept, end, 0), doc)
     alone = np.flatnonzero(kept & ((p["no"] >= 0) | (end > covered)))
+    whole = np.flatnonzero(kept & (p["no"] >= 0))
+    inner = np.flatnonzero(kept & (p["no"] < 0) & (end <= covered))
+    step = np.int64(no.max(initial=0)) + 1
+    around = np.searchsorted(alone, whole[np.searchsorted((doc * step + no)[whole], (doc * step + no)[inner])])
     # stretches of parts that are not kept
     rest = np.flatnonzero(~kept)
     doc_r, end_r, at_r, seed = doc[rest], end[rest], p["at"][rest], p["no"][rest] < 0
@@ -401,8 +406,9 @@ def _stretches(doc: np.ndarray, p: dict[str, np.ndarray]) -> tuple[dict[str, np.
     asks = {"row": rows, "left": left, "pos": np.where(left, p["start"][part], p["end"][part]), "word": word, "to_doc": p["top_doc"][part], "to_tid": p["top_tid"][part], "to_pos": np.where(left, p["top_start"][part], p["top_end"][part])}
     asks = {k: v[some] for k, v in asks.items()}
     asks["row"] = asks["row"] + len(alone)
-    held = np.concatenate([alone, rest])
-    sizes = np.concatenate([np.ones(len(alone), np.int64), size])
+    by_row = np.argsort(np.concatenate([np.arange(len(alone)), around]), kind="stable")
+    held = np.concatenate([np.concatenate([alone, inner])[by_row], rest])
+    sizes = np.concatenate([1 + np.bincount(around, minlength=len(alone)), size])
     one = np.concatenate([alone, a])
     out = {
         "doc": doc[one], "no": no[one], "at": p["at"][one], "end_at": np.concatenate([end[alone], top]), "start": p["start"][one],
@@ -569,15 +575,18 @@ def repeated_passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
         here = ["doc_id", "tid"]
         grown = stretches.where("not kept").join(_extensions(docs, stretches, repeated), [*here, "at"], "left")
         grown = grown.withColumns({"start": F.least("start", "low"), "from": F.least("at", "from"), "end": F.greatest("end", "high"), "end_at": F.greatest("end_at", "to")})
+        grown = grown.where(F.col("end_at") - F.col("from") >= run_words)
         before = Window.partitionBy(here).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-        grown = grown.withColumns({"start": F.greatest("start", F.max("end").over(before)), "from": F.greatest("from", F.max("end_at").over(before))}).where("end > start")
-        grown = grown.withColumn("n_words", F.col("end_at") - F.col("from")).where(F.greatest("n_words", "run_words") >= run_words)
+        grown = grown.withColumns({"start": F.greatest("start", F.max("end").over(before)), "from": F.greatest("from", F.max("end_at").over(before))})
+        grown = grown.withColumn("n_words", F.col("end_at") - F.col("from"))
         grown = scratch.keep(materialize(grown.select(*here, "no", "start", "end", "n_words", "components", F.col("top_doc").alias("first_doc_id"), F.lit(False).alias("kept")), "grown"))
 
-    first = stretches.where("kept").select(*here, "no", "start", "end", (F.col("end_at") - F.col("at")).alias("n_words"), "run_words", F.col("components")[0].alias("component_id"), F.col("top_doc").alias("first_doc_id"), "kept")
-    short = first.where(F.col("run_words") < run_words).join(grown.select(F.explode("components").alias("component_id")).distinct(), "component_id", "left_semi")
-    names = ["doc_id", "no", "start", "end", "n_words", "component_id", "first_doc_id", "kept", F.col("tid").alias("text_crc32")]
-    return grown.withColumn("component_id", F.col("components")[0]).select(names).unionByName(first.where(F.col("run_words") >= run_words).select(names)).unionByName(short.select(names))
+    first = stretches.where(F.col("kept") & (F.col("run_words") >= run_words)).select(*here, "no", "start", "end", (F.col("end_at") - F.col("at")).alias("n_words"), "components", F.col("top_doc").alias("first_doc_id"), "kept")
+    place = [*here, "start", "end"]
+    cut = grown.select(F.explode("components").alias("component")).distinct()
+    found = first.select(*place, F.explode("components").alias("component")).join(cut, "component", "left_semi").select(place).distinct()
+    names = ["doc_id", "no", "start", "end", "n_words", F.col("components")[0].alias("component_id"), "first_doc_id", "kept", F.col("tid").alias("text_crc32")]
+    return grown.where("end > start").select(names).unionByName(first.join(found, place, "left_semi").select(names))
 
 
 def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:

@@ -768,6 +768,26 @@ def test_a_frequent_line_that_varies(spark):
     assert len(texts) > 100 and len(wanted) > 10 and {i: f for i, f in found.items() if f != i} == wanted
 
 
+def test_short_repeats_beside_kept_places_stay(spark):
+    """What repeats in less than 12 words stays, also between places that are the first of a passage, and gives no row."""
+    rng, texts = random.Random(3), {}
+    cut = lambda words: passage_dedup.Paragraphs([" ".join(words).encode()]).count.tolist()
+    while len(texts) < 15:
+        words = [f"h{rng.randrange(10**7)}" for _ in range(70)]
+        sizes = cut(words)
+        short = words[sizes[0] : sum(sizes[:2])]
+        line = [f"l{rng.randrange(10**7)}" for _ in range(12)]
+        if len(short) <= 9 and cut(short) == [len(short)] and cut(line) == [12] and cut(line[:11]) == [11]:
+            for some in (short, words, [f"t{rng.randrange(10**7)}" for _ in range(50)] + words, line, line[:11]):
+                texts[len(texts)] = " ".join(some)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = passage_dedup.repeated_passages(df)
+    assert {r["doc_id"] for r in found.collect()} == {i for i in texts if i % 5 in (1, 2)}
+    left = texts_of(passage_dedup.remove_repeats(df, found))
+    assert all(left[i] == t for i, t in texts.items() if i % 5 != 2)
+    assert all(not set(left[i].split()) & set(texts[i - 1].split()) for i in texts if i % 5 == 2)
+
+
 def test_rows_that_share_an_id_keep_their_passages(spark):
     """Rows with one doc_id and different texts, in any order, and repeated rows."""
     rng = random.Random(14)
