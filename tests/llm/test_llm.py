@@ -6,9 +6,11 @@ import hashlib
 import io
 import random
 import re
+import time
 import wave
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -648,6 +650,34 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_edges_take_one_task_and_many_the_cluster(spark, monkeypatch):
+    """Both ways give the same components; up to FEW edges are not iterated over."""
+    rng = random.Random(16)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i + 1, i) for i in range(400, 460)] + [(900, -(10**12) - i) for i in range(30)]
+    df, written, real = spark.createDataFrame(edges, "a long, b long"), [], materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, name: written.append(name) or real(df, name))
+    found = []
+    for few in (graph.FEW, 0):
+        monkeypatch.setattr(graph, "FEW", few)
+        found.append({r["node"]: r["component"] for r in graph.components(df).collect()})
+    assert found[0] == found[1] and len(found[0]) > 200 and found[0][900] == -(10**12) - 29
+    assert written[:2] == ["edges", "components-of-few"] and written[2] == "edges" and set(written[3:]) == {"stars"}
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, given = files(), spark.conf.get(key, None)
+    out = materialize(spark.range(5000).groupBy((F.col("id") % 70).alias("k")).count().join(spark.range(70).withColumnRenamed("id", "k").repartition(3), "k"), "summed")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(key, None) == given
+    assert out.count() == 70 and out.agg(F.sum("count")).first()[0] == 5000
+
+
 def test_paragraph_places():
     texts = ["Hello World foo bar baz qux " * 5 + "é ünïcode text Words, and end", None, "", " \n ", "one", "the the " * 200]
     p = passage_dedup.Paragraphs([(t or "").encode() for t in texts])
